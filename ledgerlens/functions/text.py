@@ -80,7 +80,7 @@ def prefix_before(col, ch: str = "-") -> Column:
     """
     c = _c(col)
     pos = F.instr(c, ch)
-    return F.when(pos > 0, F.left(c, pos - 1)).otherwise(F.lit(""))
+    return F.when(pos > 0, F.left(c, pos - 1)).when(pos.isNotNull(), F.lit(""))
 
 
 def concat_text(*cols) -> Column:

@@ -24,6 +24,7 @@ partitioning being reproduced if a task is recomputed after executor loss.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -50,57 +51,77 @@ def _bucket_tree(v: Column, bounds: list, lo: int, hi: int) -> Column:
         _bucket_tree(v, bounds, mid + 1, hi))
 
 
-def _range_summary(vc: DataFrame, key: str, weight: str, buckets: int) -> list:
-    """Per range partition of the non-null distinct values: (lo, hi, weight sum, values)."""
-    rows = (vc.where(F.col(key).isNotNull())
-            .repartitionByRange(buckets, F.col(key).asc())
+def _range_summary(vc: DataFrame, key: str, weight: str, buckets: int):
+    """Range partitions of the distinct values: [(lo, hi, weight sum, values)]
+    sorted ascending, and the weight of the NULL key -- one job, at most
+    ``buckets`` + 1 rows to the driver."""
+    rows = (vc.repartitionByRange(buckets, F.col(key).asc_nulls_first())
             .groupBy(F.spark_partition_id().alias("_part"))
             .agg(F.min(key).alias("lo"), F.max(key).alias("hi"),
-                 F.sum(weight).alias("w"), F.count(F.lit(1)).alias("n"))
+                 F.sum(F.when(F.col(key).isNotNull(), F.col(weight))).alias("w"),
+                 F.count(F.col(key)).alias("n"),
+                 F.sum(F.when(F.col(key).isNull(), F.col(weight))).alias("null_w"))
             .collect())
-    return sorted(((r["lo"], r["hi"], int(r["w"]), int(r["n"])) for r in rows), key=lambda t: t[0])
+    null_w = sum(int(r["null_w"] or 0) for r in rows)
+    parts = sorted(((r["lo"], r["hi"], int(r["w"] or 0), int(r["n"])) for r in rows if r["n"]), key=lambda t: t[0])
+    return parts, null_w
+
+
+def _few_values(vc: DataFrame, limit: int | None = None) -> bool:
+    """True when ``vc`` has at most ``limit`` rows (a bounded probe job)."""
+    limit = COLLECT_LIMIT if limit is None else limit
+    return vc.limit(limit + 1).count() <= limit
+
+
+def few_distinct(df: DataFrame, cols: list[str], limit: int | None = None) -> dict[str, bool]:
+    """For each column: at most ``limit`` distinct values (NULL counted)? One job."""
+    limit = COLLECT_LIMIT if limit is None else limit
+    row = df.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in cols]).first()
+    return {c: (row[c] or 0) <= limit for c in cols}
 
 
 def percent_rank_scaled(df: DataFrame, col: str, out: str, descending: bool = False,
-                        buckets: int | None = None) -> DataFrame:
+                        buckets: int | None = None, few: bool | None = None) -> DataFrame:
     """``df`` plus ``out = PERCENT_RANK() OVER (ORDER BY col [DESC])``.
 
     Same value as Spark's ``percent_rank``: (rank - 1) / (n - 1), 0 when
-    n = 1; NULLs first ascending, last descending.
+    n = 1; NULLs first ascending, last descending. When the column has at
+    most ``COLLECT_LIMIT`` distinct values the prefix runs as one window over
+    those (bounded) rows; otherwise through range summaries.
     """
-    buckets = _bucket_count(df, buckets)
+    v = F.col(col)
+    order = (v.desc_nulls_last() if descending else v.asc_nulls_first())
     vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
-    summary = _range_summary(vc, col, "_w", buckets)
-    null_w = vc.where(F.col(col).isNull()).agg(F.sum("_w").alias("w")).first()["w"] or 0
+    if few if few is not None else _few_values(vc):
+        # one partition of at most COLLECT_LIMIT rows: the distinct values, not the table
+        whole = Window.orderBy(order)
+        ranked = vc.select(
+            F.col(col).alias("_v"),
+            F.coalesce(F.sum("_w").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.sum("_w").over(Window.partitionBy()).alias("_n"))
+        ranked = ranked.select("_v", F.when(F.col("_n") > 1, F.col("_before") / (F.col("_n") - 1))
+                               .otherwise(F.lit(0.0)).alias(out))
+        return df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
+
+    buckets = _bucket_count(df, buckets)
+    summary, null_w = _range_summary(vc, col, "_w", buckets)
     nonnull = sum(s[2] for s in summary)
     n = nonnull + null_w
-
+    offsets, acc = [], (0 if descending else null_w)
+    for s in (reversed(summary) if descending else summary):
+        offsets.append(acc)
+        acc += s[2]
     if descending:
-        ordered = list(reversed(summary))
-        offsets, acc = [], 0
-        for s in ordered:
-            offsets.append(acc)
-            acc += s[2]
-        offsets = list(reversed(offsets))   # indexed by ascending bucket
-        null_before = nonnull
-        base = 0
-    else:
-        offsets, acc = [], null_w
-        for s in summary:
-            offsets.append(acc)
-            acc += s[2]
-        null_before = 0
-        base = 0
+        offsets.reverse()                    # indexed by ascending range
+    null_before = nonnull if descending else 0
 
-    v = F.col(col)
     bounds = [s[0] for s in summary[1:]]
     bucket = _bucket_tree(v, bounds, 0, len(bounds)) if summary else F.lit(0)
     offs = F.array(*[F.lit(o).cast("long") for o in (offsets or [0])])
-    order = v.desc() if descending else v.asc()
     w = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     ranked = (vc.withColumn("_b", F.when(v.isNull(), F.lit(-1)).otherwise(bucket))
               .withColumn("_before", F.when(F.col("_b") < 0, F.lit(null_before).cast("long")).otherwise(
-                  F.element_at(offs, F.col("_b") + 1) + F.coalesce(F.sum("_w").over(w), F.lit(0)) + base))
+                  F.element_at(offs, F.col("_b") + 1) + F.coalesce(F.sum("_w").over(w), F.lit(0))))
               .select(F.col(col).alias("_v"),
                       (F.when(F.lit(n) > 1, F.col("_before").cast("double") / F.lit(float(max(n - 1, 1))))
                        .otherwise(F.lit(0.0))).alias(out)))
@@ -120,10 +141,34 @@ def _before(key: Column, descending: bool, cut) -> Column:
     return key.isNull() | (key < F.lit(cut))
 
 
+def _walk(vals: list, descending: bool, need: int, base: int):
+    vals = sorted(vals, key=lambda r: r[0], reverse=descending)
+    acc = 0
+    for value, w in vals:
+        if acc + w >= need:
+            return value, base + acc
+        acc += w
+    raise AssertionError("fewer rows than expected")
+
+
 def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
     """The value holding the ``need``-th row (1-based) in the order, and the
-    number of rows strictly before it. ``vc`` = (key, _w) distinct values."""
-    null_w = vc.where(F.col(key).isNull()).agg(F.sum("_w").alias("w")).first()["w"] or 0
+    number of rows strictly before it. ``vc`` = (key, _w) distinct values,
+    with at least ``need`` rows in total."""
+    few = vc.limit(COLLECT_LIMIT + 1).collect()          # bounded probe
+    if len(few) <= COLLECT_LIMIT:
+        nulls = sum(r["_w"] for r in few if r[key] is None)
+        vals = [(r[key], r["_w"]) for r in few if r[key] is not None]
+        if not descending:
+            if need <= nulls:
+                return None, 0
+            return _walk(vals, False, need - nulls, nulls)
+        total = sum(w for _, w in vals)
+        if need > total:
+            return None, total
+        return _walk(vals, True, need, 0)
+
+    summary, null_w = _range_summary(vc, key, "_w", buckets)
     if not descending:
         if need <= null_w:
             return None, 0
@@ -132,71 +177,53 @@ def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
         need_nn, base = need, 0
     cur = vc.where(F.col(key).isNotNull())
     while True:
-        summary = _range_summary(cur, key, "_w", buckets)
         total = sum(s[2] for s in summary)
         if need_nn > total:          # only possible descending: the NULL rows
             return None, base + total
-        parts = list(reversed(summary)) if descending else summary
         acc = 0
-        for lo, hi, w, n in parts:
+        for lo, hi, w, n in (list(reversed(summary)) if descending else summary):
             if acc + w >= need_nn:
                 break
             acc += w
         base += acc
         need_nn -= acc
         cur = cur.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        if n <= COLLECT_LIMIT or n <= 1:
-            vals = cur.select(key, "_w").collect()      # at most COLLECT_LIMIT rows
-            vals.sort(key=lambda r: r[0], reverse=descending)
-            acc = 0
-            for r in vals:
-                if acc + r["_w"] >= need_nn:
-                    return r[0], base + acc
-                acc += r["_w"]
-            raise AssertionError("range summary and values disagree")
-
-
-def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | None = None) -> DataFrame:
+        if n <= COLLECT_LIMIT or lo == hi:
+            vals = [(r[key], r["_w"]) for r in cur.select(key, "_w").collect()]   # at most COLLECT_LIMIT rows
+            return _walk(vals, descending, need_nn, base)
+        summary, _ = _range_summary(cur, key, "_w", buckets)
+
+
+def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | None = None,
+          rows: int | None = None) -> DataFrame:
     """The first ``k`` rows of ``df`` in ``ORDER BY order`` (exactly k, or all
     rows if fewer), found by narrowing a cut-off key by key, without sorting
-    the table into one task. ``order`` = [(column, descending), ...]. Rows that
-    tie on every key beyond the k-th are cut arbitrarily, as in SQL's TOP."""
+    the table into one task. ``order`` = [(column, descending), ...], NULLs
+    low (first ascending, last descending). Rows that tie on every key past
+    the k-th are cut arbitrarily, as in SQL's TOP. ``rows`` = known row count."""
     buckets = _bucket_count(df, buckets)
     if k <= 0:
         return df.limit(0)
-    remaining, need, cuts = df, k, []
-    tie_rows = None
+    if (rows if rows is not None else df.count()) <= k:
+        return df
+    remaining, need = df, k
+    cond, prefix = None, F.lit(True)
     for key, desc in order:
         vc = remaining.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
-        total = vc.agg(F.sum("_w")).first()[0] or 0
-        if need > total:         # fewer rows than k: everything qualifies
-            cuts.append(("all", key, desc))
-            break
         cut, before = _locate(vc, key, desc, need, buckets)
-        cuts.append((cut, key, desc))
         need -= before
-        remaining = remaining.where(F.col(key).eqNullSafe(F.lit(cut)) if cut is not None else F.col(key).isNull())
-    cond, prefix = None, F.lit(True)
-    for cut, key, desc in cuts:
-        if cut == "all":
-            cond = prefix if cond is None else cond | prefix
-            prefix = None
-            break
+        eq = F.col(key).isNull() if cut is None else F.col(key) == F.lit(cut)
         term = prefix & _before(F.col(key), desc, cut)
         cond = term if cond is None else cond | term
-        eq = F.col(key).eqNullSafe(F.lit(cut)) if cut is not None else F.col(key).isNull()
         prefix = prefix & eq
-    if prefix is None:
-        return df.where(cond)
-    tie_rows = df.where(prefix)
-    strictly = df.where(cond) if cond is not None else df.limit(0)
-    # ``need`` rows of the final tie group complete the k rows.
-    return strictly.unionByName(tie_rows.limit(need))
+        remaining = remaining.where(eq)
+    # rows strictly before the cut-off tuple, plus ``need`` rows tied with it
+    return df.where(cond).unionByName(df.where(prefix).limit(need))
 
 
-def top_percent(df: DataFrame, percent: float, order: list[tuple[str, bool]],
+def top_percent(df: DataFrame, percent, order: list[tuple[str, bool]],
                 buckets: int | None = None) -> DataFrame:
     """``SELECT TOP n PERCENT ... ORDER BY``: ceil(n% of the rows)."""
     n = df.count()
-    k = int(math.ceil(n * percent / 100.0 - 1e-9))
-    return top_k(df, order, k, buckets)
+    k = math.ceil(Fraction(n) * Fraction(str(percent)) / 100)
+    return top_k(df, order, k, buckets, rows=n)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import pct_text
 from ..functions.text import ci_eq
+from ..session import ensure_checkpoint_dir
 from ..operators.rfm import percent_ranks, quartile_score, rfm_metrics, rfm_segment
 from ..sources import mapping as M
 from ..sources import star
@@ -24,8 +25,16 @@ def rfm_table(spark: SparkSession, src: str, sub_category: str | None = M.COHORT
     return rfm_metrics(facts, "customer_id", "transaction_time", "charged_amount", as_of)
 
 
+def _pinned(df: DataFrame) -> DataFrame:
+    """Write the per-customer table once to the shared checkpoint folder: the
+    ranking runs several summary jobs over it, and the checkpoint both spares
+    recomputing the two-year fact join for each and cuts the lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def rfm_scores(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:
-    t = percent_ranks(rfm_table(spark, src), [
+    t = percent_ranks(_pinned(rfm_table(spark, src)), [
         ("recency", False, "r_rank"), ("frequency", True, "f_rank"), ("monetary", True, "m_rank")], scaled=scaled)
     t = t.select("*", quartile_score("r_rank").alias("r_score"), quartile_score("f_rank").alias("f_score"),
                  quartile_score("m_rank").alias("m_score"))
