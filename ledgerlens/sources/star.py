@@ -141,6 +141,24 @@ def dim_status(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.createDataFrame(list(M.STATUSES), "status_id int, status_description string"))
 
 
+def write_facts(spark: SparkSession, src: str, out: str, years=(M.YEAR_A, M.YEAR_B), months=None,
+                mode: str = "overwrite") -> None:
+    """Materialise fact rows as parquet partitioned by year and month.
+
+    A written table in a shared folder: later reads prune partitions instead
+    of joining lineitem and orders again, and the files can feed the
+    streaming reports. Rows keep the reference's column order.
+    """
+    f = fact_transactions(spark, src, years, months)
+    (f.withColumn("year", F.year("transaction_time")).withColumn("month", F.month("transaction_time"))
+     .repartition("year", "month")
+     .write.mode(mode).partitionBy("year", "month").parquet(out))
+
+
+FACT_SCHEMA = ("transaction_id bigint, customer_id bigint, scenario_id bigint, payment_channel_id int, "
+               "platform_id int, status_id int, transaction_time timestamp_ntz, charged_amount bigint")
+
+
 def register_star(spark: SparkSession, src: str) -> None:
     """Temp views under the reference's names, for Spark SQL users."""
     fact_transactions(spark, src, (M.YEAR_A,)).createOrReplaceTempView("fact_transaction_2019")

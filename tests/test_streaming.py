@@ -1,0 +1,25 @@
+"""The streaming monthly trend ends at the batch report's numbers."""
+
+import tempfile
+
+from ledgerlens.plans import trends
+from ledgerlens.sources import star
+from ledgerlens.streaming.trend import monthly_trend_stream
+
+from conftest import SF001
+
+
+def test_stream_matches_batch(spark):
+    base = tempfile.mkdtemp(prefix="ledgerlens-stream-")
+    facts, ckpt = f"{base}/facts", f"{base}/ckpt"
+    star.write_facts(spark, SF001, facts)
+    s = monthly_trend_stream(spark, facts, star.dim_scenario(spark, SF001), max_files_per_trigger=5)
+    q = (s.writeStream.outputMode("complete").format("memory").queryName("trend_stream")
+         .option("checkpointLocation", ckpt).start())
+    try:
+        q.processAllAvailable()
+        got = sorted(tuple(r) for r in spark.sql("SELECT month, year, number_trans FROM trend_stream").collect())
+    finally:
+        q.stop()
+    want = sorted(tuple(r) for r in trends.monthly_trend(spark, SF001).collect())
+    assert got == want and len(got) > 0
