@@ -30,13 +30,24 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _spark_type(t: str) -> str:
+    return {"int": "int32", "integer": "int32", "bigint": "int64", "double": "float64", "string": "text",
+            "timestamp_ntz": "timestamp", "date": "date", "boolean": "bool"}.get(t, t)
+
+
+def _duck_type(t: str) -> str:
+    t = t.upper()
+    return {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "text", "STRING": "text",
+            "TIMESTAMP": "timestamp", "DATE": "date", "BOOLEAN": "bool"}.get(t, t.lower())
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v
     if isinstance(v, decimal.Decimal):
         return round(float(v), 9)
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):   # numpy scalar
@@ -65,6 +76,11 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> tuple[bool
     d_cols = [d[0] for d in res.description]
     d_data = res.fetchall()
     msgs = []
+    s_types = {f.name.lower(): _spark_type(f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {d[0].lower(): _duck_type(str(d[1])) for d in res.description}
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_types if d_types.get(c) not in (None, s_types[c])}
+    if bad_types:
+        msgs.append(f"types differ: {bad_types}")
     if sorted(c.lower() for c in s_cols) != sorted(c.lower() for c in d_cols):
         msgs.append(f"columns differ: spark={s_cols} duck={d_cols}")
     if len(s_data) != len(d_data):
