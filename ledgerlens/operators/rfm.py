@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import date_lit, day_boundaries, literal_day_text
 from ..functions.text import concat_text, like
-from .ranking import few_distinct, percent_rank_scaled
+from .ranking import _bucket_count, column_profile, percent_rank_scaled
 
 # --- fixed values: segment rules, first match wins (order matters) ----------
 # (segment, pattern on the three-digit code r_score f_score m_score)
@@ -40,10 +40,11 @@ def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], scaled: boo
     """Add ``PERCENT_RANK() OVER (ORDER BY col [DESC])`` for each (col, desc, out).
 
     ``scaled`` uses the distributed form (no single-partition window)."""
-    few = few_distinct(df, [c for c, _, _ in specs]) if scaled else {}
+    prof = column_profile(df, [c for c, _, _ in specs], _bucket_count(df, None)) if scaled else {}
     for col, desc, out in specs:
         if scaled:
-            df = percent_rank_scaled(df, col, out, descending=desc, few=few[col])
+            few, bounds = prof[col]
+            df = percent_rank_scaled(df, col, out, descending=desc, few=few, bounds=bounds)
         else:
             order = F.col(col).desc() if desc else F.col(col).asc()
             df = df.withColumn(out, F.percent_rank().over(Window.orderBy(order)))

@@ -180,3 +180,16 @@ def test_segments_all_64_codes(spark):
 def test_quartile_score_strict(spark):
     df = spark.createDataFrame([(0.0,), (0.25,), (0.2500001,), (0.5,), (0.75,), (0.76,), (1.0,)], "p double")
     assert [r[0] for r in df.select(quartile_score("p")).collect()] == [1, 1, 2, 2, 3, 4, 4]
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_percent_rank_scaled_strings_and_huge_ints(spark, monkeypatch, desc):
+    monkeypatch.setattr(ranking, "COLLECT_LIMIT", 5)
+    big = 2 ** 60
+    rows = [(i, f"k{(i * 7) % 50:03d}" if i % 11 else None, big + (i % 37) if i % 5 else big) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, s string, b long")
+    order = (lambda c: F.col(c).desc()) if desc else (lambda c: F.col(c).asc())
+    for col in ("s", "b"):
+        got = {r.id: r.pr for r in ranking.percent_rank_scaled(df, col, "pr", descending=desc, buckets=4).collect()}
+        want = {r.id: r.pr for r in df.withColumn("pr", F.percent_rank().over(Window.orderBy(order(col)))).collect()}
+        assert got == want, col
