@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions.numeric import ratio
 from ..functions.text import ci_eq
 from ..operators.aggregate import (bin_by_width, bin_exact, histogram, metric_summary,
-                                   plain_label, thousands_label)
+                                   plain_label, share_of_total, thousands_label)
 from ..sources import mapping as M
 from ..sources import star
 
@@ -61,8 +61,8 @@ def share_of_category_in_type(spark: SparkSession, src: str) -> DataFrame:
     cc = (tc.where(F.col("transaction_type").isNotNull()).groupBy("transaction_type")
           .agg(F.sum("num_of_trans").alias("total_count")))
     j = tc.join(cc, "transaction_type", "left")
-    return j.select("transaction_type", "category", "num_of_trans", "total_count",
-                    ratio("num_of_trans", "total_count", scale=6, percent=True).alias("percentage"))
+    return share_of_total(j, "num_of_trans", "total_count", "percentage").select(
+        "transaction_type", "category", "num_of_trans", "total_count", "percentage")
 
 
 def _customer_metrics(spark: SparkSession, src: str) -> DataFrame:

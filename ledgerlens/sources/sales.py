@@ -95,3 +95,16 @@ def customer_address(spark: SparkSession, src: str) -> DataFrame:
     return read_table(spark, src, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"]).select(
         F.col("c_custkey").alias("CustomerID"), F.col("c_nationkey").cast("long").alias("AddressID"),
         F.col("c_mktsegment").alias("AddressType"))
+
+
+def register_sales(spark: SparkSession, src: str) -> None:
+    """Temp views under the reference's table names, for Spark SQL users
+    (``SELECT ... FROM Address`` etc.)."""
+    views = {
+        "Address": address(spark, src), "Product": product(spark, src, with_category_model=True),
+        "ProductCategory": product_category(spark, src), "ProductModel": product_model(spark, src),
+        "SalesOrderDetail": sales_order_detail(spark, src), "Customer": customer(spark, src),
+        "SalesOrderHeader": sales_order_header(spark, src), "CustomerAddress": customer_address(spark, src),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
