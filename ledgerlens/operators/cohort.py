@@ -13,7 +13,7 @@ the span of months to be known and at most 63 (the reference uses one year).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import month_index
 from ..functions.numeric import pct_text
@@ -45,12 +45,14 @@ def cohort_with_base(cells: DataFrame, cohort: str = "acquisition_month") -> Dat
     """Add ``original_users`` (the cohort's offset-0 size) and ``pct_retained``.
 
     Per cohort, FIRST_VALUE ordered by offset is the offset-0 cell (the first
-    month is always active). Computed as a grouped value joined back: cohorts
-    are at most ``periods`` rows, so the join side is tiny.
+    month is always active). Taken with a window over the cells of the cohort
+    (at most ``periods`` rows each), so the facts are aggregated once: joining
+    the cells to a filtered copy of themselves would plan the whole fact
+    pipeline a second time.
     """
-    base = (cells.where(F.col("subsequent_month") == 0)
-            .select(cohort, F.col("retained_users").alias("original_users")))
-    out = cells.join(F.broadcast(base), cohort, "left")
+    w = Window.partitionBy(cohort)
+    out = cells.withColumn("original_users",
+                           F.max(F.when(F.col("subsequent_month") == 0, F.col("retained_users"))).over(w))
     return out.withColumn("pct_retained", pct_text("retained_users", "original_users"))
 
 

@@ -217,32 +217,32 @@ def _walk(vals: list, descending: bool, need: int, base: int):
     acc = 0
     for value, w in vals:
         if acc + w >= need:
-            return value, base + acc
+            return value, base + acc, w
         acc += w
     raise AssertionError("fewer rows than expected")
 
 
 def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
-    """The value holding the ``need``-th row (1-based) in the order, and the
-    number of rows strictly before it. ``vc`` = (key, _w) distinct values,
-    with at least ``need`` rows in total."""
+    """The value holding the ``need``-th row (1-based) in the order, the
+    number of rows strictly before it, and the number of rows equal to it.
+    ``vc`` = (key, _w) distinct values, with at least ``need`` rows in total."""
     few = vc.limit(COLLECT_LIMIT + 1).collect()          # bounded probe
     if len(few) <= COLLECT_LIMIT:
         nulls = sum(r["_w"] for r in few if r[key] is None)
         vals = [(r[key], r["_w"]) for r in few if r[key] is not None]
         if not descending:
             if need <= nulls:
-                return None, 0
+                return None, 0, nulls
             return _walk(vals, False, need - nulls, nulls)
         total = sum(w for _, w in vals)
         if need > total:
-            return None, total
+            return None, total, nulls
         return _walk(vals, True, need, 0)
 
     summary, null_w = _range_summary(vc, key, "_w", buckets)
     if not descending:
         if need <= null_w:
-            return None, 0
+            return None, 0, null_w
         need_nn, base = need - null_w, null_w
     else:
         need_nn, base = need, 0
@@ -250,7 +250,7 @@ def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
     while True:
         total = sum(s[2] for s in summary)
         if need_nn > total:          # only possible descending: the NULL rows
-            return None, base + total
+            return None, base + total, null_w
         acc = 0
         for lo, hi, w, n in (list(reversed(summary)) if descending else summary):
             if acc + w >= need_nn:
@@ -277,18 +277,21 @@ def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | N
         return df.limit(0)
     if (rows if rows is not None else df.count()) <= k:
         return df
-    remaining, need = df, k
+    remaining, need, tie = df, k, None
     cond, prefix = None, F.lit(True)
     for key, desc in order:
         vc = remaining.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
-        cut, before = _locate(vc, key, desc, need, buckets)
+        cut, before, tie = _locate(vc, key, desc, need, buckets)
         need -= before
         eq = F.col(key).isNull() if cut is None else F.col(key) == F.lit(cut)
         term = prefix & _before(F.col(key), desc, cut)
         cond = term if cond is None else cond | term
         prefix = prefix & eq
         remaining = remaining.where(eq)
-    # rows strictly before the cut-off tuple, plus ``need`` rows tied with it
+    # rows strictly before the cut-off tuple, plus ``need`` rows tied with it;
+    # when the whole tie group is needed (a unique last key) one filter does
+    if tie == need:
+        return df.where(cond | prefix)
     return df.where(cond).unionByName(df.where(prefix).limit(need))
 
 

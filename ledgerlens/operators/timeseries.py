@@ -13,10 +13,17 @@ from ..functions.numeric import decimal_text_pct, pct_text
 
 
 def index_to_base(df: DataFrame, value: str, base_filter: Column, base_out: str, pct_out: str) -> DataFrame:
-    """Value of the base period (a scalar subquery: NULL if the base row is
-    missing, an error if there are several) and the percent change from it."""
-    base = df.where(base_filter).select(value).scalar()
-    out = df.withColumn(base_out, base)
+    """Value of the base period and the percent change from it.
+
+    Scalar-subquery semantics (NULL when no row matches, an error when more
+    than one does), computed with a window over the per-period rows rather
+    than a subquery: a subquery would plan the whole aggregation again.
+    """
+    everything = Window.partitionBy()          # one row per period: bounded
+    hits = F.count(F.when(base_filter, F.lit(1))).over(everything)
+    base = F.max(F.when(base_filter, F.col(value))).over(everything)
+    out = df.withColumn(base_out, F.when(hits > 1, F.raise_error(
+        F.lit("more than one row as the base of index_to_base"))).otherwise(base).cast(df.schema[value].dataType))
     out = out.withColumn("_delta", F.col(value) - F.col(base_out))
     return out.withColumn(pct_out, decimal_text_pct("_delta", base_out)).drop("_delta")
 

@@ -58,9 +58,11 @@ def share_of_category_in_type(spark: SparkSession, src: str) -> DataFrame:
     (its LEFT JOIN key never matches), as in the reference."""
     tc = (_successful(spark, src).groupBy("transaction_type", "category")
           .agg(F.count(F.lit(1)).alias("num_of_trans")))
-    cc = (tc.where(F.col("transaction_type").isNotNull()).groupBy("transaction_type")
-          .agg(F.sum("num_of_trans").alias("total_count")))
-    j = tc.join(cc, "transaction_type", "left")
+    # type totals by a window over the (type, category) counts -- a handful of
+    # rows per type -- instead of joining the counts to an aggregate of
+    # themselves, which would run the fact pipeline twice
+    total = F.sum("num_of_trans").over(Window.partitionBy("transaction_type"))
+    j = tc.withColumn("total_count", F.when(F.col("transaction_type").isNotNull(), total))
     return share_of_total(j, "num_of_trans", "total_count", "percentage").select(
         "transaction_type", "category", "num_of_trans", "total_count", "percentage")
 

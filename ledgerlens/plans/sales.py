@@ -65,7 +65,9 @@ def customer_orders_main_address(spark: SparkSession, src: str, address_type: st
     ca = S.customer_address(spark, src).where(ci_eq("AddressType", address_type))
     a = S.address(spark, src)
     oh = S.sales_order_header(spark, src)
-    j = c.join(ca, "CustomerID").join(a, "AddressID").join(oh, "CustomerID")
+    # the three CustomerID joins first (one hash partitioning serves them all),
+    # the address (one row per nation) last
+    j = c.join(ca, "CustomerID").join(oh, "CustomerID").join(a, "AddressID")
     return j.select("CompanyName", "AddressLine1", nvl_text("AddressLine2").alias("AddressLine2"),
                     "City", "StateProvince", "PostalCode", "CountryRegion", "SalesOrderID", "TotalDue")
 

@@ -70,9 +70,28 @@ def period_filter(col: str, years, months=None) -> Column:
                   [(F.col(col) >= ts_ntz(s)) & (F.col(col) < ts_ntz(e)) for s, e in spans])
 
 
+# Session setting naming a folder written by ``write_facts``. When set, facts
+# are read from it with partition pruning instead of joining lineitem and
+# orders again in every report.
+FACTS_PATH_CONF = "ledgerlens.facts.path"
+
+
+def _materialised(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get(FACTS_PATH_CONF, None) or None
+    except Exception:  # pragma: no cover
+        return None
+
+
 def fact_transactions(spark: SparkSession, src: str, years=(M.YEAR_A,), months=None,
                       with_order_key: bool = False) -> DataFrame:
     """Rows of ``fact_transaction_<year>`` for the given years (and months)."""
+    stored = _materialised(spark)
+    if stored:
+        cond = F.col("year").isin(list(years))
+        if months:
+            cond = cond & F.col("month").isin(list(months))
+        return spark.read.parquet(stored).where(cond).select(*FACT_COLUMNS)   # PartitionFilters
     orders = (read_table(spark, src, "orders",
                          ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
               .where(period_filter("o_orderdate", years, months)))

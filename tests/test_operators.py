@@ -193,3 +193,9 @@ def test_percent_rank_scaled_strings_and_huge_ints(spark, monkeypatch, desc):
         got = {r.id: r.pr for r in ranking.percent_rank_scaled(df, col, "pr", descending=desc, buckets=4).collect()}
         want = {r.id: r.pr for r in df.withColumn("pr", F.percent_rank().over(Window.orderBy(order(col)))).collect()}
         assert got == want, col
+
+
+def test_index_to_base_two_base_rows_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1997, 5), (1, 1997, 6)], "month int, year int, n long")
+    with pytest.raises(Exception):
+        index_to_base(df, "n", (F.col("month") == 1) & (F.col("year") == 1997), "base", "pct").collect()

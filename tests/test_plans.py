@@ -41,3 +41,29 @@ def test_scaled_percent_rank_has_no_single_partition(spark, monkeypatch):
         if ln.startswith("Exchange SinglePartition"):
             assert lines[i + 1].startswith("HashAggregate(keys=[_b"), lines[i + 1]
     assert out.count() == 2000
+
+
+def test_reports_read_the_facts_once(spark):
+    from ledgerlens.plans.registry import QUERIES
+    for name in ("retention_all_cohorts", "retention_matrix", "retention_matrix_join",
+                 "share_of_category_in_type", "index_to_first_month", "share_by_type_top5"):
+        p = plan(QUERIES[name](spark, SF01))
+        assert p.count("lineitem.parquet") == 1, name
+
+
+def test_materialised_facts_are_pruned_and_equal(spark, tmp_path):
+    import __spark_entry__ as E
+    from oracle_compare import compare, duck_connection
+    out = str(tmp_path / "facts")
+    star.write_facts(spark, SF01, out)
+    spark.conf.set(star.FACTS_PATH_CONF, out)
+    try:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+        p = plan(star.fact_transactions(spark, SF01, (1997,), months=(1,)))
+        assert "PartitionFilters: [isnotnull(year" in p and "lineitem" not in p
+        con = duck_connection(SF01)
+        for name in ("monthly_trend", "retention_matrix", "rfm_segments", "transactions_two_januaries"):
+            ok, msg = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, con)
+            assert ok, msg
+    finally:
+        spark.conf.unset(star.FACTS_PATH_CONF)
