@@ -58,17 +58,16 @@ def metric_summary(df: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFr
     ``stack`` (the reference reads its CTE four times through a UNION).
     """
     aggs = []
-    for i, (_, col, _kind) in enumerate(metrics):
-        aggs += [F.min(col).alias(f"_mn{i}"), F.max(col).alias(f"_mx{i}"),
-                 F.sum(col).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
-    one = df.agg(*aggs)
-    avgs = []
-    for i, (_, _col, kind) in enumerate(metrics):
+    for i, (_, col, kind) in enumerate(metrics):
+        aggs += [F.min(col).alias(f"_mn{i}"), F.max(col).alias(f"_mx{i}")]
         if kind == "int":
-            avgs.append(F.expr(f"_s{i} div _c{i}").cast("double").alias(f"_a{i}"))
+            aggs.append(int_avg(col).cast("double").alias(f"_a{i}"))
         else:
-            avgs.append(ratio(f"_s{i}", f"_c{i}", scale=6).alias(f"_a{i}"))
-    one = one.select("*", *avgs)
+            aggs += [F.sum(col).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
+    one = df.agg(*aggs)
+    exact = [ratio(f"_s{i}", f"_c{i}", scale=6).alias(f"_a{i}")
+             for i, (_, _, kind) in enumerate(metrics) if kind != "int"]
+    one = one.select("*", *exact)
     parts = ", ".join(
         f"'{label}', cast(_mn{i} as bigint), cast(_mx{i} as bigint), _a{i}"
         for i, (label, _, _) in enumerate(metrics))
@@ -76,16 +75,16 @@ def metric_summary(df: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFr
 
 
 def pivot_count(df: DataFrame, rows: list[str], on: str, values: list, id_col: str,
-                names: list[str] | None = None, fill: int | None = 0) -> DataFrame:
-    """``PIVOT (COUNT(id) FOR on IN (values))``; SQL Server gives 0 for an empty
-    cell (Spark's pivot gives NULL, hence ``fill``)."""
-    p = df.groupBy(*rows).pivot(on, list(values)).agg(F.count(id_col))
-    if fill is not None:
-        p = p.na.fill(fill, subset=[str(v) for v in values])
-    if names:
-        for v, n in zip(values, names):
-            p = p.withColumnRenamed(str(v), n)
-    return p
+                names: list[str] | None = None) -> DataFrame:
+    """``PIVOT (COUNT(id) FOR on IN (values))``, grouped by ``rows``.
+
+    One conditional count per value in a single aggregation (partial
+    aggregation, one shuffle); ``groupBy().pivot()`` would aggregate twice and
+    leave NULL where SQL Server's PIVOT COUNT gives 0. Groups whose rows have
+    none of the values are kept with zeros, as PIVOT keeps them."""
+    names = names or [str(v) for v in values]
+    return df.groupBy(*rows).agg(*[
+        F.count(F.when(F.col(on) == F.lit(v), F.col(id_col))).alias(n) for v, n in zip(values, names)])
 
 
 def row_shares(df: DataFrame, cols: list[str], total: str) -> DataFrame:
@@ -96,5 +95,5 @@ def row_shares(df: DataFrame, cols: list[str], total: str) -> DataFrame:
 
 __all__ = [
     "bin_by_width", "bin_exact", "histogram", "share_of_total", "metric_summary",
-    "pivot_count", "row_shares", "plain_label", "thousands_label", "int_avg",
+    "pivot_count", "row_shares", "plain_label", "thousands_label",
 ]

@@ -10,12 +10,13 @@ customer's active months into a bit mask in a single partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import pct_text
 from ..functions.text import ci_eq
 from ..operators.cohort import cohort_cells, cohort_with_base
 from ..operators.cohort import retention_matrix as pivot_matrix
+from ..operators.timeseries import first_value_of
 from ..sources import mapping as M
 from ..sources import star
 
@@ -42,7 +43,7 @@ def retention_first_cohort(spark: SparkSession, src: str, cohort_month: int = 1)
 def retention_first_cohort_pct(spark: SparkSession, src: str, cohort_month: int = 1) -> DataFrame:
     """Q32 plus the cohort size (FIRST_VALUE by offset) and the retained percent."""
     r = retention_first_cohort(spark, src, cohort_month)
-    r = r.withColumn("original_users", F.first("retained_users").over(Window.orderBy("subsequent_month")))
+    r = first_value_of(r, "retained_users", ["subsequent_month"], "original_users")
     return r.withColumn("pct_retained_users", pct_text("retained_users", "original_users"))
 
 
@@ -50,9 +51,8 @@ def retention_all_cohorts_join(spark: SparkSession, src: str) -> DataFrame:
     """All cohorts; ``FIRST_VALUE(..) OVER (ORDER BY acquisition_month)`` without
     PARTITION BY, as written: every cell is divided by ONE value, the first
     cohort's offset-0 cell (offset breaks the reference's tie)."""
-    c = _cells(spark, src)
-    w = Window.orderBy("acquisition_month", "subsequent_month")
-    c = c.withColumn("original_users", F.first("retained_users").over(w))
+    c = first_value_of(_cells(spark, src), "retained_users", ["acquisition_month", "subsequent_month"],
+                       "original_users")
     return c.withColumn("pct_retained", pct_text("retained_users", "original_users"))
 
 
