@@ -1,24 +1,33 @@
-"""Global ranking without a single-partition window.
-
-``percent_rank().over(Window.orderBy(x))`` moves every row into one task. At
-scale that task holds the whole customer table. The operators here do the
-same work as a few distributed jobs:
-
-1. count rows per distinct value (map-side combine, so a value holding a third
-   of all rows becomes one row early);
-2. range-partition the distinct values and keep, per range partition, its
-   smallest and largest value and its row count -- a summary of at most
-   ``buckets`` rows, the only thing brought to the driver;
-3. assign every distinct value its range by comparing with the collected
-   boundaries (a balanced CASE tree, codegen'd), add the prefix count of the
-   ranges before it, and finish the prefix inside the range with a window
-   partitioned by range (each range holds about 1/buckets of the distinct
-   values);
-4. join the per-value result back to the rows (AQE picks broadcast or a
-   skew-split shuffle join from measured sizes).
-
-The boundaries are values, not partition ids, so nothing depends on the range
-partitioning being reproduced if a task is recomputed after executor loss.
+"""Global ranking and top-k without a single-partition sort.
+
+``percent_rank().over(Window.orderBy(x))`` and ``orderBy(x).limit(k)`` with a
+large k move every row into one task. At scale that task holds the whole
+customer (or product) table. The operators here spread the work:
+
+``percent_rank_scaled`` -- one profiling job first (HyperLogLog distinct
+estimate, and for numeric columns ``percentile_approx`` boundaries), then:
+
+* few distinct values: rank the distinct values (a bounded table) in one
+  window and join back;
+* numeric column: rows go to buckets at the boundaries -- each boundary value
+  a bucket of its own, each open interval between two boundaries another. A
+  value with more than ~1.5/buckets of the rows is always a boundary, so its
+  rows tie in a singleton bucket and need no window at all; interval buckets
+  hold at most ~1.5/buckets of the rows and get ``rank()`` per bucket. Bucket
+  offsets come from a window over the bucket totals (at most 2*buckets+2 rows),
+  broadcast;
+* other types: range partitions of the distinct values, summarised to at most
+  ``buckets`` (lo, hi, count) rows, the same offsets, a window per range, and
+  a join back.
+
+``top_k`` -- finds the k-th row's key tuple key by key (distinct-value counts,
+bounded collects or range summaries), then filters; only a final group of
+rows tied on every key is cut with ``limit``.
+
+Boundaries are values, not partition ids, so nothing depends on a layout
+being reproduced when a task is recomputed after executor loss. The bucket
+index is a balanced CASE tree over the boundaries (codegen'd, evaluated once
+per row).
 """
 
 from __future__ import annotations

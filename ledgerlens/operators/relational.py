@@ -19,9 +19,13 @@ def union_distinct(*frames: DataFrame, by_name: bool = False) -> DataFrame:
 
 
 def semi_join(df: DataFrame, sub: DataFrame, left: str, right: str | None = None) -> DataFrame:
-    """``left IN (SELECT right FROM sub)``: a left semi join (no duplicates from ``sub``)."""
+    """``left IN (SELECT right FROM sub)``: a left semi join (no duplicates from ``sub``).
+
+    The keys are de-duplicated first: a partial aggregate collapses a hot key
+    map-side, so the semi join's build side cannot be skewed (AQE can split a
+    skewed left side of a semi join, not its right side)."""
     right = right or left
-    keys = sub.select(F.col(right).alias("_k"))
+    keys = sub.select(F.col(right).alias("_k")).distinct()
     return df.join(keys, df[left] == keys["_k"], "left_semi")
 
 
@@ -35,7 +39,8 @@ def not_in(df: DataFrame, sub: DataFrame, left: str, right: str | None = None) -
     Spark plans SQL ``NOT IN`` as a null-aware anti join only when ``sub`` can
     be broadcast, and as a nested-loop join otherwise. Here two one-row probes
     (``limit 1``) decide the case, then a plain ``left_anti`` join runs, which
-    AQE may broadcast or shuffle by measured size.
+    AQE may broadcast or shuffle by measured size. Its build side is
+    de-duplicated first (partial aggregate), so a hot key cannot skew it.
     """
     right = right or left
     keys = sub.select(F.col(right).alias("_k"))
@@ -43,4 +48,5 @@ def not_in(df: DataFrame, sub: DataFrame, left: str, right: str | None = None) -
         return df
     if keys.where(F.col("_k").isNull()).limit(1).take(1):
         return df.limit(0)
+    keys = keys.distinct()
     return df.where(F.col(left).isNotNull()).join(keys, F.col(left) == keys["_k"], "left_anti")
