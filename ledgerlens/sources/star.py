@@ -125,13 +125,17 @@ def distinct_facts(facts: DataFrame) -> DataFrame:
     return facts.distinct()
 
 
-def fact_union(spark: SparkSession, src: str, years=(M.YEAR_A, M.YEAR_B), months=None) -> DataFrame:
+def fact_union(spark: SparkSession, src: str, years=(M.YEAR_A, M.YEAR_B), months=None,
+               distinct: bool = True) -> DataFrame:
     """``SELECT * FROM fact_<y1> UNION SELECT * FROM fact_<y2>``.
 
     The yearly tables hold disjoint years, so the union of the two equals one
-    scan of both years followed by one whole-row DISTINCT.
+    scan of both years followed by one whole-row DISTINCT. ``distinct=False``
+    is ``UNION ALL``: equal only when the caller knows the fact rows are
+    unique (the reports keep the DISTINCT, as the SQL says).
     """
-    return distinct_facts(fact_transactions(spark, src, years, months, with_order_key=True))
+    f = fact_transactions(spark, src, years, months, with_order_key=distinct)
+    return distinct_facts(f) if distinct else f
 
 
 def dim_scenario(spark: SparkSession, src: str) -> DataFrame:
