@@ -107,14 +107,17 @@ def column_profile(df: DataFrame, cols: list[str], buckets: int) -> dict[str, tu
     aggs = []
     for c in cols:
         aggs.append(F.approx_count_distinct(c, 0.02).alias(f"{c}__n"))
-        if _is_numeric(df, c):
+        if _is_numeric(df, c) and probs:
             aggs.append(F.percentile_approx(c, probs, 4 * buckets).alias(f"{c}__q"))
     row = df.agg(*aggs).first()
     out = {}
     for c in cols:
         few = (row[f"{c}__n"] or 0) + 1 <= limit // 2
-        qs = row[f"{c}__q"] if _is_numeric(df, c) else None
-        out[c] = (few, sorted(set(x for x in qs if x is not None)) if qs is not None else None)
+        if not _is_numeric(df, c):
+            out[c] = (few, None)
+            continue
+        qs = (row[f"{c}__q"] if probs else None) or []
+        out[c] = (few, sorted(set(x for x in qs if x is not None)))
     return out
 
 
