@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import pct_text
 from ..functions.text import ci_eq
-from ..session import ensure_checkpoint_dir
+from ..session import pin
 from ..operators.rfm import percent_ranks, quartile_score, rfm_metrics, rfm_segment
 from ..sources import mapping as M
 from ..sources import star
@@ -26,11 +26,10 @@ def rfm_table(spark: SparkSession, src: str, sub_category: str | None = M.COHORT
 
 
 def _pinned(df: DataFrame) -> DataFrame:
-    """Write the per-customer table once to the shared checkpoint folder: the
-    ranking runs several summary jobs over it, and the checkpoint both spares
-    recomputing the two-year fact join for each and cuts the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The ranking runs several summary jobs over the per-customer table:
+    write it once (shared checkpoint folder) instead of recomputing the
+    two-year fact join for each; this also cuts the lineage."""
+    return pin(df)
 
 
 def rfm_scores(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:

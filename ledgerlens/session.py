@@ -65,3 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return current
+
+
+def pin(df):
+    """Write ``df`` once into the shared checkpoint folder and return a
+    DataFrame reading it: later jobs reuse it instead of recomputing the
+    lineage, and a lost executor costs a re-read, not a recomputation."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -76,7 +76,7 @@ def period_filter(col: str, years, months=None) -> Column:
 FACTS_PATH_CONF = "ledgerlens.facts.path"
 
 
-def _materialised(spark: SparkSession) -> str | None:
+def materialised(spark: SparkSession) -> str | None:
     try:
         return spark.conf.get(FACTS_PATH_CONF, None) or None
     except Exception:  # pragma: no cover
@@ -86,7 +86,7 @@ def _materialised(spark: SparkSession) -> str | None:
 def fact_transactions(spark: SparkSession, src: str, years=(M.YEAR_A,), months=None,
                       with_order_key: bool = False) -> DataFrame:
     """Rows of ``fact_transaction_<year>`` for the given years (and months)."""
-    stored = _materialised(spark)
+    stored = materialised(spark)
     if stored:
         cond = F.col("year").isin(list(years))
         if months:
