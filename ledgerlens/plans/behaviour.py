@@ -99,12 +99,14 @@ def _per_customer(spark: SparkSession, src: str, measure) -> DataFrame:
 
 
 def hist_amount(spark: SparkSession, src: str, width: int = M.AMOUNT_BIN_WIDTH, bins: int = M.BIN_COUNT) -> DataFrame:
+    """Customers per total-amount bin (ten bins of fixed width, then an open last bin)."""
     t = _per_customer(spark, src, F.sum("charged_amount").alias("total_amount"))
     t = t.withColumn("charge_amount_range", bin_by_width("total_amount", width, bins, thousands_label))
     return histogram(t, "charge_amount_range", "customer_id")
 
 
 def hist_trans(spark: SparkSession, src: str, width: int = M.COUNT_BIN_WIDTH, bins: int = M.BIN_COUNT) -> DataFrame:
+    """Customers per transaction-count bin (ten bins of fixed width, then an open last bin)."""
     t = _per_customer(spark, src, F.count("transaction_id").alias("number_trans"))
     t = t.withColumn("number_trans_range", bin_by_width("number_trans", width, bins, plain_label))
     return histogram(t, "number_trans_range", "customer_id")
@@ -118,6 +120,7 @@ def hist_categories(spark: SparkSession, src: str, n: int = M.CATEGORY_BINS) ->
 
 
 def hist_scenarios(spark: SparkSession, src: str, n: int = M.SCENARIO_BINS) -> DataFrame:
+    """COUNT(scenario_id) per customer binned 1..n, else NULL; customers per bin."""
     t = _per_customer(spark, src, F.count("scenario_id").alias("number_scenarios"))
     t = t.withColumn("number_scenarios_range", bin_exact("number_scenarios", n))
     return histogram(t, "number_scenarios_range", "customer_id")

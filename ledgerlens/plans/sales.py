@@ -32,6 +32,7 @@ def _color_or_size(colors, sizes):
 
 
 def products_by_color_or_size(spark: SparkSession, src: str, colors=M.COLORS, sizes=M.SIZES) -> DataFrame:
+    """Product number and name for listed colors OR listed sizes."""
     p = S.product(spark, src)
     return p.where(_color_or_size(colors, sizes)).select("ProductNumber", "Name")
 
@@ -55,6 +56,7 @@ def products_never_ordered(spark: SparkSession, src: str, words=M.NAME_WORDS,
 
 
 def customer_orders(spark: SparkSession, src: str) -> DataFrame:
+    """Company name, sales order id and total due per order."""
     c, oh = S.customer(spark, src), S.sales_order_header(spark, src)
     return c.join(oh, "CustomerID").select("CompanyName", "SalesOrderID", "TotalDue")
 

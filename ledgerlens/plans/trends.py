@@ -34,11 +34,13 @@ def _billing(spark: SparkSession, src: str, category: str | None = M.CATEGORY, s
 
 
 def monthly_trend(spark: SparkSession, src: str) -> DataFrame:
+    """Successful transactions of one category per month, both years (UNION of the facts)."""
     return (_billing(spark, src).groupBy(_month(), _year())
             .agg(F.count("transaction_id").alias("number_trans")).orderBy("year", "month"))
 
 
 def monthly_trend_by_sub(spark: SparkSession, src: str) -> DataFrame:
+    """The monthly trend per sub-category."""
     return (_billing(spark, src).groupBy(_month(), _year(), "sub_category")
             .agg(F.count("transaction_id").alias("number_trans")).orderBy("year", "month"))
 
