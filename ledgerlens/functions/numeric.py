@@ -16,8 +16,9 @@ def _q(name: str) -> str:
 
 
 def int_avg(col: str) -> Column:
-    """``AVG(int_col)`` in SQL Server: the integer part of the mean (inputs >= 0
-    here, so floor = truncate). Spark's ``avg`` would return a double."""
+    """``AVG(int_col)`` in SQL Server: integer division of the sum by the count,
+    truncated toward zero -- as Spark's ``div`` does. Spark's ``avg`` would
+    return a double."""
     return F.expr(f"sum({_q(col)}) div count({_q(col)})")
 
 
