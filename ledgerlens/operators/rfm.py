@@ -36,19 +36,32 @@ def rfm_metrics(facts: DataFrame, user: str, ts: str, amount: str, as_of: str) -
     )
 
 
-def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], scaled: bool = True) -> DataFrame:
+def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], scaled: bool = True,
+                  key: str | None = None) -> DataFrame:
     """Add ``PERCENT_RANK() OVER (ORDER BY col [DESC])`` for each (col, desc, out).
 
-    ``scaled`` uses the distributed form (no single-partition window)."""
+    ``scaled`` uses the distributed form (no single-partition window). With a
+    unique ``key`` each rank is computed from ``df`` alone as a narrow
+    (key, rank) frame and joined back on the key, so the plan grows linearly
+    with the number of ranks (chaining them would re-plan each earlier rank
+    inside every later one)."""
     prof = column_profile(df, [c for c, _, _ in specs], _bucket_count(df, None)) if scaled else {}
-    for col, desc, out in specs:
+    out = df
+    for col, desc, name in specs:
         if scaled:
             few, bounds = prof[col]
-            df = percent_rank_scaled(df, col, out, descending=desc, few=few, bounds=bounds)
+            src = df.select(key, col) if key else out
+            ranked = percent_rank_scaled(src, col, name, descending=desc, few=few, bounds=bounds)
         else:
             order = F.col(col).desc() if desc else F.col(col).asc()
-            df = df.withColumn(out, F.percent_rank().over(Window.orderBy(order)))
-    return df
+            src = df.select(key, col) if key else out
+            ranked = src.withColumn(name, F.percent_rank().over(Window.orderBy(order)))
+        if key:
+            r = ranked.select(F.col(key).alias("_key"), name)
+            out = out.join(r, out[key].eqNullSafe(r["_key"]), "inner").drop("_key")
+        else:
+            out = ranked
+    return out
 
 
 def quartile_score(pr) -> Column:

@@ -34,7 +34,8 @@ def _pinned(df: DataFrame) -> DataFrame:
 
 def rfm_scores(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:
     t = percent_ranks(_pinned(rfm_table(spark, src)), [
-        ("recency", False, "r_rank"), ("frequency", True, "f_rank"), ("monetary", True, "m_rank")], scaled=scaled)
+        ("recency", False, "r_rank"), ("frequency", True, "f_rank"), ("monetary", True, "m_rank")],
+        scaled=scaled, key="customer_id")
     t = t.select("*", quartile_score("r_rank").alias("r_score"), quartile_score("f_rank").alias("f_score"),
                  quartile_score("m_rank").alias("m_score"))
     return t.withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
