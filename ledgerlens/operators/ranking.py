@@ -174,6 +174,9 @@ def percent_rank_scaled(df: DataFrame, col: str, out: str, descending: bool = Fa
     - few distinct values: one window over the distinct values (bounded);
     - numeric column: buckets at row quantiles (``_rank_by_quantiles``);
     - other types: ranges of the distinct values at collected boundaries.
+
+    ``df`` is read up to three times (profile aside): pin it first
+    (``session.pin``) when it is expensive to compute, as the RFM report does.
     """
     v = F.col(col)
     order = (v.desc_nulls_last() if descending else v.asc_nulls_first())
