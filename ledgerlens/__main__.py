@@ -39,9 +39,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from .session import apply_semantics
+    from .session import apply_defaults
     spark = SparkSession.builder.appName(f"ledgerlens-{args.report}").getOrCreate()
-    apply_semantics(spark)
+    apply_defaults(spark)
     df = QUERIES[args.report](spark, args.src)
     if args.cmd == "explain":
         df.explain("formatted")
