@@ -165,16 +165,23 @@ def dim_status(spark: SparkSession) -> DataFrame:
 
 
 def write_facts(spark: SparkSession, src: str, out: str, years=(M.YEAR_A, M.YEAR_B), months=None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", write_tasks: int | None = None) -> None:
     """Materialise fact rows as parquet partitioned by year and month.
 
     A written table in a shared folder: later reads prune partitions instead
     of joining lineitem and orders again, and the files can feed the
     streaming reports. Rows keep the reference's column order.
+
+    Rows are dealt round-robin to ``write_tasks`` tasks (default: the shuffle
+    partition count), so neither a large month nor a mass of identical rows
+    lands in one task; Spark sorts before a round-robin repartition, so a
+    retried task gets the same rows. Each task then writes one file per month
+    it holds.
     """
+    n = write_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     f = fact_transactions(spark, src, years, months)
     (f.withColumn("year", F.year("transaction_time")).withColumn("month", F.month("transaction_time"))
-     .repartition("year", "month")
+     .repartition(n).sortWithinPartitions("year", "month")
      .write.mode(mode).partitionBy("year", "month").parquet(out))
 
 
