@@ -104,7 +104,7 @@ def test_filtered_orders_can_prune_lineitem_before_the_join(spark):
     into the lineitem scan, so only matching lines are shuffled to the join."""
     from ledgerlens.plans.registry import QUERIES
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1MB"}
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "64KB"}
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
