@@ -37,16 +37,18 @@ def not_in(df: DataFrame, sub: DataFrame, left: str, right: str | None = None) -
     - otherwise rows with a non-NULL ``left`` absent from ``sub``.
 
     Spark plans SQL ``NOT IN`` as a null-aware anti join only when ``sub`` can
-    be broadcast, and as a nested-loop join otherwise. Here two one-row probes
-    (``limit 1``) decide the case, then a plain ``left_anti`` join runs, which
-    AQE may broadcast or shuffle by measured size. Its build side is
-    de-duplicated first (partial aggregate), so a hot key cannot skew it.
+    be broadcast, and as a nested-loop join otherwise. Here one aggregate pass
+    over the keys (row count, any NULL: one row to the driver) decides the
+    case, then a plain ``left_anti`` join runs, which AQE may broadcast or
+    shuffle by measured size. Its build side is de-duplicated first (partial
+    aggregate), so a hot key cannot skew it.
     """
     right = right or left
     keys = sub.select(F.col(right).alias("_k"))
-    if not keys.limit(1).take(1):
+    probe = keys.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("_k").isNull().cast("int")).alias("nul")).first()
+    if not probe["n"]:
         return df
-    if keys.where(F.col("_k").isNull()).limit(1).take(1):
+    if probe["nul"]:
         return df.limit(0)
     keys = keys.distinct()
     return df.where(F.col(left).isNotNull()).join(keys, F.col(left) == keys["_k"], "left_anti")
