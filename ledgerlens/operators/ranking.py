@@ -237,11 +237,12 @@ def _walk(vals: list, descending: bool, need: int, base: int):
     raise AssertionError("fewer rows than expected")
 
 
-def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
+def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int, few: list | None = None):
     """The value holding the ``need``-th row (1-based) in the order, the
     number of rows strictly before it, and the number of rows equal to it.
     ``vc`` = (key, _w) distinct values, with at least ``need`` rows in total."""
-    few = vc.limit(COLLECT_LIMIT + 1).collect()          # bounded probe
+    if few is None:
+        few = vc.limit(COLLECT_LIMIT + 1).collect()      # bounded probe
     if len(few) <= COLLECT_LIMIT:
         nulls = sum(r["_w"] for r in few if r[key] is None)
         vals = [(r[key], r["_w"]) for r in few if r[key] is not None]
@@ -281,7 +282,7 @@ def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int):
 
 
 def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | None = None,
-          rows: int | None = None) -> DataFrame:
+          rows: int | None = None, first: list | None = None) -> DataFrame:
     """The first ``k`` rows of ``df`` in ``ORDER BY order`` (exactly k, or all
     rows if fewer), found by narrowing a cut-off key by key, without sorting
     the table into one task. ``order`` = [(column, descending), ...], NULLs
@@ -294,9 +295,9 @@ def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | N
         return df
     remaining, need, tie = df, k, None
     cond, prefix = None, F.lit(True)
-    for key, desc in order:
+    for i, (key, desc) in enumerate(order):
         vc = remaining.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
-        cut, before, tie = _locate(vc, key, desc, need, buckets)
+        cut, before, tie = _locate(vc, key, desc, need, buckets, first if i == 0 else None)
         need -= before
         eq = F.col(key).isNull() if cut is None else F.col(key) == F.lit(cut)
         term = prefix & _before(F.col(key), desc, cut)
@@ -312,7 +313,15 @@ def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | N
 
 def top_percent(df: DataFrame, percent, order: list[tuple[str, bool]],
                 buckets: int | None = None) -> DataFrame:
-    """``SELECT TOP n PERCENT ... ORDER BY``: ceil(n% of the rows)."""
-    n = df.count()
+    """``SELECT TOP n PERCENT ... ORDER BY``: ceil(n% of the rows).
+
+    The row count comes from the first key's distinct-value counts when they
+    are few (collected anyway by ``top_k``), else from a count job."""
+    key = order[0][0]
+    first = df.groupBy(key).agg(F.count(F.lit(1)).alias("_w")).limit(COLLECT_LIMIT + 1).collect()
+    if len(first) <= COLLECT_LIMIT:
+        n = sum(r["_w"] for r in first)
+    else:
+        n, first = df.count(), None
     k = math.ceil(Fraction(n) * Fraction(str(percent)) / 100)
-    return top_k(df, order, k, buckets, rows=n)
+    return top_k(df, order, k, buckets, rows=n, first=first)
