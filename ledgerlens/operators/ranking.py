@@ -95,9 +95,19 @@ def _ranked_small(vc: DataFrame, col: str, out: str, order) -> DataFrame:
                          .otherwise(F.lit(0.0)).alias(out))
 
 
+def value_rank_map(df: DataFrame, col: str, out: str, descending: bool = False) -> DataFrame:
+    """(``_v``, ``out``): the percent rank of each distinct value of ``col``,
+    for columns with few distinct values (one window over that bounded
+    table). Join it to the rows on the value (NULL-safe)."""
+    v = F.col(col)
+    order = (v.desc_nulls_last() if descending else v.asc_nulls_first())
+    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
+    return _ranked_small(vc, col, out, order)
+
+
 def column_profile(df: DataFrame, cols: list[str], buckets: int) -> dict[str, tuple[bool, list | None]]:
     """For each column, in ONE aggregation job: whether it has few distinct
-    values (HyperLogLog estimate, used only to pick a plan), and for numeric
+    values (HyperLogLog estimate at 5% relative error, used only to pick a plan), and for numeric
     columns the row quantiles at 1/buckets steps as sorted distinct values of
     the column's type (``percentile_approx``, relative error 1/(4*buckets)).
     A value holding more than about 1.5/buckets of the rows is always among
@@ -106,7 +116,7 @@ def column_profile(df: DataFrame, cols: list[str], buckets: int) -> dict[str, tu
     probs = [i / buckets for i in range(1, buckets)]
     aggs = []
     for c in cols:
-        aggs.append(F.approx_count_distinct(c, 0.02).alias(f"{c}__n"))
+        aggs.append(F.approx_count_distinct(c, 0.05).alias(f"{c}__n"))
         if _is_numeric(df, c) and probs:
             aggs.append(F.percentile_approx(c, probs, 4 * buckets).alias(f"{c}__q"))
     row = df.agg(*aggs).first()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import date_lit, day_boundaries, literal_day_text
 from ..functions.text import concat_text, like
-from .ranking import _bucket_count, column_profile, percent_rank_scaled
+from .ranking import _bucket_count, column_profile, percent_rank_scaled, value_rank_map
 
 # --- fixed values: segment rules, first match wins (order matters) ----------
 # (segment, pattern on the three-digit code r_score f_score m_score)
@@ -50,8 +50,13 @@ def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], scaled: boo
     for col, desc, name in specs:
         if scaled:
             few, bounds = prof[col]
+            if few:
+                # a bounded value -> rank map, joined straight on the value
+                m = value_rank_map(df, col, name, descending=desc)
+                out = out.join(m, out[col].eqNullSafe(m["_v"]), "inner").drop("_v")
+                continue
             src = df.select(key, col) if key else out
-            ranked = percent_rank_scaled(src, col, name, descending=desc, few=few, bounds=bounds)
+            ranked = percent_rank_scaled(src, col, name, descending=desc, few=False, bounds=bounds)
         else:
             order = F.col(col).desc() if desc else F.col(col).asc()
             src = df.select(key, col) if key else out
