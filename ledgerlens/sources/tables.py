@@ -17,7 +17,7 @@ TABLES = (
 def table_path(src: str, name: str) -> str:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return f"{src.rstrip('/')}/{name}.parquet"
+    return f"{str(src).rstrip('/')}/{name}.parquet"
 
 
 # Schemas already read, by path. Building a reader with a known schema skips

@@ -34,3 +34,11 @@ def test_cli_lists_every_report(capsys):
     assert main(["list"]) == 0
     out = capsys.readouterr().out
     assert all(name in out for name in QUERIES)
+
+
+def test_source_folder_as_path_or_with_slash(spark):
+    import pathlib
+    from ledgerlens.plans.registry import QUERIES
+    a = QUERIES["customer_orders"](spark, pathlib.Path(SF001)).count()
+    b = QUERIES["customer_orders"](spark, SF001 + "/").count()
+    assert a == b > 0
