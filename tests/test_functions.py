@@ -90,3 +90,20 @@ def test_literal_minutes_and_mm_yy(spark):
     df = spark.createDataFrame([(dt.datetime(2019, 3, 7, 10, 45),)], "t timestamp_ntz")
     r = df.select(literal_day_text("t").alias("a"), mm_yy("t").alias("b")).first()
     assert (r.a, r.b) == ("19.45.07", "03/19")       # 'mm' is minutes in the reference's pattern
+
+
+def test_minutes_pattern_on_events_matches_duckdb(spark):
+    """'yy.mm.dd' counts (year, MINUTE, day) -- checked on the events table,
+    whose timestamps carry real minutes (the mapped facts are all midnight)."""
+    import duckdb
+    from ledgerlens.sources.tables import read_table
+    src = "/root/testdata/sf0.01"
+    ev = read_table(spark, src, "events", ["user_id", "ts"])
+    got = {(r.user_id, r.n) for r in ev.groupBy("user_id").agg(
+        F.count_distinct(literal_day_text(F.col("ts"))).alias("n")).collect()}
+    want = set(duckdb.sql(f"SELECT user_id, count(DISTINCT strftime(ts, '%y.%M.%d')) FROM '{src}/events.parquet' "
+                          "GROUP BY user_id").fetchall())
+    assert got == want and len(got) > 100
+    calendar = dict(duckdb.sql(f"SELECT user_id, count(DISTINCT CAST(ts AS DATE)) FROM '{src}/events.parquet' "
+                               "GROUP BY user_id").fetchall())
+    assert any(n != calendar[u] for u, n in got)      # the minutes pattern is not the calendar day
