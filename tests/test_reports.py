@@ -2,7 +2,6 @@
 built-in cross-checks (the same table written two ways)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ledgerlens.plans import cohorts, trends
