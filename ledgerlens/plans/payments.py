@@ -9,6 +9,9 @@ from ..operators.relational import semi_join
 from ..session import pin
 from ..sources import mapping as M
 from ..sources import star
+from ..sources.tables import scan_bytes
+
+PIN_MIN_BYTES = 256 * 1024 * 1024
 
 REPORT_COLUMNS = ("customer_id", "transaction_id", "scenario_id", "transaction_type", "sub_category", "category")
 
@@ -42,11 +45,12 @@ def returning_customer_transactions(spark: SparkSession, src: str, platform: str
     """January rows of year A on a platform, for customers also active in
     January of year B (``customer_id IN (subquery)`` = left semi join).
 
-    Both Januaries come from one lineitem/orders join, written once to the
-    checkpoint folder (unless facts are materialised already), so lineitem is
-    read once instead of once per side."""
+    Both Januaries come from one lineitem/orders join. When lineitem is large
+    (and facts are not materialised already) that slice is written once to the
+    checkpoint folder, so lineitem is read once instead of once per side;
+    below ``PIN_MIN_BYTES`` reading it twice is cheaper than the write."""
     both = star.fact_transactions(spark, src, (M.YEAR_A, M.YEAR_B), months=(1,))
-    if not star.materialised(spark):
+    if not star.materialised(spark) and scan_bytes(spark, src, "lineitem") >= PIN_MIN_BYTES:
         both = pin(both)
     year = F.year("transaction_time")
     f = both.where(year == M.YEAR_A)

@@ -42,6 +42,13 @@ def read_table(spark: SparkSession, src: str, name: str, columns: list[str] | tu
     return df.select(*columns) if columns else df
 
 
+def scan_bytes(spark: SparkSession, src: str, name: str) -> int:
+    """Bytes a full scan of the table reads, from the planner's statistics for
+    the file relation (the file sizes; no job runs)."""
+    df = read_table(spark, src, name)
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def register_views(spark: SparkSession, src: str, names=TABLES) -> None:
     """Register the raw tables as temp views (for Spark SQL users)."""
     for name in names:

@@ -63,3 +63,12 @@ def test_rfm_scaled_equals_window(spark):
     a = sorted(map(tuple, segments.rfm_segments(spark, SF001, scaled=True).collect()))
     b = sorted(map(tuple, segments.rfm_segments(spark, SF001, scaled=False).collect()))
     assert a == b
+
+
+def test_returning_customers_checkpointed_path(spark, duck, monkeypatch):
+    """The large-input path (two-January slice written once) gives the same rows."""
+    from ledgerlens.plans import payments
+    monkeypatch.setattr(payments, "PIN_MIN_BYTES", 0)
+    name = "returning_customer_transactions"
+    ok, msg = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, duck)
+    assert ok, msg
