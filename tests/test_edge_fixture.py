@@ -7,9 +7,9 @@ import edge_fixture
 from oracle_compare import compare, duck_connection
 
 
-@pytest.fixture(scope="module")
-def edge(tmp_path_factory):
-    folder = edge_fixture.build(str(tmp_path_factory.mktemp("edge")))
+@pytest.fixture(scope="module", params=[11, 3], ids=["seed11", "seed3"])
+def edge(request, tmp_path_factory):
+    folder = edge_fixture.build(str(tmp_path_factory.mktemp(f"edge{request.param}")), seed=request.param)
     return folder, duck_connection(folder)
 
 
