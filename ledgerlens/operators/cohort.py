@@ -19,40 +19,53 @@ from ..functions.dates import month_index
 from ..functions.numeric import pct_text
 
 
-def cohort_cells(facts: DataFrame, user: str, ts: str, first_year: int, periods: int = 12) -> DataFrame:
+def cohort_cells(facts: DataFrame, user: str, ts: str, first_year: int, periods: int = 12,
+                 null_users: str = "cohort") -> DataFrame:
     """(acquisition_index, subsequent_month, retained_users) where
     acquisition_index = months after January of ``first_year`` (0-based) of the
     customer's first active month, subsequent_month = month boundaries between
-    the first month and an active month, retained_users = distinct customers."""
+    the first month and an active month, retained_users = distinct customers.
+
+    Rows without a customer count for no one, but can still make a cell, as in
+    the reference's two formulations:
+
+    - ``"cohort"`` (``MIN(ts) OVER (PARTITION BY customer)``): they form one
+      group with its own first month, so their months appear as cells with 0
+      customers when no real customer has them;
+    - ``"join"`` (first month by GROUP BY, then a LEFT JOIN on the customer):
+      their join never matches, giving one (NULL, NULL, 0) cell.
+    """
     if not 1 <= periods <= 63:
         raise ValueError("periods must be within 1..63")
+    if null_users not in ("cohort", "join"):
+        raise ValueError("null_users must be 'cohort' or 'join'")
     start = first_year * 12
     mi = month_index(ts) - F.lit(start)
     checked = F.when((mi < 0) | (mi >= periods),
                      F.raise_error(F.lit(f"activity outside the {periods} months from {first_year}-01"))).otherwise(mi)
-    masks = (facts.where(F.col(user).isNotNull())
-             .select(user, checked.cast("int").alias("_mi"))
+    masks = (facts.select(user, checked.cast("int").alias("_mi"))
              .groupBy(user).agg(F.expr("bit_or(shiftleft(1L, _mi))").alias("_mask")))
-    cells = masks.select(
-        F.expr("bit_count((_mask & -_mask) - 1)").alias("acquisition_index"),
-        F.explode(F.expr(f"filter(sequence(0, {periods - 1}), i -> (_mask & shiftleft(1L, i)) != 0)")).alias("_m"),
-    )
+    first = F.expr("bit_count((_mask & -_mask) - 1)")
+    months = F.expr(f"filter(sequence(0, {periods - 1}), i -> (_mask & shiftleft(1L, i)) != 0)")
+    if null_users == "join":
+        no_user = F.col(user).isNull()
+        first = F.when(~no_user, first)
+        months = F.when(no_user, F.array(F.lit(None).cast("int"))).otherwise(months)
+    cells = masks.select(user, first.alias("acquisition_index"), F.explode(months).alias("_m"))
     return (cells.groupBy("acquisition_index", (F.col("_m") - F.col("acquisition_index")).alias("subsequent_month"))
-            .agg(F.count(F.lit(1)).alias("retained_users")))
+            .agg(F.count(user).alias("retained_users")))
 
 
 def cohort_with_base(cells: DataFrame, cohort: str = "acquisition_month") -> DataFrame:
-    """Add ``original_users`` (the cohort's offset-0 size) and ``pct_retained``.
+    """Add ``original_users`` (FIRST_VALUE of the cohort's cells by offset: the
+    offset-0 cell, as every first month is active) and ``pct_retained``.
 
-    Per cohort, FIRST_VALUE ordered by offset is the offset-0 cell (the first
-    month is always active). Taken with a window over the cells of the cohort
-    (at most ``periods`` rows each), so the facts are aggregated once: joining
-    the cells to a filtered copy of themselves would plan the whole fact
-    pipeline a second time.
+    Taken with a window over the cells of the cohort (at most ``periods`` rows
+    each), so the facts are aggregated once: joining the cells to a filtered
+    copy of themselves would plan the whole fact pipeline a second time.
     """
-    w = Window.partitionBy(cohort)
-    out = cells.withColumn("original_users",
-                           F.max(F.when(F.col("subsequent_month") == 0, F.col("retained_users"))).over(w))
+    w = Window.partitionBy(cohort).orderBy(F.col("subsequent_month").asc_nulls_first())
+    out = cells.withColumn("original_users", F.first("retained_users").over(w))
     return out.withColumn("pct_retained", pct_text("retained_users", "original_users"))
 
 

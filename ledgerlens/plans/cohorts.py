@@ -23,13 +23,16 @@ from ..sources import star
 PERIODS = 12
 
 
-def _cells(spark: SparkSession, src: str, sub_category: str | None = M.COHORT_SUB_CATEGORY) -> DataFrame:
+def _cells(spark: SparkSession, src: str, null_users: str = "cohort",
+           sub_category: str | None = M.COHORT_SUB_CATEGORY) -> DataFrame:
+    """Cohort cells; ``null_users`` follows the formulation being rebuilt
+    ("cohort" = per-row window, "join" = GROUP BY + LEFT JOIN)."""
     f = star.fact_transactions(spark, src, (M.YEAR_A,)).where(F.col("status_id") == 1)
     s = star.dim_scenario(spark, src)
     if sub_category is not None:
         s = s.where(ci_eq("sub_category", sub_category))
     facts = f.join(s.select("scenario_id"), "scenario_id")
-    c = cohort_cells(facts, "customer_id", "transaction_time", M.YEAR_A, PERIODS)
+    c = cohort_cells(facts, "customer_id", "transaction_time", M.YEAR_A, PERIODS, null_users=null_users)
     return c.select((F.col("acquisition_index") + 1).alias("acquisition_month"), "subsequent_month", "retained_users")
 
 
@@ -51,8 +54,9 @@ def retention_all_cohorts_join(spark: SparkSession, src: str) -> DataFrame:
     """All cohorts; ``FIRST_VALUE(..) OVER (ORDER BY acquisition_month)`` without
     PARTITION BY, as written: every cell is divided by ONE value, the first
     cohort's offset-0 cell (offset breaks the reference's tie)."""
-    c = first_value_of(_cells(spark, src), "retained_users", ["acquisition_month", "subsequent_month"],
-                       "original_users")
+    cells = _cells(spark, src, null_users="join")
+    c = first_value_of(cells, "retained_users", [F.col("acquisition_month").asc_nulls_first(),
+                                                  F.col("subsequent_month").asc_nulls_first()], "original_users")
     return c.withColumn("pct_retained", pct_text("retained_users", "original_users"))
 
 
@@ -66,7 +70,7 @@ def retention_all_cohorts(spark: SparkSession, src: str) -> DataFrame:
 def retention_matrix_join(spark: SparkSession, src: str) -> DataFrame:
     """Cohort x offset 0..11 matrix of retained percents (the reference's
     twelve LEFT JOINs of one CTE, here one pivot of the same cells)."""
-    return pivot_matrix(cohort_with_base(_cells(spark, src)), periods=PERIODS)
+    return pivot_matrix(cohort_with_base(_cells(spark, src, null_users="join")), periods=PERIODS)
 
 
 def retention_matrix(spark: SparkSession, src: str) -> DataFrame:

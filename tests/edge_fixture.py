@@ -3,7 +3,7 @@
 Same table names and column types as the driver's test data, so every report
 and oracle runs on it unchanged. Contents (FIXTURES.md part 4):
 duplicate fact rows, a fact row whose scenario is missing, NULL keys in the
-order lines (NOT IN returns nothing), NULL weights, NULL brands (names
+order lines (NOT IN returns nothing), orders without a customer, NULL weights, NULL brands (names
 without '-'), upper/lower-case text, half prices for the integer cast, a
 missing month, non-midnight order times (the 'mm' minutes pattern), NULL
 statuses, flags, priorities and prices.
@@ -73,7 +73,8 @@ def build(folder: str, seed: int = 11) -> str:
                 ts = dt.datetime(year, month, day, 0, rnd.choice([0, 0, 15, 45]))
                 status = rnd.choice(["F", "F", "O", "P", None])
                 prio = rnd.choice(["1-URGENT", "2-HIGH", "2-HIGH", "5-LOW", None])
-                orders.append((okey, rnd.randint(1, 20), status, 1000.0 * okey, ts, prio))
+                cust = None if rnd.random() < 0.08 else rnd.randint(1, 20)    # some orders without a customer
+                orders.append((okey, cust, status, 1000.0 * okey, ts, prio))
                 for ln in range(1, rnd.randint(2, 5)):
                     pk = rnd.randint(1, 30)
                     if rnd.random() < 0.05:
