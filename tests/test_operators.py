@@ -147,6 +147,7 @@ def test_cohort_cells_match_window_form(spark):
     rnd = random.Random(3)
     rows = [(rnd.randint(1, 40), dt.datetime(1997, rnd.randint(1, 12), rnd.randint(1, 28))) for _ in range(800)]
     rows += [(7, dt.datetime(1997, 5, 1))] * 300           # a hot customer
+    rows += [(None, dt.datetime(1997, 11, 3)), (None, dt.datetime(1997, 12, 9))]   # rows without a customer
     df = spark.createDataFrame(rows, "c long, t timestamp_ntz")
     got = {(r.acquisition_index, r.subsequent_month): r.retained_users
            for r in cohort_cells(df, "c", "t", 1997).collect()}
