@@ -57,19 +57,29 @@ def like(col, pattern: str, case_insensitive: bool = True) -> Column:
     return (F.lower(c) if case_insensitive else c).rlike(rx)
 
 
+def _ci(col) -> Column:
+    # case-insensitive collation; '=' also ignores trailing blanks (ANSI padding)
+    return F.rtrim(F.lower(_c(col)))
+
+
+def _ci_text(value: str) -> str:
+    return value.lower().rstrip(" ")
+
+
 def ci_eq(col, value: str) -> Column:
     """Equality under a case-insensitive collation (the reference compares one
-    column with both 'Payment' and 'payment'). Used on dimension columns only,
-    so fact scans keep their pushed filters."""
-    return F.lower(_c(col)) == F.lit(value.lower())
+    column with both 'Payment' and 'payment'); trailing blanks are ignored, as
+    SQL Server's '=' does. Used on dimension columns only, so fact scans keep
+    their pushed filters."""
+    return _ci(col) == F.lit(_ci_text(value))
 
 
 def ci_ne(col, value: str) -> Column:
-    return F.lower(_c(col)) != F.lit(value.lower())
+    return _ci(col) != F.lit(_ci_text(value))
 
 
 def ci_in(col, values) -> Column:
-    return F.lower(_c(col)).isin([v.lower() for v in values])
+    return _ci(col).isin([_ci_text(v) for v in values])
 
 
 def prefix_before(col, ch: str = "-") -> Column:

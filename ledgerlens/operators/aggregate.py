@@ -75,16 +75,18 @@ def metric_summary(df: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFr
 
 
 def pivot_count(df: DataFrame, rows: list[str], on: str, values: list, id_col: str,
-                names: list[str] | None = None) -> DataFrame:
+                names: list[str] | None = None, equals=None) -> DataFrame:
     """``PIVOT (COUNT(id) FOR on IN (values))``, grouped by ``rows``.
 
     One conditional count per value in a single aggregation (partial
     aggregation, one shuffle); ``groupBy().pivot()`` would aggregate twice and
     leave NULL where SQL Server's PIVOT COUNT gives 0. Groups whose rows have
-    none of the values are kept with zeros, as PIVOT keeps them."""
+    none of the values are kept with zeros, as PIVOT keeps them. ``equals``
+    (column, value) -> predicate compares under a collation (default: exact)."""
     names = names or [str(v) for v in values]
+    eq = equals or (lambda c, v: F.col(c) == F.lit(v))
     return df.groupBy(*rows).agg(*[
-        F.count(F.when(F.col(on) == F.lit(v), F.col(id_col))).alias(n) for v, n in zip(values, names)])
+        F.count(F.when(eq(on, v), F.col(id_col))).alias(n) for v, n in zip(values, names)])
 
 
 def row_shares(df: DataFrame, cols: list[str], total: str) -> DataFrame:

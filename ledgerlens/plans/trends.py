@@ -53,7 +53,7 @@ def _pivot_source(spark: SparkSession, src: str) -> DataFrame:
 def monthly_pivot(spark: SparkSession, src: str, subs=M.SUB_CATEGORIES, names=M.SUB_CATEGORY_COLUMNS) -> DataFrame:
     """PIVOT (COUNT(transaction_id) FOR sub_category IN (..)): 0 for empty cells."""
     return pivot_count(_pivot_source(spark, src), ["month", "year"], "sub_category", list(subs),
-                       "transaction_id", list(names)).select("month", "year", *names)
+                       "transaction_id", list(names), equals=ci_eq).select("month", "year", *names)
 
 
 def monthly_pivot_case(spark: SparkSession, src: str, subs=M.SUB_CATEGORIES, names=M.SUB_CATEGORY_COLUMNS) -> DataFrame:

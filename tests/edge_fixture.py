@@ -46,7 +46,7 @@ def build(folder: str, seed: int = 11) -> str:
     rnd = random.Random(seed)
     _write(folder, "region", [(0, "AFRICA"), (1, "AMERICA"), (2, "ASIA"), (3, "EUROPE"), (4, "MIDDLE EAST")])
     _write(folder, "nation", [(k, f"NATION_{k}", k % 5) for k in range(8)])
-    segs = ["BUILDING", "building", "MACHINERY", None, "HOUSEHOLD"]
+    segs = ["BUILDING", "building ", "MACHINERY", None, "HOUSEHOLD"]   # case and a trailing blank
     _write(folder, "customer", [(k, f"Customer#{k:04d}", k % 8 if k != 3 else None, 10.0 * k, segs[k % 5])
                                 for k in range(1, 21)])
 
@@ -58,7 +58,8 @@ def build(folder: str, seed: int = 11) -> str:
         brand = None if k % 13 == 0 or k == 27 else f"Brand#{rnd.randint(1, 25)}"
         size = None if k % 11 == 0 else rnd.choice([1, 2, 7, 7, 20])
         price = [950.5, 949.99, 951.0, 950.99][k % 4] if k % 3 == 0 else 900 + k
-        parts.append((k, f"{colors[k % 5]} {kinds[k % 4]}", brand, types[k % 4], size, price))
+        color = colors[k % 5].upper() if k % 12 == 4 else colors[k % 5]         # e.g. part 16: BLUE bolt
+        parts.append((k, f"{color} {kinds[k % 4]}", brand, types[k % 4], size, price))
     _write(folder, "part", parts)
 
     orders, lines = [], []
