@@ -27,5 +27,7 @@ def test_same_rows_under_other_layouts(spark, name):
 
 def test_rfm_large_path_same_rows_under_other_layouts(spark, monkeypatch):
     from ledgerlens.operators import ranking
+    default = sorted(map(tuple, QUERIES["rfm_segments"](spark, SF01).collect()), key=repr)
     monkeypatch.setattr(ranking, "COLLECT_LIMIT", 10)      # quantile-bucket ranking
     test_same_rows_under_other_layouts(spark, "rfm_segments")
+    assert sorted(map(tuple, QUERIES["rfm_segments"](spark, SF01).collect()), key=repr) == default
