@@ -1,5 +1,7 @@
 """Physical plan shapes that matter at scale."""
 
+import pytest
+
 from ledgerlens.operators import ranking
 from ledgerlens.sources import star
 
@@ -114,3 +116,16 @@ def test_filtered_orders_can_prune_lineitem_before_the_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_order_key_shortcut_refuses_line_numbers_it_cannot_trust(spark, tmp_path):
+    """The co-located DISTINCT is exact only while transaction_id determines
+    the order key (line numbers 0..9); another line number raises."""
+    import datetime as dt
+    import edge_fixture
+    folder = edge_fixture.build(str(tmp_path / "src"))
+    edge_fixture._write(folder, "lineitem", [
+        (1, 3, 1, 12, 1.0, 100.0, 0.0, 0.0, "R", "F", dt.datetime(1997, 1, 9))])
+    star.fact_transactions(spark, folder, (1997,)).collect()          # plain facts are fine
+    with pytest.raises(Exception, match="l_linenumber outside"):
+        star.fact_union(spark, folder).collect()
