@@ -118,14 +118,21 @@ def test_filtered_orders_can_prune_lineitem_before_the_join(spark):
             spark.conf.set(k, v)
 
 
-def test_order_key_shortcut_refuses_line_numbers_it_cannot_trust(spark, tmp_path):
+def test_order_key_shortcut_only_where_it_is_exact(spark, tmp_path):
     """The co-located DISTINCT is exact only while transaction_id determines
-    the order key (line numbers 0..9); another line number raises."""
+    the order key (line numbers 0..9). Line numbers 12 and 2 on orders 1 and 2
+    give the same transaction_id 22: the union falls back to the plain
+    DISTINCT and merges the two equal rows; the shortcut itself refuses."""
     import datetime as dt
     import edge_fixture
     folder = edge_fixture.build(str(tmp_path / "src"))
-    edge_fixture._write(folder, "lineitem", [
-        (1, 3, 1, 12, 1.0, 100.0, 0.0, 0.0, "R", "F", dt.datetime(1997, 1, 9))])
-    star.fact_transactions(spark, folder, (1997,)).collect()          # plain facts are fine
+    rows = [(1, 3, 1, 12, 1.0, 100.0, 0.0, 0.0, "R", "F", dt.datetime(1997, 1, 9)),
+            (2, 3, 1, 2, 1.0, 100.0, 0.0, 0.0, "R", "F", dt.datetime(1997, 1, 9))]
+    edge_fixture._write(folder, "lineitem", rows)
+    edge_fixture._write(folder, "orders", [(1, 5, "F", 1.0, dt.datetime(1997, 1, 2), "1-URGENT"),
+                                           (2, 5, "F", 1.0, dt.datetime(1997, 1, 2), "1-URGENT")])
+    assert not star.order_key_shortcut_ok(spark, folder)
+    assert star.fact_transactions(spark, folder, (1997,)).count() == 2
+    assert star.fact_union(spark, folder).count() == 1               # exact: the two rows are equal
     with pytest.raises(Exception, match="l_linenumber outside"):
-        star.fact_union(spark, folder).collect()
+        star.distinct_facts(star.fact_transactions(spark, folder, (1997,), with_order_key=True)).collect()
