@@ -42,3 +42,20 @@ def test_source_folder_as_path_or_with_slash(spark):
     a = QUERIES["customer_orders"](spark, pathlib.Path(SF001)).count()
     b = QUERIES["customer_orders"](spark, SF001 + "/").count()
     assert a == b > 0
+
+
+def test_cli_runs_a_report_to_csv(spark, tmp_path):
+    from ledgerlens.__main__ import main
+    from ledgerlens.plans import trends
+    out = str(tmp_path / "trend")
+    assert main(["run", "monthly_trend", "--src", SF001, "--out", out, "--format", "csv"]) == 0
+    got = spark.read.option("header", "true").option("inferSchema", "true").csv(out)
+    want = trends.monthly_trend(spark, SF001)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_raw_table_views(spark):
+    from ledgerlens.sources.tables import register_views
+    register_views(spark, SF001, names=("orders", "lineitem"))
+    n = spark.sql("SELECT count(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey").first()[0]
+    assert n == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
