@@ -76,7 +76,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared (distributed) folder and is used
     as given. Only when it is unset -- local tests -- a scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
