@@ -180,12 +180,19 @@ def dim_payment_channel(spark: SparkSession, src: str) -> DataFrame:
     )
 
 
+def _literal_rows(spark: SparkSession, rows, names: tuple[str, str]) -> DataFrame:
+    """A small literal table as a SQL VALUES relation (cheaper to build than
+    a DataFrame from Python rows); fixed size, so broadcast by hint."""
+    values = ", ".join(f"({int(k)}, '{v}')" for k, v in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({names[0]}, {names[1]})"))
+
+
 def dim_platform(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(list(M.PLATFORMS), "platform_id int, payment_platform string"))
+    return _literal_rows(spark, M.PLATFORMS, ("platform_id", "payment_platform"))
 
 
 def dim_status(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(list(M.STATUSES), "status_id int, status_description string"))
+    return _literal_rows(spark, M.STATUSES, ("status_id", "status_description"))
 
 
 def write_facts(spark: SparkSession, src: str, out: str, years=(M.YEAR_A, M.YEAR_B), months=None,
