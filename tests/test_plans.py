@@ -136,3 +136,16 @@ def test_order_key_shortcut_only_where_it_is_exact(spark, tmp_path):
     assert star.fact_union(spark, folder).count() == 1               # exact: the two rows are equal
     with pytest.raises(Exception, match="l_linenumber outside"):
         star.distinct_facts(star.fact_transactions(spark, folder, (1997,), with_order_key=True)).collect()
+
+
+def test_write_facts_layout(spark, tmp_path):
+    """Facts are written partitioned by year and month, every row once, each
+    month spread over the write tasks (no month in a single task)."""
+    import os
+    out = str(tmp_path / "facts")
+    star.write_facts(spark, SF01, out, write_tasks=4)
+    months = sorted(d for d in os.listdir(os.path.join(out, "year=1997")) if d.startswith("month="))
+    assert len(months) == 12
+    files = [f for f in os.listdir(os.path.join(out, "year=1997", "month=1")) if f.endswith(".parquet")]
+    assert len(files) == 4
+    assert spark.read.parquet(out).count() == star.fact_transactions(spark, SF01, (1997, 1998)).count()
