@@ -59,3 +59,17 @@ def test_raw_table_views(spark):
     register_views(spark, SF001, names=("orders", "lineitem"))
     n = spark.sql("SELECT count(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey").first()[0]
     assert n == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+
+
+def test_cli_materialise_then_run_on_facts(spark, tmp_path):
+    from ledgerlens.__main__ import main
+    from ledgerlens.plans import trends
+    from ledgerlens.sources import star
+    facts, out = str(tmp_path / "facts"), str(tmp_path / "trend")
+    assert main(["materialise", "--src", SF001, "--out", facts, "--write-tasks", "2"]) == 0
+    try:
+        assert main(["run", "monthly_trend", "--src", SF001, "--facts", facts, "--out", out]) == 0
+    finally:
+        spark.conf.unset(star.FACTS_PATH_CONF)
+    got = spark.read.parquet(out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, trends.monthly_trend(spark, SF001).collect()))
