@@ -9,8 +9,9 @@
 (partition-pruned) instead of joining lineitem and orders again.
 
 ``--src`` is a folder with the source tables (``lineitem.parquet`` ...).
-Without ``--out`` the first rows are printed. On a cluster, submit with
-``spark-submit -m ledgerlens ...`` or call the report functions directly.
+Without ``--out`` the first rows are printed. On a cluster, ship the package
+with ``spark-submit --py-files`` and a driver script that calls
+``ledgerlens.__main__.main([...])``, or call the report functions directly.
 """
 
 from __future__ import annotations
