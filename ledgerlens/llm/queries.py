@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import chat, decontaminate, html, imatch, language, pii, quality, secrets
 from .bpe import encode_documents
 from .common import table
 from .neardup import near_duplicates
 
+PII_KEY = "corpus-pseudonyms-1"     # a deployment gives its own
+
 
 def vocabulary() -> str:
     """Where the public byte-level vocabulary lies on every machine."""
@@ -16,12 +19,87 @@ def vocabulary() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and their decoding, as digests."""
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
 
 
 def op2_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_setsketch_dedup)}
-ORACLES: dict[str, str] = {}
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, sf_dir, "pages")
+    return html.main_text(pages, html.learn(pages))
+
+
+def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and how many values were replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count_col="n_replaced")
+
+
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and their likeness."""
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents with the test items they hold."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language.learn(docs.where(~held_out))
+    return language.predict(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's evidence, its site's prior and the posterior of being good."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = quality.judged(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", F.col("__evidence").alias("evidence"), F.col("__prior").alias("site_prior"),
+                      F.col("__posterior").alias("quality"), (F.col("__posterior") >= 0.5).alias("kept"))
+
+
+def op9_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back, with one that says control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT CAST(-7 AS BIGINT) conv_id, CAST(t AS BIGINT) turn, r role, '{hard}' text FROM VALUES (0, 'user'), (1, 'assistant') AS v(t, r)")
+    formatted = chat.format_turns(turns.union(extra), chat.text_part(F.col("text")))
+    return chat.digests(formatted)
+
+
+def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base spans and linked credential parts."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_setsketch_dedup, op3_html_main_text, op4_pii_pseudonyms, op5_imatch, op6_bm25_decontamination,
+    op7_language_mixture, op8_quality_bayes, op9_chat_parts, op10_linked_secrets)}
+
+# DuckDB SQL over the whole tables, where SQL can express the operator.
+ORACLES = {
+    "op9_chat_parts": r"""
+WITH turns AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+said AS (
+  SELECT *, regexp_replace(regexp_replace(replace(text, '\', '\\'), '<([|]|/?s>)', '<\\\1', 'g'),
+                            '\[(/?INST\])', '[\\\1', 'g') AS escaped,
+         regexp_replace(regexp_replace(replace(role, '\', '\\'), '<([|]|/?s>)', '<\\\1', 'g'), '\[(/?INST\])', '[\\\1', 'g') AS escaped_role
+  FROM turns)
+SELECT conv_id, COUNT(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, escaped)) AS turns_sha256,
+       COALESCE(CAST(SUM(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, escaped) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(SUM(length(escaped) + length(escaped_role) + length('<|turn|><|text|><|end|>')) AS BIGINT) AS formatted_chars,
+       CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
+FROM said GROUP BY conv_id""",
+}
