@@ -12,8 +12,10 @@ chance (1 - 0.42)**32 = 2.4e-8.
    The sketches' joint likelihood drops pairs that are surely below the threshold, the full sets
    confirm the rest, and confirmed pairs are joined into components.
 3. A bucket whose members still lie in several components may hide a link between two members
-   that are both not its least one. Just those pairs, across components, are estimated and
-   confirmed too, and the components are joined again. Pairs inside one component can't change it.
+   that are both not its least one. In buckets of few members those pairs, across components, are
+   estimated and confirmed too; crowded buckets are dealt into blocks, and any two blocks are
+   tested exactly in one task that returns only links that join components. Then the components
+   are joined again. Pairs inside one component can't change it.
 
 Cases: null or blank text has an empty set and is linked with nothing. Fewer words than five are
 one shingle. Rows that repeat a doc_id are judged by their own text. A null doc_id has a null
@@ -40,6 +42,9 @@ REGISTERS = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, 65534    # spacing, rate and greatest value of the registers
 DOUBT = 20.0            # a pair goes when its best likelihood beats any at the threshold by exp(DOUBT)
 
+FEW = 8                 # members of a bucket up to which its pairs are rows
+CROWD, COLUMNS = 500, 4096      # members of a block in a crowded bucket; shingles multiplied at a time
+
 U = np.uint64
 
 
@@ -197,6 +202,84 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str,
             .where(_linked()("fa", "fb")).select("a", "b").distinct())
 
 
+def forest(full: list[np.ndarray], component: list[int]) -> list[tuple[int, int]]:
+    """Links (positions) that join all linked sets of different components: the exact test on all
+    pairs by products of incidence matrices, of which only joining ones are returned."""
+    sizes = np.array([len(x) for x in full])
+    every = np.concatenate(full)
+    owner = np.repeat(np.arange(len(full)), sizes)
+    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
+    often = count > 1
+    place = np.cumsum(often) - 1
+    keep = often[column]
+    column, owner = place[column[keep]], owner[keep]
+    both = np.zeros((len(full), len(full)), dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for lo in range(0, int(often.sum()), COLUMNS):
+        x, y = np.searchsorted(column, [lo, lo + COLUMNS])
+        part = np.zeros((len(full), COLUMNS), dtype=np.float32)
+        part[owner[x:y], column[x:y] - lo] = 1
+        both += part @ part.T
+    label = np.array(component)
+    links = 100 * both >= LIKENESS * (sizes[:, None] + sizes[None, :] - both)
+    a, b = np.nonzero(np.triu(links, 1) & (label[:, None] != label[None, :]))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = root(component[i]), root(component[j])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
+
+
+def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Links across components among the members of crowded buckets: a bucket is dealt into
+    blocks of about ``CROWD`` members, every two blocks meet in one task, and only links that
+    join components leave it. No pairs are made as rows, and no task holds more than two blocks."""
+    ids = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
+    blocks = F.ceil(F.col("left") / CROWD).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    met = rest.select("bucket", "id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
+    met = met.select("bucket", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "id", "component")
+    sets = _sets(docs, rest.select("id").distinct(), id_col, text_col)
+    met = met.join(sets, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    src = met.select("bucket", "i", "j", "id", "component", "full")
+    kind = ids.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members = None, []
+
+        def done() -> list[tuple]:
+            if len({m[1] for m in members}) < 2:
+                return []
+            return [(members[x][0], members[y][0]) for x, y in
+                    forest([np.frombuffer(m[2], dtype=np.uint64) for m in members], [m[1] for m in members])]
+
+        def made(links: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"a": min(x), "b": max(x)} for x in links], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+        for batch in batches:
+            links = []
+            for *key, i, c, full in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                if key != group:
+                    links += done()
+                    group, members = key, []
+                members.append((i, c, full))
+            yield made(links)
+        yield made(done())
+
+    return src.mapInArrow(run, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind)).where("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_shingles, component_id (least id reachable) and kept (it is its own)."""
     rows = shared(sketches(docs, id_col, text_col))
@@ -219,11 +302,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("component", F.coalesce("component", "id")))
     mixed = (named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("bucket"))
-    rest = shared(named.where("id <> first").join(mixed, "bucket", "left_semi").select("bucket", "id", "component"))
-    other = rest.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    more = (rest.withColumnRenamed("id", "a").join(other, "bucket").where("a < b AND component <> cb")
+    rest = named.where("id <> first").join(mixed, "bucket", "left_semi").select("bucket", "id", "component")
+    size = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("left"))
+    rest = shared(rest.join(size, "bucket"))
+    few = rest.where(F.col("left") <= FEW)
+    other = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
+    more = (few.withColumnRenamed("id", "a").join(other, "bucket").where("a < b AND component <> cb")
             .select("a", "b").distinct())
-    links = shared(links.union(_confirmed(more, reps, docs, id_col, text_col)))
+    crowded = _crowded_links(rest.where(F.col("left") > FEW), docs, id_col, text_col)
+    links = shared(links.union(_confirmed(more, reps, docs, id_col, text_col)).union(crowded))
     labels = shared(components(links))
 
     named = (classes.join(labels, classes.rep == labels.node, "left")
