@@ -3,10 +3,7 @@
     python -m ledgerlens list
     python -m ledgerlens run <report> --src <folder> [--out <folder> --format parquet|csv] [--rows 20]
     python -m ledgerlens explain <report> --src <folder>
-    python -m ledgerlens materialise --src <folder> --out <facts folder> [--write-tasks N]
-
-``--facts <facts folder>`` on run/explain reads facts written by ``materialise``
-(partition-pruned) instead of joining lineitem and orders again.
+    python -m ledgerlens materialise --src <folder> --out <facts folder> [--tasks-per-month N]
 
 ``--src`` is a folder with the source tables (``lineitem.parquet`` ...).
 Without ``--out`` the first rows are printed. On a cluster, ship the package
@@ -29,12 +26,11 @@ def main(argv: list[str] | None = None) -> int:
     m = sub.add_parser("materialise")
     m.add_argument("--src", required=True)
     m.add_argument("--out", required=True)
-    m.add_argument("--write-tasks", type=int)
+    m.add_argument("--tasks-per-month", type=int, default=1)
     for name in ("run", "explain"):
         p = sub.add_parser(name)
         p.add_argument("report", choices=sorted(QUERIES))
         p.add_argument("--src", required=True)
-        p.add_argument("--facts")
         if name == "run":
             p.add_argument("--out")
             p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
@@ -49,15 +45,13 @@ def main(argv: list[str] | None = None) -> int:
 
     from pyspark.sql import SparkSession
 
-    from .session import apply_defaults
+    from .session import apply_semantics
     from .sources import star
     spark = SparkSession.builder.appName(f"ledgerlens-{getattr(args, 'report', args.cmd)}").getOrCreate()
-    apply_defaults(spark)
+    apply_semantics(spark)
     if args.cmd == "materialise":
-        star.write_facts(spark, args.src, args.out, write_tasks=args.write_tasks)
+        star.write_facts(spark, args.src, args.out, tasks_per_month=args.tasks_per_month)
         return 0
-    if args.facts:
-        spark.conf.set(star.FACTS_PATH_CONF, args.facts)
     df = QUERIES[args.report](spark, args.src)
     if args.cmd == "explain":
         df.explain("formatted")

@@ -28,6 +28,15 @@ def int_part(col) -> Column:
     return F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).cast("long")
 
 
+def int_part_equals(col, n: int, round_money: bool = False) -> Column:
+    """``CAST(x AS INT) = n`` as a range on the column itself, which reaches the parquet scan;
+    with ``round_money`` the cast rounds half away from zero, as SQL Server does for MONEY."""
+    c = F.col(col) if isinstance(col, str) else col
+    if round_money:
+        return (c > n - 0.5) & (c < n + 0.5) if n == 0 else (c >= n - 0.5) & (c < n + 0.5) if n > 0 else (c > n - 0.5) & (c <= n + 0.5)
+    return (c > -1) & (c < 1) if n == 0 else (c >= n) & (c < n + 1) if n > 0 else (c > n - 1) & (c <= n)
+
+
 def scaled_ratio_expr(num: str, den: str, scale: int) -> str:
     """SQL text for round_half_away(num * 10^scale / den) as an exact integer.
 

@@ -237,8 +237,13 @@ def _before(key: Column, descending: bool, cut) -> Column:
     return key.isNull() | (key < F.lit(cut))
 
 
+def spark_order(v):
+    """Sort key of a non-null value in Spark's order: NaN is the greatest."""
+    return (v != v, 0 if v != v else v)
+
+
 def _walk(vals: list, descending: bool, need: int, base: int):
-    vals = sorted(vals, key=lambda r: r[0], reverse=descending)
+    vals = sorted(vals, key=lambda r: spark_order(r[0]), reverse=descending)
     acc = 0
     for value, w in vals:
         if acc + w >= need:

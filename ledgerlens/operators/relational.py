@@ -37,18 +37,15 @@ def not_in(df: DataFrame, sub: DataFrame, left: str, right: str | None = None) -
     - otherwise rows with a non-NULL ``left`` absent from ``sub``.
 
     Spark plans SQL ``NOT IN`` as a null-aware anti join only when ``sub`` can
-    be broadcast, and as a nested-loop join otherwise. Here one aggregate pass
-    over the keys (row count, any NULL: one row to the driver) decides the
-    case, then a plain ``left_anti`` join runs, which AQE may broadcast or
-    shuffle by measured size. Its build side is de-duplicated first (partial
-    aggregate), so a hot key cannot skew it.
+    be broadcast, and as a nested-loop join otherwise. Here the keys are reduced
+    to distinct ones (partial aggregate, so a hot key cannot skew the join's
+    build side), of which one scalar says whether there are any and whether one
+    is NULL; the rest is a plain ``left_anti`` join. It is one lazy plan: nothing
+    runs when it is built, and the scalar reuses the join's key exchange.
     """
     right = right or left
-    keys = sub.select(F.col(right).alias("_k"))
-    probe = keys.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("_k").isNull().cast("int")).alias("nul")).first()
-    if not probe["n"]:
-        return df
-    if probe["nul"]:
-        return df.limit(0)
-    keys = keys.distinct()
-    return df.where(F.col(left).isNotNull()).join(keys, F.col(left) == keys["_k"], "left_anti")
+    keys = sub.select(F.col(right).alias("_k")).distinct()
+    state = keys.agg(F.coalesce(F.max(F.when(F.col("_k").isNull(), 2).otherwise(1)), F.lit(0))).scalar()  # 0 empty, 2 NULL
+    out = df.withColumn("_state", state)
+    out = out.where((F.col("_state") == 0) | ((F.col("_state") == 1) & F.col(left).isNotNull()))
+    return out.join(keys, F.col(left) == keys["_k"], "left_anti").drop("_state")

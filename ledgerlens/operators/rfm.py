@@ -25,13 +25,13 @@ OTHER_SEGMENT = "unknown"
 SCORE_CUTS = (0.75, 0.5, 0.25)   # strict '>' -> scores 4, 3, 2; else 1
 
 
-def rfm_metrics(facts: DataFrame, user: str, ts: str, amount: str, as_of: str) -> DataFrame:
+def rfm_metrics(facts: DataFrame, user: str, ts: str, amount: str, as_of: str, calendar: bool = False) -> DataFrame:
     """Per customer: days from the last activity to ``as_of``, distinct
-    'yy.mm.dd' texts (``mm`` = minutes, as the reference writes it), and
-    the amount total."""
+    'yy.mm.dd' texts (``mm`` = minutes, as the reference writes it; calendar
+    days with ``calendar``), and the amount total."""
     return facts.groupBy(user).agg(
         day_boundaries(F.max(ts), date_lit(as_of)).alias("recency"),
-        F.count_distinct(literal_day_text(F.col(ts))).alias("frequency"),
+        F.count_distinct(F.to_date(ts) if calendar else literal_day_text(F.col(ts))).alias("frequency"),
         F.sum(amount).alias("monetary"),
     )
 

@@ -36,12 +36,12 @@ def running_total(df: DataFrame, partition: list[str], order: list[str], value:
 
 
 def moving_average(df: DataFrame, order: list[str], value: str, rows: int,
-                   avg_out: str, count_out: str | None = None) -> DataFrame:
-    """Integer AVG (SQL Server on an int column) and COUNT over the current row
+                   avg_out: str, count_out: str | None = None, integer: bool = True) -> DataFrame:
+    """Integer AVG (SQL Server on an int column; a fraction with ``integer=False``) and COUNT over the current row
     and the ``rows - 1`` rows before it."""
     w = Window.orderBy(*order).rowsBetween(-(rows - 1), 0)
     s, c = F.sum(value).over(w), F.count(value).over(w)
-    out = df.withColumn("_s", s).withColumn("_c", c).withColumn(avg_out, F.expr("_s div _c"))
+    out = df.withColumn("_s", s).withColumn("_c", c).withColumn(avg_out, F.expr("_s div _c") if integer else F.col("_s") / F.col("_c"))
     if count_out:
         out = out.withColumn(count_out, F.col("_c"))
     return out.drop("_s", "_c")

@@ -26,26 +26,21 @@ def _successful(spark: SparkSession, src: str, type_literal: str | None = None)
     return j
 
 
-def share_by_type_top5(spark: SparkSession, src: str, top: int = 5) -> DataFrame:
-    """Per type: distinct successful transactions and their percent of ALL rows
-    of the year (any status -- the reference's scalar subquery); top 5.
-
-    One pass over the facts: every row is grouped by type with conditional
-    aggregates for the successful ones, and the year's row count is the sum
-    of the per-type counts (a window over the few type groups), so the
-    lineitem/orders join runs once instead of once more for the subquery.
+def share_by_type_top5(spark: SparkSession, src: str, top: int = 5, denom: str = "all") -> DataFrame:
+    """Per type: distinct successful transactions and their percent of the year's
+    fact rows; top 5. ``denom="all"`` counts rows of any status, as the reference's
+    scalar subquery does, ``denom="successful"`` only the successful ones, as its
+    comment says. The rows are counted on their own, before any join, so a scenario
+    that occurs twice doesn't change the share.
     """
-    f = star.fact_transactions(spark, src, (M.YEAR_A,))
-    s = star.dim_scenario(spark, src)
-    st = star.dim_status(spark)
-    ok = ci_eq("status_description", M.STATUS_SUCCESS)
-    g = (f.join(s, "scenario_id", "left").join(st, "status_id", "left")
-         .groupBy("transaction_type")
-         .agg(F.count_distinct(F.when(ok, F.col("transaction_id"))).alias("num_of_trans"),
-              F.count(F.when(ok, F.lit(1))).alias("_ok_rows"),
-              F.count(F.lit(1)).alias("_rows")))
-    g = (g.withColumn("_total", F.sum("_rows").over(Window.partitionBy()))   # one row per type
-         .where(F.col("_ok_rows") > 0))
+    if denom not in ("all", "successful"):
+        raise ValueError("denom is 'all' or 'successful'")
+    counted = star.fact_transactions(spark, src, (M.YEAR_A,))
+    if denom == "successful":
+        counted = counted.join(star.dim_status(spark).where(ci_eq("status_description", M.STATUS_SUCCESS)), "status_id")
+    total = counted.agg(F.count(F.lit(1))).scalar()
+    g = (_successful(spark, src).groupBy("transaction_type")
+         .agg(F.count_distinct("transaction_id").alias("num_of_trans")).withColumn("_total", total))
     g = g.select("transaction_type", "num_of_trans",
                  ratio("num_of_trans", "_total", scale=6, percent=True).alias("percentage"))
     return g.orderBy(F.col("percentage").desc(), F.col("transaction_type").asc_nulls_first()).limit(top)
@@ -68,13 +63,16 @@ def share_of_category_in_type(spark: SparkSession, src: str) -> DataFrame:
 
 
 def _customer_metrics(spark: SparkSession, src: str) -> DataFrame:
-    j = _successful(spark, src, M.TYPE_LITERAL_LOWER)
+    """Rows collapse to one per (customer, scenario, type, category) before the distinct counts,
+    which then expand far fewer rows."""
+    j = _successful(spark, src, M.TYPE_LITERAL_LOWER).groupBy("customer_id", "scenario_id", "transaction_type", "category").agg(
+        F.count("transaction_id").alias("_n"), F.sum("charged_amount").alias("_amount"))
     return j.groupBy("customer_id").agg(
-        F.count("transaction_id").alias("number_trans"),
+        F.sum("_n").alias("number_trans"),
         F.count_distinct("scenario_id").alias("number_scenarios"),
         F.count_distinct("transaction_type").alias("number_types"),
         F.count_distinct("category").alias("number_categories"),
-        F.sum("charged_amount").alias("total_amount"),
+        F.sum("_amount").alias("total_amount"),
     )
 
 
@@ -86,6 +84,7 @@ def top_customers_metrics(spark: SparkSession, src: str, top: int = 10) -> DataF
 
 def metric_summary_report(spark: SparkSession, src: str) -> DataFrame:
     """min / max / average of four per-customer metrics, one row each."""
+    # fixed values: the labels of the report
     return metric_summary(_customer_metrics(spark, src), [
         ("The number of transactions", "number_trans", "int"),
         ("The number of payment scenarios", "number_scenarios", "int"),
@@ -112,15 +111,17 @@ def hist_trans(spark: SparkSession, src: str, width: int = M.COUNT_BIN_WIDTH, bi
     return histogram(t, "number_trans_range", "customer_id")
 
 
-def hist_categories(spark: SparkSession, src: str, n: int = M.CATEGORY_BINS) -> DataFrame:
-    """COUNT(category) (not distinct, as written) binned 1..n, else NULL."""
-    t = _per_customer(spark, src, F.count("category").alias("number_categories"))
+def hist_categories(spark: SparkSession, src: str, n: int = M.CATEGORY_BINS, distinct: bool = False) -> DataFrame:
+    """COUNT(category) (not distinct, as written, unless asked for) binned 1..n, else NULL."""
+    count = F.count_distinct if distinct else F.count
+    t = _per_customer(spark, src, count("category").alias("number_categories"))
     t = t.withColumn("number_categories_range", bin_exact("number_categories", n))
     return histogram(t, "number_categories_range", "customer_id")
 
 
-def hist_scenarios(spark: SparkSession, src: str, n: int = M.SCENARIO_BINS) -> DataFrame:
-    """COUNT(scenario_id) per customer binned 1..n, else NULL; customers per bin."""
-    t = _per_customer(spark, src, F.count("scenario_id").alias("number_scenarios"))
+def hist_scenarios(spark: SparkSession, src: str, n: int = M.SCENARIO_BINS, distinct: bool = False) -> DataFrame:
+    """COUNT(scenario_id) per customer (distinct if asked for) binned 1..n, else NULL; customers per bin."""
+    count = F.count_distinct if distinct else F.count
+    t = _per_customer(spark, src, count("scenario_id").alias("number_scenarios"))
     t = t.withColumn("number_scenarios_range", bin_exact("number_scenarios", n))
     return histogram(t, "number_scenarios_range", "customer_id")

@@ -6,12 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import ci_eq, ci_ne
 from ..operators.relational import semi_join
-from ..session import pin
 from ..sources import mapping as M
 from ..sources import star
-from ..sources.tables import scan_bytes
-
-PIN_MIN_BYTES = 256 * 1024 * 1024
 
 REPORT_COLUMNS = ("customer_id", "transaction_id", "scenario_id", "transaction_type", "sub_category", "category")
 
@@ -29,7 +25,7 @@ def transactions_by_channel(spark: SparkSession, src: str, months=(1, 6), catego
     """Months ``BETWEEN`` the bounds, one category, one payment method."""
     f = star.fact_transactions(spark, src, (M.YEAR_A,), months=tuple(range(months[0], months[1] + 1)))
     s = star.dim_scenario(spark, src).where(ci_eq("category", category))
-    pc = star.dim_payment_channel(spark, src).where(ci_eq("payment_method", method))
+    pc = star.dim_payment_channel(spark, src, (M.YEAR_A,), tuple(range(months[0], months[1] + 1))).where(ci_eq("payment_method", method))
     return f.join(s, "scenario_id").join(pc, "payment_channel_id").select(*REPORT_COLUMNS)
 
 
@@ -45,16 +41,10 @@ def returning_customer_transactions(spark: SparkSession, src: str, platform: str
     """January rows of year A on a platform, for customers also active in
     January of year B (``customer_id IN (subquery)`` = left semi join).
 
-    Both Januaries come from one lineitem/orders join. When lineitem is large
-    (and facts are not materialised already) that slice is written once to the
-    checkpoint folder, so lineitem is read once instead of once per side;
-    below ``PIN_MIN_BYTES`` reading it twice is cheaper than the write."""
-    both = star.fact_transactions(spark, src, (M.YEAR_A, M.YEAR_B), months=(1,))
-    if not star.materialised(spark) and scan_bytes(spark, src, "lineitem") >= PIN_MIN_BYTES:
-        both = pin(both)
-    year = F.year("transaction_time")
-    f = both.where(year == M.YEAR_A)
-    later = both.where(year == M.YEAR_B).select("customer_id")
+    Each January is read with its own date range pushed into the scan; the
+    later one is reduced to its distinct customers before the join."""
+    f = star.fact_transactions(spark, src, (M.YEAR_A,), months=(1,))
+    later = star.fact_transactions(spark, src, (M.YEAR_B,), months=(1,)).select("customer_id")
     s = star.dim_scenario(spark, src)
     p = star.dim_platform(spark).where(ci_eq("payment_platform", platform))
     j = f.join(s, "scenario_id").join(p, "platform_id")

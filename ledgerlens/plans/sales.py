@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.numeric import int_part
+from ..functions.numeric import int_part_equals
 from ..functions.text import ci_eq, ci_in, like, nvl_text, prefix_before
 from ..operators.ranking import top_percent
 from ..operators.relational import not_in
@@ -75,14 +75,16 @@ def customer_orders_main_address(spark: SparkSession, src: str, address_type: st
 
 
 def product_name_prefix(spark: SparkSession, src: str, category_pattern: str = M.CATEGORY_NAME_PATTERN,
-                        model_pattern: str = M.MODEL_NAME_PATTERN, price: int = M.LIST_PRICE_INT) -> DataFrame:
+                        model_pattern: str = M.MODEL_NAME_PATTERN, price: int = M.LIST_PRICE_INT,
+                        round_money: bool = False) -> DataFrame:
     """Product name up to the first '-', for a category, a model and an
-    integer list price (``CAST(ListPrice AS INT)`` = truncation)."""
+    integer list price (``CAST(ListPrice AS INT)`` = truncation, or rounding as a
+    MONEY column would with ``round_money``)."""
     p = S.product(spark, src, name_with_brand=True, with_category_model=True)
     pc = S.product_category(spark, src).withColumnRenamed("Name", "CategoryName")
     pm = S.product_model(spark, src).withColumnRenamed("Name", "ModelName")
     j = p.join(pc, "ProductCategoryID").join(pm, "ProductModelID")
     j = j.where(like("CategoryName", category_pattern) & like("ModelName", model_pattern)
-                & (int_part("ListPrice") == price))
+                & int_part_equals("ListPrice", price, round_money))
     return j.select(prefix_before("Name", "-").alias("ProductName"), "ProductCategoryID",
                     F.col("CategoryName").alias("Name"))

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import pct_text
-from ..functions.text import ci_eq
+from ..functions.text import ci_in
 from ..session import pin
 from ..operators.rfm import percent_ranks, quartile_score, rfm_metrics, rfm_segment
 from ..sources import mapping as M
 from ..sources import star
 
 
-def rfm_table(spark: SparkSession, src: str, sub_category: str | None = M.COHORT_SUB_CATEGORY,
-              as_of: str = M.RFM_AS_OF) -> DataFrame:
+def rfm_table(spark: SparkSession, src: str, sub_categories=M.COHORT_SUB_CATEGORIES,
+              as_of: str = M.RFM_AS_OF, calendar: bool = False) -> DataFrame:
     """Recency, frequency, monetary per customer over the UNION of both years'
     successful rows that have a scenario. DISTINCT commutes with the semi join
     on the scenario, so the UNION's whole-row DISTINCT runs before the join."""
     f = star.fact_union(spark, src).where(F.col("status_id") == 1)
     s = star.dim_scenario(spark, src)
-    if sub_category is not None:
-        s = s.where(ci_eq("sub_category", sub_category))
+    if sub_categories is not None:
+        s = s.where(ci_in("sub_category", sub_categories))
     facts = f.join(s.select("scenario_id"), "scenario_id", "left_semi")
-    return rfm_metrics(facts, "customer_id", "transaction_time", "charged_amount", as_of)
+    return rfm_metrics(facts, "customer_id", "transaction_time", "charged_amount", as_of, calendar)
 
 
 def _pinned(df: DataFrame) -> DataFrame:
@@ -32,8 +32,8 @@ def _pinned(df: DataFrame) -> DataFrame:
     return pin(df)
 
 
-def rfm_scores(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:
-    t = percent_ranks(_pinned(rfm_table(spark, src)), [
+def rfm_scores(spark: SparkSession, src: str, scaled: bool = True, **options) -> DataFrame:
+    t = percent_ranks(_pinned(rfm_table(spark, src, **options)), [
         ("recency", False, "r_rank"), ("frequency", True, "f_rank"), ("monetary", True, "m_rank")],
         scaled=scaled, key="customer_id")
     t = t.select("*", quartile_score("r_rank").alias("r_score"), quartile_score("f_rank").alias("f_score"),
@@ -41,9 +41,10 @@ def rfm_scores(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:
     return t.withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
 
 
-def rfm_segments(spark: SparkSession, src: str, scaled: bool = True) -> DataFrame:
-    """Users per segment and their percent of all users."""
-    seg = rfm_scores(spark, src, scaled).groupBy("segment").agg(F.count("customer_id").alias("number_users"))
+def rfm_segments(spark: SparkSession, src: str, scaled: bool = True, **options) -> DataFrame:
+    """Users per segment and their percent of all users; ``options`` as of ``rfm_table``
+    (sub_categories, as_of, calendar)."""
+    seg = rfm_scores(spark, src, scaled, **options).groupBy("segment").agg(F.count("customer_id").alias("number_users"))
     seg = seg.withColumn("_total", F.sum("number_users").over(Window.partitionBy()))  # <= 10 rows
     return (seg.withColumn("pct", pct_text("number_users", "_total")).drop("_total")
             .orderBy(F.col("number_users").desc(), F.col("segment").asc()))

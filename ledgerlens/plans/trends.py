@@ -100,11 +100,11 @@ def weekly_running_customers(spark: SparkSession, src: str) -> DataFrame:
     return w.orderBy("year", "week_number")
 
 
-def weekly_moving_average(spark: SparkSession, src: str, rows: int = 4) -> DataFrame:
-    """Q29 plus the integer average of the RUNNING SUM over the last 4 rows and
-    the number of rows that average saw."""
+def weekly_moving_average(spark: SparkSession, src: str, rows: int = 4, value: str = "rolling_number") -> DataFrame:
+    """Q29 plus the integer average of ``value`` (the RUNNING SUM, as written, or
+    ``number_customer``) over the last 4 rows and the number of rows that average saw."""
     w = running_total(_weekly(spark, src), ["year"], ["week_number"], "number_customer", "rolling_number")
-    return moving_average(w, ["year", "week_number"], "rolling_number", rows, "moving_avg", "count_row")
+    return moving_average(w, ["year", "week_number"], value, rows, "moving_avg", "count_row")
 
 
 def year_over_year(spark: SparkSession, src: str, lag: int = 12) -> DataFrame:

@@ -28,17 +28,6 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
-# Plan settings the reports rely on; none changes a result. The fact DISTINCT
-# reuses the lineitem/orders join's hash partitioning (no exchange of its
-# own), and AQE then declines to split a skewed join partition, because the
-# split would need that exchange after all. Forcing it lets AQE split a hot
-# order key (or a mass of duplicated lines) and add the exchange only when
-# skew is actually measured.
-PLAN_CONF = {
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerlens", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench. UI off, no ports beyond Spark's own."""
@@ -50,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **PLAN_CONF, **(extra or {})}.items():
+    for k, v in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -58,23 +47,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_semantics(spark: SparkSession) -> None:
-    """Pin the settings whose values change query results."""
+    """Pin the settings whose values change query results, on a session of one's own
+    (the command line's); the reports themselves never change the caller's settings."""
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    """Result-changing settings plus the plan settings the reports rely on."""
-    apply_semantics(spark)
-    for k, v in PLAN_CONF.items():
-        spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (distributed) folder and is used
-    as given. Only when it is unset -- local tests -- a scratch folder is made.
+    as given. Only a ``local[..]`` master, as in tests, may run without it (a scratch folder).
     """
     try:
         sc = spark.sparkContext
@@ -82,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return current

@@ -22,7 +22,7 @@ SUB_CATEGORY_COLUMNS = ("electricity_trans", "internet_trans", "water_trans")
 PAYMENT_METHOD = "HIGH"                  # reference: 'Bank account'
 PLATFORM = "ios"
 RFM_AS_OF = "1998-12-31"                 # reference: '2020-12-31'
-COHORT_SUB_CATEGORY = None               # reference: 'Telco Card'; no filter here
+COHORT_SUB_CATEGORIES = ("red", "blue", "hot", "small")   # reference: 'Telco Card'
 
 # Sales side.
 COLORS = ("red", "blue", "hot")          # reference: 'Black', 'Red', 'White'
@@ -30,7 +30,6 @@ SIZES = (1, 2)                           # reference: 'S', 'M'
 PRODUCT_NUMBER_PATTERN = "Brand#[^1]%[0-9]"   # reference: 'BK-[^T]%-[0-9][0-9]'
 NAME_WORDS = ("ring", "widget")          # reference: 'HL', 'Mountain'
 MIN_NUMBER_PATTERN = "________%"         # at least 8 characters
-ORDER_DETAIL_BEFORE = "1995-07-01"       # order lines shipped before this date
 MAIN_OFFICE = "BUILDING"                 # reference: 'Main Office'
 CATEGORY_NAME_PATTERN = "%O%"            # reference: '%Bikes%'
 MODEL_NAME_PATTERN = "%g%"               # reference: '%Road%'

@@ -6,7 +6,7 @@
 | Product           | part                                                             |
 | ProductCategory   | distinct p_type, id = smallest part key of the type              |
 | ProductModel      | distinct second word of p_name, id = smallest part key          |
-| SalesOrderDetail  | lineitem shipped before a fixed date                             |
+| SalesOrderDetail  | lineitem                                                        |
 | Customer          | customer                                                         |
 | SalesOrderHeader  | orders                                                           |
 | CustomerAddress   | customer (its nation is the address, its segment the type)      |
@@ -16,8 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.dates import ts_ntz
-from . import mapping as M
 from .tables import read_table
 
 NULL_LINE2_REGION = "ASIA"
@@ -76,8 +74,7 @@ def product(spark: SparkSession, src: str, name_with_brand: bool = False,
 
 
 def sales_order_detail(spark: SparkSession, src: str) -> DataFrame:
-    li = read_table(spark, src, "lineitem", ["l_partkey", "l_shipdate"])
-    return li.where(F.col("l_shipdate") < ts_ntz(M.ORDER_DETAIL_BEFORE)).select(F.col("l_partkey").alias("ProductID"))
+    return read_table(spark, src, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("ProductID"))
 
 
 def customer(spark: SparkSession, src: str) -> DataFrame:

@@ -200,3 +200,32 @@ def test_index_to_base_two_base_rows_is_an_error(spark):
     df = spark.createDataFrame([(1, 1997, 5), (1, 1997, 6)], "month int, year int, n long")
     with pytest.raises(Exception):
         index_to_base(df, "n", (F.col("month") == 1) & (F.col("year") == 1997), "base", "pct").collect()
+
+
+def test_not_in_is_lazy_and_follows_null_rules(spark):
+    from ledgerlens.operators.relational import not_in
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    rows = lambda keys: sorted(r.k if r.k is not None else -1 for r in not_in(
+        df, spark.createDataFrame([(k,) for k in keys], "k int"), "k").collect())
+    assert rows([]) == [-1, 1, 2] and rows([1]) == [2] and rows([1, None]) == [] and rows([5, 5]) == [1, 2]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_top_k_orders_nan_and_null_as_spark(spark, descending):
+    from pyspark.sql import functions as F
+    from ledgerlens.operators.ranking import top_k
+    values = [float("nan")] * 10 + [None] * 5 + [float(i % 7) for i in range(15)]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    order = [F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first(), F.col("id").asc()]
+    want = [r.id for r in df.orderBy(*order).limit(12).collect()]
+    got = top_k(df, [("v", descending), ("id", False)], 12)
+    assert sorted(r.id for r in got.collect()) == sorted(want)
+
+
+def test_integer_price_range_equals_the_cast(spark):
+    from pyspark.sql import functions as F
+    from ledgerlens.functions.numeric import int_part, int_part_equals
+    df = spark.range(-400, 400).select((F.col("id") / 100).alias("x"))
+    for n in (-2, 0, 3):
+        assert df.where(int_part_equals("x", n)).count() == df.where(int_part("x") == n).count()
+        assert df.where(int_part_equals("x", n, round_money=True)).count() == df.where(F.round(F.col("x").cast("decimal(9,2)")) == n).count()

@@ -4,12 +4,14 @@ built-in cross-checks (the same table written two ways)."""
 import pytest
 
 import __spark_entry__ as E
-from ledgerlens.plans import cohorts, trends
+from ledgerlens.plans import behaviour, cohorts, segments, trends
+from ledgerlens.plans.oracles import ORACLES
+from ledgerlens.plans.registry import QUERIES
 from oracle_compare import compare, duck_connection
 
 from conftest import SF001, SF01
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,7 @@ def duck():
 
 
 def test_every_report_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLES) == set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -65,10 +67,19 @@ def test_rfm_scaled_equals_window(spark):
     assert a == b
 
 
-def test_returning_customers_checkpointed_path(spark, duck, monkeypatch):
-    """The large-input path (two-January slice written once) gives the same rows."""
-    from ledgerlens.plans import payments
-    monkeypatch.setattr(payments, "PIN_MIN_BYTES", 0)
-    name = "returning_customer_transactions"
-    ok, msg = compare(spark, name, E.queries()[name], E.oracle_sql()[name], SF01, duck)
-    assert ok, msg
+def test_stated_choices(spark):
+    """The documented other reading of a report is an argument, with its own result."""
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    few = {r.transaction_type: r for r in behaviour.share_by_type_top5(spark, SF01, denom="successful").collect()}
+    for r in behaviour.share_by_type_top5(spark, SF01).collect():
+        assert r.transaction_type not in few or few[r.transaction_type].percentage > r.percentage
+    for report in (behaviour.hist_categories, behaviour.hist_scenarios):
+        once, every = rows(report(spark, SF01, distinct=True)), rows(report(spark, SF01))
+        assert sum(x[1] for x in once) == sum(x[1] for x in every)
+    plain = trends.weekly_moving_average(spark, SF01, value="number_customer").orderBy("year", "week_number").collect()
+    assert [r.moving_avg for r in plain[:2]] == [plain[0].number_customer, (plain[0].number_customer + plain[1].number_customer) // 2]
+    literal, calendar = (sum(r.frequency for r in segments.rfm_table(spark, SF01, calendar=c).collect()) for c in (False, True))
+    assert calendar >= literal
+    every = {r.subsequent_month: r.retained_users for r in cohorts.retention_first_cohort(spark, SF01, sub_categories=None).collect()}
+    some = {r.subsequent_month: r.retained_users for r in cohorts.retention_first_cohort(spark, SF01).collect()}
+    assert 0 < some[0] < every[0]
