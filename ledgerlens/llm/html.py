@@ -256,11 +256,11 @@ class Model:
             log = [sum(self.log.get(m, ZERO)[s] for m in marks) + TEMPER * sum(self.log.get(f, ZERO)[s] for f in soft) for s in range(3)]
             top = max(log)
             own.append([math.exp(max(x - top, -60.0)) for x in log])
-        edge = self.edge
+        edges = [MARKED if h < 0 else self.edge for h in page.hint]
         up: list[list[float]] = [ZERO] * n
         belief = [list(x) for x in own]
         for i in range(n - 1, 0, -1):       # children come after their parents
-            b = belief[i]
+            b, edge = belief[i], edges[i]
             up[i] = message = [edge[s][0] * b[0] + edge[s][1] * b[1] + edge[s][2] * b[2] for s in range(3)]
             p = belief[page.parent[i]]
             p[0], p[1], p[2] = p[0] * message[0], p[1] * message[1], p[2] * message[2]
@@ -270,7 +270,7 @@ class Model:
         for i in range(n):
             b = belief[i]
             if i:
-                p, message = belief[page.parent[i]], up[i]
+                p, message, edge = belief[page.parent[i]], up[i], edges[i]
                 rest = [p[s] / max(message[s], 1e-300) for s in range(3)]     # the parent without this child
                 b[:] = [b[t] * (rest[0] * edge[0][t] + rest[1] * edge[1][t] + rest[2] * edge[2][t]) for t in range(3)]
             total = sum(b) or 1.0
@@ -298,6 +298,8 @@ class Model:
 
 
 ZERO = [0.0, 0.0, 0.0]
+#: The edge to a marked part is the same from any parent: an article may hold many of them.
+MARKED = [[1e-6, 1e-6, 1.0]] * 3
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_pages: int = FIT_PAGES) -> Model:
