@@ -19,7 +19,7 @@ Only the id, text and (for learning) language columns are read.
 from __future__ import annotations
 
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,16 +31,25 @@ from .common import hash_share, ship
 FIT_ROWS = 20_000       # documents the n-grams are counted on, at most
 FEATURES = 1 << 15      # hashed n-grams
 PENALTY = 4.0           # per language, times the log of the number of words
-STEPS = 12              # EM steps
+STEPS = 8               # EM steps
 TEMPER = 0.5            # overlapping n-grams count for less than independent ones
 
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str) -> list[int]:
-    """Hashed n-grams of a lower-case word."""
-    w = f" {word} "
-    return [zlib.crc32(w[i:i + n].encode("utf-8", "replace")) % FEATURES for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of lower-case words, all at once, and the word each belongs to."""
+    code = np.frombuffer("".join([f" {w} " for w in words]).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    ids, owners = [], []
+    total = np.zeros(len(code), dtype=np.uint64)
+    for n, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)):
+        total = total[:len(code) - n] + code[n:] * np.uint64(factor)
+        inside = owner[n:] == owner[:len(code) - n]
+        mixed = (total[inside] + np.uint64(n)) * np.uint64(0xFF51AFD7ED558CCD)
+        ids.append((mixed >> np.uint64(40)) % np.uint64(FEATURES))
+        owners.append(owner[n:][inside])
+    return np.concatenate(ids).astype(np.int64), np.concatenate(owners)
 
 
 def _counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows: int) -> DataFrame:
@@ -51,19 +60,14 @@ def _counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        memory: dict[str, list[int]] = {}
         for batch in batches:
+            words: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = total.setdefault(lang, np.zeros(FEATURES, dtype=np.int64))
-                ids: list[int] = []
-                for w in WORD.findall(text.lower()):
-                    g = memory.get(w)
-                    if g is None:
-                        if len(memory) > 200_000:
-                            memory.clear()
-                        g = memory[w] = grams(w)
-                    ids += g
-                own += np.bincount(ids, minlength=FEATURES) if ids else 0
+                words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+            for lang, own in words.items():
+                ids, owner = grams(list(own))
+                n = np.bincount(ids, np.array(list(own.values()), dtype=float)[owner], FEATURES) if own else np.zeros(FEATURES)
+                total[lang] = total.get(lang, 0) + n.astype(np.int64)
         for lang, own in total.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(own[at])], names=["lang", "gram", "n"])
@@ -84,30 +88,38 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 class WordLikelihoods(dict):
-    """Word -> row of a growing table of log likelihoods, relative to the word's best language."""
+    """Word -> row of a growing table of likelihoods, relative to the word's best language."""
 
     def __init__(self, table: np.ndarray):
         super().__init__()
         self.table = table
-        self.rows: list[np.ndarray] = []
+        self.like = np.zeros((0, table.shape[0]), dtype=np.float32)
 
-    def __missing__(self, word: str) -> int:
-        value = TEMPER * self.table[:, grams(word)].sum(1)
-        self.rows.append(np.maximum(value - value.max(), -60.0))
-        self[word] = len(self.rows) - 1
-        return len(self.rows) - 1
+    def add(self, words: list[str]) -> None:
+        """Make every one of ``words`` known; a full memory is emptied first."""
+        if len(self) > 400_000:
+            self.clear()
+            self.like = self.like[:0]
+        new = list(dict.fromkeys(w for w in words if w not in self))
+        if new:
+            ids, owner = grams(new)
+            value = TEMPER * np.stack([np.bincount(owner, t[ids], len(new)) for t in self.table], axis=1)
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            self.like = np.concatenate([self.like, np.exp(np.maximum(value - value.max(1, keepdims=True), -60.0)).astype(np.float32)])
 
 
 def mixtures(like: np.ndarray, first: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """EM for many documents at once. ``like``: words x languages, ``first``: each document's
     first word, ``allowed``: documents x languages. Returns proportions and log likelihoods."""
     size = np.diff(np.r_[first, len(like)])
-    pi = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(STEPS):
-        part = like * np.repeat(pi, size, axis=0)
-        part /= part.sum(1, keepdims=True) + 1e-300
-        pi = np.add.reduceat(part, first, axis=0) / size[:, None]
-    total = np.log((like * np.repeat(pi, size, axis=0)).sum(1) + 1e-300)
+    owner = np.repeat(np.arange(len(first)), size)
+    pi = (allowed / allowed.sum(1, keepdims=True)).astype(like.dtype)
+    many = allowed.sum(1).max() > 1     # one language alone has nothing to estimate
+    for _ in range(STEPS if many else 0):
+        part = like * pi[owner]
+        part /= part.sum(1, keepdims=True) + 1e-30
+        pi = np.add.reduceat(part, first, axis=0) / size[:, None].astype(like.dtype)
+    total = np.log((like * pi[owner]).sum(1) + 1e-30).astype(np.float64)
     return pi, np.add.reduceat(total, first)
 
 
@@ -115,25 +127,26 @@ def chosen(like: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """The best language and its proportion per document, by penalised likelihood."""
     docs, langs = len(first), like.shape[1]
     size = np.diff(np.r_[first, len(like)])
-    pi, _ = mixtures(like, first, np.ones((docs, langs)))
-    order = np.argsort(-np.round(pi, 9), axis=1, kind="stable")
+    price = PENALTY * np.log(size + 1)
+    pi, most = mixtures(like, first, np.ones((docs, langs)))
+    order = np.argsort(-np.round(pi, 6), axis=1, kind="stable")
     rank = np.argsort(order, axis=1, kind="stable")
     best = np.full(docs, -np.inf)
     out = np.zeros(docs, dtype=int)
     score = np.zeros(docs)
     open_ = np.arange(docs)     # documents whose next language may still pay
     for k in range(1, langs + 1):
-        words = np.concatenate([np.arange(first[d], first[d] + size[d]) for d in open_]) if len(open_) < docs else np.arange(len(like))
+        whole = len(open_) == docs
+        words = slice(None) if whole else np.concatenate([np.arange(first[d], first[d] + size[d]) for d in open_])
         starts = np.r_[0, np.cumsum(size[open_])[:-1]]
         p, log = mixtures(like[words], starts, (rank[open_] < k).astype(float))
-        value = log - PENALTY * k * np.log(size[open_] + 1)
+        value = log - k * price[open_]
         better = value > best[open_]
         at = open_[better]
         best[at] = value[better]
         out[at], score[at] = p[better].argmax(1), p[better].max(1)
-        # Another language costs more than any likelihood left to gain?
-        gain = -log
-        open_ = open_[better & (gain > PENALTY * np.log(size[open_] + 1))]
+        # No set does better than all languages; one more of them must still pay its price.
+        open_ = open_[most[open_] + 1 - (k + 1) * price[open_] > best[open_]]
         if not len(open_):
             break
     return out, score
@@ -154,24 +167,22 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
             texts = batch.column(1).to_pylist()
             at = 0
             while at < len(texts):
-                rows, held = [], 0
-                while at + len(rows) < len(texts) and (not rows or held < 300_000):
-                    words = WORD.findall((texts[at + len(rows)] or "").lower()) if langs else []
-                    rows.append(np.fromiter(map(memory.__getitem__, words), dtype=np.int64, count=len(words)))
-                    held += len(rows[-1])
+                said, held = [], 0
+                while at + len(said) < len(texts) and (not said or held < 300_000):
+                    said.append(WORD.findall((texts[at + len(said)] or "").lower()) if langs else [])
+                    held += len(said[-1])
+                memory.add([w for x in said for w in set(x)])
+                rows = [np.fromiter(map(memory.__getitem__, x), dtype=np.int64, count=len(x)) for x in said]
                 full = [i for i, r in enumerate(rows) if len(r)]
                 lang, score = ["und"] * len(rows), [0.0] * len(rows)
                 if full:
-                    like = np.exp(np.array(memory.rows, dtype=np.float32))[np.concatenate([rows[i] for i in full])].astype(np.float64)
+                    like = memory.like[np.concatenate([rows[i] for i in full])]
                     first = np.r_[0, np.cumsum([len(rows[i]) for i in full])[:-1]]
                     for i, l, s in zip(full, *chosen(like, first)):
                         lang[i], score[i] = langs[l], float(min(s, 1.0))
                 names += lang
                 scores += score
                 at += len(rows)
-                if len(memory) > 300_000:
-                    memory.clear()
-                    memory.rows.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=["id", "lang_pred", "score"])
 
