@@ -7,7 +7,6 @@ Subpackages:
                 cohorts, RFM, distributed ranking, exact top-k, NOT IN)
   plans      -- the named reports (``plans.registry.QUERIES``) and their
                 DuckDB oracle statements
-  streaming  -- incremental (Structured Streaming) form of the monthly trend
 """
 
 __version__ = "0.1.0"
