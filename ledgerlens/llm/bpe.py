@@ -38,8 +38,8 @@ DOUBLE_SPACE = regex.compile(r" (?:\s|$)")
 CUT = regex.compile(r" (?=\S)")
 
 WIDE = 1 << 20              # more than any id: one number for a pair of ids
-CACHED_WORDS = 800_000      # strings remembered per worker; beyond, the memory starts anew
-BATCH_CHARS = 8_000_000     # characters encoded at a time
+CACHED_WORDS = 400_000      # strings remembered per worker; beyond, the memory starts anew
+BATCH_CHARS = 3_000_000     # characters encoded at a time
 
 
 def byte_symbols() -> dict[str, int]:

@@ -64,7 +64,7 @@ class WordHashes(dict):
     """Word -> 64-bit hash, remembered up to a number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         if len(word) < 64:
@@ -142,6 +142,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())],
                 names=["id", "n_shingles", "set_key", "sketch"])
+        _HASHES.clear()     # workers go on to other tasks
 
     return src.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sketch binary")
 
@@ -183,6 +184,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                 names=["id", "full"])
+        _HASHES.clear()
 
     return src.mapInArrow(run, f"id {kind}, full binary").where(F.length("full") > 0)
 
