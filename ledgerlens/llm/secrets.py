@@ -34,7 +34,8 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 USER = re.compile(r"""\b(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
                   r"""|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.I | re.A)
 ENDPOINT = re.compile(r"https?://[^\s\"'<>]+|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b", re.A)
-BLOB = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[^\s]*[0-9])(?=[^\s]*[a-z])(?=[^\s]*[A-Z])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
+BLOB = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
+MIXED = [re.compile(x) for x in ("[0-9]", "[a-z]", "[A-Z]")]     # a blob has some of each
 
 ORDER = {k: i for i, k in enumerate(("assign", "access", "hex", "user", "endpoint", "blob"))}
 ROLE = {"assign": "secret", "hex": "secret", "blob": "secret", "access": "identifier", "user": "identifier", "endpoint": "endpoint"}
@@ -67,7 +68,7 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak candidates with a complementary part in their scope. A candidate inside a base match
     of its own role is that match again and is left out."""
     weak = [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)]
-    weak += [(m.start(), m.end(), "blob") for m in BLOB.finditer(text)]
+    weak += [(m.start(), m.end(), "blob") for m in BLOB.finditer(text) if all(x.search(m[0]) for x in MIXED)]
     if base or weak:    # an identifier alone has no secret to go with
         weak += [(m.start(), m.end(), "user") for m in USER.finditer(text)]
     if not weak:
