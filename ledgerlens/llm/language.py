@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import hash_share, ship
@@ -34,7 +35,15 @@ PENALTY = 4.0           # per language, times the log of the number of words
 STEPS = 8               # EM steps
 TEMPER = 0.5            # overlapping n-grams count for less than independent ones
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")     # letters, and a few numerals that are no digits
+LETTERS = regex.compile(r"\p{L}+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    text = (text or "").lower()
+    found = WORD.findall(text)
+    return found if all(map(str.isalpha, found)) else LETTERS.findall(text)
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +72,7 @@ def _counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows
         for batch in batches:
             words: dict[str, Counter] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+                words.setdefault(lang, Counter()).update(words_of(text))
             for lang, own in words.items():
                 ids, owner = grams(list(own))
                 n = np.bincount(ids, np.array(list(own.values()), dtype=float)[owner], FEATURES) if own else np.zeros(FEATURES)
@@ -169,7 +178,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
             while at < len(texts):
                 said, held = [], 0
                 while at + len(said) < len(texts) and (not said or held < 300_000):
-                    said.append(WORD.findall((texts[at + len(said)] or "").lower()) if langs else [])
+                    said.append(words_of(texts[at + len(said)]) if langs else [])
                     held += len(said[-1])
                 memory.add([w for x in said for w in set(x)])
                 rows = [np.fromiter(map(memory.__getitem__, x), dtype=np.int64, count=len(x)) for x in said]
