@@ -54,6 +54,14 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def hash_share(rows: int, total: int, *keys: str) -> Column:
     """A condition that holds for about ``rows`` of ``total`` rows, chosen by a hash of ``keys``
     (for every row if there are no more): a bounded sample that no executor loss changes."""

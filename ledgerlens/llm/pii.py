@@ -4,13 +4,13 @@ Found values are validated and then permuted within their format by a keyed Feis
 equal values get equal pseudonyms in every document, different values different ones, and the
 key's owner can invert them:
 
-- card numbers (13 to 19 digits, Luhn valid): payload permuted, check digit made anew
+- card numbers (13 to 19 digits, in one or in the usual groups, Luhn valid): payload permuted, check digit made anew
 - IBANs (mod 97 valid): digits and letters of the account permuted, check digits made anew
 - US social security numbers (valid area, group and serial): permuted among the valid ones
 - dates (ISO, day/month/year with / or ., real days only): permuted within their century
 - IPv4 addresses: permuted among the 32-bit numbers
 - phone numbers: the last ten digits permuted, country code and punctuation kept
-- e-mail addresses: letters and digits permuted, case, punctuation and last label kept
+- e-mail addresses (up to the standard's 320 characters): letters and digits permuted, case, punctuation and last label kept
 
 The network adds keyed SHA-256 values to the two halves in turn, modulo their sizes ``a`` and
 ``b``; any ``a * b`` values are a domain, so formats that are no power of ten need no retries.
@@ -24,6 +24,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import unused
+
 CYCLES = 5      # each cycle changes both halves: ten rounds
 
 # The formats. Every one holds a digit or an @; quantifiers are possessive where
@@ -38,11 +40,12 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\w.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\w|\.\d)"
 PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
          r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}([.-])\d{3}[.-]\d{4}(?![\w-])").replace("([.-])", "[.-]")
-CARD = r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+CARD = r"(?<![\w+-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])"
 KINDS = {"email": EMAIL, "iban": IBAN, "ssn": SSN, "date": f"{ISO_DATE}|{DAY_DATE}", "ip": IP, "phone": PHONE, "card": CARD}
 ANY = "|".join(KINDS.values())
 
 lit = F.lit
+EMAIL_LONGEST = 320     # fixed value: 64 before the @ and 255 after it; what is longer is no address
 DIGITS_EACH, LETTERS_EACH = 18, 12      # longest runs that are permuted as one value
 
 
@@ -160,9 +163,10 @@ def mod97(text: Column) -> Column:
 
 def _email(v: Column, key: str) -> Column:
     cut = F.length(v) - F.length(F.substring_index(v, ".", -1)) - 1
-    return F.concat(bind(F.substr(v, lit(1), cut), lambda body: refilled(
+    new = F.concat(bind(F.substr(v, lit(1), cut), lambda body: refilled(
         body, permuted_digits(_digits(body), key, lit("email")), permuted_letters(_letters(body), key, lit("email")))),
         F.substr(v, cut + 1))
+    return F.when(F.length(v) <= EMAIL_LONGEST, new).otherwise(v)
 
 
 def _iban(v: Column, key: str) -> Column:
@@ -236,12 +240,13 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     ``count_col``. One pass over the rows: no shuffle, no Python."""
     text = F.col(text_col)
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, lit(f"({ANY})"), lit(1)))
-    work = docs.withColumn("__found", F.when(F.size(found) > 0, found))
-    work = work.withColumn("__new", F.transform("__found", lambda v: pseudonym(v, key)))
+    old, new = unused(docs, "__found"), unused(docs, "__new")
+    work = docs.withColumn(old, F.when(F.size(found) > 0, found))
+    work = work.withColumn(new, F.transform(old, lambda v: pseudonym(v, key)))
     gaps = F.split(text, ANY, -1)
-    made = F.array_join(F.zip_with(gaps, F.concat("__new", F.array(lit(""))), lambda g, v: F.concat(g, v)), "")
-    changed = F.coalesce(F.size(F.filter(F.zip_with("__found", "__new", lambda a, b: a != b), lambda x: x)), lit(0))
-    out = {text_col: F.when(F.col("__new").isNull(), text).otherwise(made)}
+    made = F.array_join(F.zip_with(gaps, F.concat(new, F.array(lit(""))), lambda g, v: F.concat(g, v)), "")
+    changed = F.coalesce(F.size(F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda x: x)), lit(0))
+    out = {text_col: F.when(F.col(new).isNull(), text).otherwise(made)}
     if count_col:
         out[count_col] = F.greatest(changed, lit(0)).cast("bigint")
-    return work.withColumns(out).drop("__found", "__new")
+    return work.withColumns(out).drop(old, new)
