@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.llm import decontaminate, neardup, pii, quality
 from ledgerlens.llm.bpe import encode_documents
-from ledgerlens.llm.common import shared, table
+from ledgerlens.llm.common import shared, table, unused
 from ledgerlens.llm.queries import PII_KEY, vocabulary
 
 
@@ -27,7 +27,8 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior of being good is at least one half."""
-    out = quality.judged(docs, table(spark, sf_dir, "labels")).where("__posterior >= 0.5")
+    out = quality.judged(docs, table(spark, sf_dir, "labels"))
+    out = out.where(F.col(unused(docs, "__posterior")) >= 0.5)
     return out.select(*(out[f"`{c}`"] for c in docs.columns))
 
 

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_share, shared, ship
+from .common import hash_share, shared, ship, unused
 
 FIT_ROWS = 10_000           # labelled documents the classifier is fitted on, at most
 SMALL_SITES = 20_000        # sites that may be broadcast
@@ -71,8 +71,9 @@ def fitted(rows: list[tuple[list[float], int]]) -> tuple[np.ndarray, np.ndarray,
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     """The classifier, or None if the sample lacks good or bad documents. The chosen labels are
-    ``fit_rows`` at most in expectation, so they may be broadcast."""
-    known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("good")).where("id IS NOT NULL AND good IN (0, 1)")
+    ``fit_rows`` at most in expectation, so they may be broadcast; repeated rows of a document or
+    label are one."""
+    known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("good")).where("id IS NOT NULL AND good IN (0, 1)").distinct()
     picked = known.where(hash_share(fit_rows, known.count(), "id"))
 
     @F.pandas_udf("array<double>")
@@ -80,7 +81,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
         return text.map(features)
 
     rows = (docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(picked), "id")
-            .where(F.col("text").rlike(r"\S")).select(shape("text").alias("x"), "good").collect())
+            .where(F.col("text").rlike(r"\S")).groupBy("id", "good").agg(F.min("text").alias("text"))
+            .select(shape("text").alias("x"), "good").collect())
     if len({r.good for r in rows}) < 2:
         return None
     return fitted([(r.x, r.good) for r in rows])
@@ -138,17 +140,19 @@ def sites(scored: DataFrame, start: float) -> DataFrame:
 
 
 def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """All rows of ``docs`` with ``__evidence``, ``__prior`` and ``__posterior`` (good)."""
+    """All rows of ``docs`` with ``__evidence``, ``__prior`` and ``__posterior`` (good); a column of
+    ``docs`` that has one of these names keeps it, and the new one is named by ``unused``."""
     ship(docs.sparkSession)
     model = fit(docs, labels, fit_rows)
     host, path = site_of(F.col("source"))
     ratio = evidence(model)
     scored = docs.select(host.alias("host"), path.alias("path"), ratio("text").alias("evidence"))
     table = shared(sites(scored, model[3] if model else 0.0))
-    table = table.select(F.col("path").alias("__path"), F.col("prior").alias("__prior"))
+    own_path, own_prior, own_evidence, own_posterior = (unused(docs, c) for c in ("__path", "__prior", "__evidence", "__posterior"))
+    table = table.select(F.col("path").alias(own_path), F.col("prior").alias(own_prior))
     if table.count() <= SMALL_SITES:
         table = F.broadcast(table)
-    rows = docs.withColumn("__path", path).join(table, "__path")
-    rows = rows.withColumn("__evidence", ratio("text"))
-    logit = F.col("__evidence") + F.log(F.col("__prior") / (1 - F.col("__prior")))
-    return rows.withColumn("__posterior", 1 / (1 + F.exp(-logit))).drop("__path")
+    rows = docs.withColumn(own_path, path).join(table, own_path)
+    rows = rows.withColumn(own_evidence, ratio("text"))
+    logit = F.col(own_evidence) + F.log(F.col(own_prior) / (1 - F.col(own_prior)))
+    return rows.withColumn(own_posterior, 1 / (1 + F.exp(-logit))).drop(own_path)
