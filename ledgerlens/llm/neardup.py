@@ -245,13 +245,22 @@ def forest(full: list[np.ndarray], component: list[int]) -> list[tuple[int, int]
 
 def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Links across components among the members of crowded buckets: a bucket is dealt into
-    blocks of about ``CROWD`` members, every two blocks meet in one task, and only links that
-    join components leave it. No pairs are made as rows, and no task holds more than two blocks."""
+    blocks of about ``CROWD`` members, two blocks meet in one task, and only links that join
+    components leave it. A component of ``CROWD`` members and more is a lot of its own, whose
+    blocks needn't meet each other; the rest of a bucket is one lot (null). No pairs are made as
+    rows, and no task holds more than two blocks."""
     ids = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
-    blocks = F.ceil(F.col("left") / CROWD).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    met = rest.select("bucket", "id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
-    met = met.select("bucket", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "id", "component")
+    lots = (rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("bucket", F.when(F.col("n") >= CROWD, F.col("component")).alias("lot")).agg(F.sum("n").alias("n"))
+            .groupBy("bucket").agg(F.collect_list(F.struct("lot", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"))).alias("lots")))
+    met = rest.join(lots, "bucket").withColumn("lot", F.when(F.exists("lots", lambda x: x["lot"] == F.col("component")), F.col("component")))
+    blocks = F.element_at(F.filter("lots", lambda x: x["lot"].eqNullSafe(F.col("lot"))), 1)["blocks"]
+    own = F.struct("lot", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("k"))
+    others = F.filter("lots", lambda x: x["lot"].isNull() | ~x["lot"].eqNullSafe(F.col("lot")))
+    others = F.flatten(F.transform(others, lambda x: F.transform(
+        F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["lot"].alias("lot"), k.alias("k")))))
+    met = met.select("bucket", "id", "component", own.alias("own"), F.explode(others).alias("with"))
+    met = met.select("bucket", F.to_json(F.least("own", "with")).alias("i"), F.to_json(F.greatest("own", "with")).alias("j"), "id", "component")
     sets = _sets(docs, rest.select("id").distinct(), id_col, text_col)
     met = met.join(sets, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     src = met.select("bucket", "i", "j", "id", "component", "full")
