@@ -41,9 +41,12 @@ def text_part(text: Column) -> Column:
                             F.lit(None).cast("bigint").alias("units")))
 
 
-def _visit(part: Column) -> Column:
-    """The visitor: what a part puts into the content."""
-    out = F.when(part["type"] == "text", escape(part["text"]))
+def _visit(part: Column, i: Column) -> Column:
+    """The visitor: what a part puts into the content. A text right after a text starts with a
+    backslash, so that no control string arises where they meet."""
+    text = escape(part["text"])
+    meets = (F.get("parts", i - 1)["type"] == "text") & (text != "") & ~text.startswith("\\")
+    out = F.when(part["type"] == "text", F.when(meets, F.concat(F.lit("\\"), text)).otherwise(text))
     for kind in EXPANSION:
         out = out.when(part["type"] == kind, F.lit(f"<|{kind}|>"))
     return out.otherwise(F.raise_error(F.concat(F.lit("unknown content part: "), F.coalesce(part["type"], F.lit("null")))))
