@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _SHIPPED = "_ledgerlens_shipped"
@@ -54,6 +59,27 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def parts(batch: pa.RecordBatch, column: int = 1, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive parts of about ``limit`` bytes of text, or one longer text, so that
+    what a task makes of the texts is held for a part and not for the batch."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def give_back() -> None:
+    """At the end of a task: unused memory goes back to the machine, since Python workers go on
+    to other tasks and lie idle between them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # where the C library has it
+    if trim:
+        trim(0)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it while ``df`` has a column of that name."""
     taken = {c.lower() for c in df.columns}

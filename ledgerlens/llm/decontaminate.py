@@ -1,9 +1,9 @@
 """Benchmark decontamination: BM25 over test items, searched by every training passage.
 
-The test items' inverted index (terms, postings in item order, in blocks of ``BLOCK`` items with
-each term's greatest weight per block) is built once per block of at most ``INDEX_ITEMS`` items
-and broadcast; more items are further passes over the documents, so the index a task holds is
-bounded. Weights are divided by the item's own score, so a threshold means the same for each.
+The test items' inverted index (terms, postings in item order, in blocks of ``BLOCK`` items, or
+more so that there are at most ``BLOCKS``, with each term's greatest weight per block) is built
+from a broadcast of at most about ``INDEX_ITEMS`` items; more items are further passes over the
+documents, so the index a task holds is bounded. Weights are divided by the item's own score, so a threshold means the same for each.
 
 Passages are word windows of twice the longest item (at least ``WINDOW``), half overlapping: any
 run of an item's length lies wholly in one. A passage's distinct index terms are its query.
@@ -31,10 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship
+from .common import give_back, parts, ship
 
 INDEX_ITEMS = 20_000    # items of an index block, and so the bound of a broadcast
 WINDOW, BLOCK, RUN = 64, 8, 5
+BLOCKS = 128            # blocks of an index, at most: a term's row of block maxima
+BOUNDS = 4_000_000      # block bounds summed at a time
 THRESHOLD, COVER = 0.4, 0.5
 K1, B = 1.2, 0.75
 
@@ -94,13 +96,14 @@ class Index:
         self.item = np.array(cols, dtype=np.int32)
         self.weight = (np.array(weights) / own[self.item]).astype(np.float32) if weights else np.zeros(0, np.float32)
         self.start = np.searchsorted(np.array(rows), np.arange(len(post) + 1)) if post else np.zeros(1, int)
-        self.blocks = -(-n // BLOCK)
+        self.block = max(BLOCK, -(-n // BLOCKS))
+        self.blocks = -(-n // self.block)
         # Block maxima, and the greatest weight of each term.
         self.block_max = np.zeros((len(post), max(self.blocks, 1)), dtype=np.float32)
-        np.maximum.at(self.block_max, (np.array(rows, dtype=int), self.item // BLOCK), self.weight)
+        np.maximum.at(self.block_max, (np.array(rows, dtype=int), self.item // self.block), self.weight)
         self.most = self.block_max.max(1) if len(post) else np.zeros(0, np.float32)
         # Postings cut by block: where each (term, block) begins.
-        key = np.array(rows, dtype=np.int64) * max(self.blocks, 1) + self.item // BLOCK      # ascending, as built
+        key = np.array(rows, dtype=np.int64) * max(self.blocks, 1) + self.item // self.block     # ascending, as built
         self.cut = np.searchsorted(key, np.arange(len(post) * max(self.blocks, 1) + 1))
 
     def search(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
@@ -115,6 +118,16 @@ class Index:
             return []
         passage, term = passage[live], term[live]
         first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+        # Whole passages at a time, of about BOUNDS block bounds.
+        starts = first[np.flatnonzero(np.r_[True, np.diff(first * self.blocks // BOUNDS) > 0])]
+        out = []
+        for lo, hi in zip(starts, np.r_[starts[1:], len(passage)]):
+            out += self._above(passage[lo:hi], term[lo:hi], threshold)
+        return out
+
+    def _above(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
+        """``search`` by block bounds, of passages whose greatest weights reach the threshold."""
+        first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
         bounds = np.add.reduceat(self.block_max[term], first, axis=0)
         size = np.diff(np.r_[first, len(passage)])
         p, block = np.nonzero(bounds >= threshold - 1e-4)
@@ -134,8 +147,9 @@ class Index:
         lo, n, pair = lo[some], (hi - lo)[some], pair[some]
         spot = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()) if len(n) else np.zeros(0, int)
         pair = np.repeat(pair, n)
-        scores = np.bincount(pair * BLOCK + self.item[spot] % BLOCK, self.weight[spot], len(p) * BLOCK)
-        return [(int(passage[first[p[k // BLOCK]]]), int(block[k // BLOCK] * BLOCK + k % BLOCK), float(scores[k]))
+        b = self.block
+        scores = np.bincount(pair * b + self.item[spot] % b, self.weight[spot], len(p) * b)
+        return [(int(passage[first[p[k // b]]]), int(block[k // b] * b + k % b), float(scores[k]))
                 for k in np.flatnonzero(scores >= threshold)]
 
     def cover(self, words: list[str], item: int) -> tuple[float, float, float]:
@@ -245,7 +259,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(sent.value)
             known = TermIds(index.terms)
-            for batch in batches:
+            for batch in (p for b in batches for p in parts(b)):
                 ids = batch.column(0).to_pylist()
                 hits = found(index, batch.column(1).to_pylist(), threshold, known) if index.ids else []
                 yield pa.RecordBatch.from_pylist(
@@ -253,6 +267,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                      for d, i, s, c, q, a in hits],
                     schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((x, pa.float64()) for x in
                                       ("score", "cover", "question_cover", "answer_cover"))]))
+            give_back()
 
         part = src.mapInArrow(run, schema)
         out = part if out is None else out.union(part)
