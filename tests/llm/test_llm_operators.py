@@ -8,12 +8,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import chat, decontaminate, html, imatch, language, neardup, pii, quality, queries, secrets
 from ledgerlens.llm.bpe import Codec, encode_documents
-from ledgerlens.llm.common import table
+from ledgerlens.llm.common import parts, table
 from ledgerlens.llm.graph import components
 
 from llm_fixtures import SF001, odd  # noqa: F401
@@ -41,6 +42,17 @@ def test_codec_equals_the_library():
         assert own.decode(ids) == lib.decode(want.ids, skip_special_tokens=False)
 
 
+def test_parts_hold_every_row_in_order():
+    texts = ["a" * n for n in (5, 0, 30, 3, 3, 3, 11)] + [None, "é" * 6]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    for limit in (1, 10, 12, 1000):
+        got = list(parts(batch, limit=limit))
+        assert [t for p in got for t in p.column(1).to_pylist()] == texts
+        assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= limit for p in got)
+    assert list(parts(batch.slice(3, 4), limit=6))[0].column(0).to_pylist() == [3, 4]
+    assert list(parts(batch.slice(0, 0))) == []
+
+
 def test_encode_odd_rows(spark, odd):
     rows = encode_documents(odd, queries.vocabulary()).collect()
     assert len(rows) == odd.count()
@@ -269,6 +281,19 @@ def test_block_bounds_lose_nothing():
         assert got >= set(np.flatnonzero(full >= 0.2001)) and got <= set(np.flatnonzero(full >= 0.1999))
 
 
+def test_wide_blocks_and_split_bounds_lose_nothing(monkeypatch, spark, docs):
+    items = [(r.item_id, r.text) for r in table(spark, SF001, "benchmark").collect()]
+    texts = [r.text for r in docs.collect()]
+    want = decontaminate.found(decontaminate.Index(items), texts)
+    monkeypatch.setattr(decontaminate, "BLOCKS", 2)
+    monkeypatch.setattr(decontaminate, "BOUNDS", 50)
+    index = decontaminate.Index(items)
+    assert index.blocks <= 2 and index.block > decontaminate.BLOCK
+    got = decontaminate.found(index, texts)
+    assert [x[:2] for x in got] == [x[:2] for x in want] and len(want) > 0
+    assert np.allclose([x[2] for x in got], [x[2] for x in want])
+
+
 def test_contaminated_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "no id at all here")], "item_id long, text string")
     rows = decontaminate.contaminated(odd, bench).collect()
@@ -363,6 +388,18 @@ def test_chat_parts_are_flattened_in_order(spark):
     assert [(a.turn, a.type, a.ref, a.tokens) for a in r.attachments] == [(0, "image", "a.png", 1024), (0, "audio", "b.wav", 250), (0, "document", "c.pdf", 512)]
 
 
+def test_texts_that_meet_make_no_control_string(spark):
+    df = spark.sql(f"""SELECT 1 AS conv_id, 0 AS turn, 'assistant' AS role, CAST(array(struct('text', 'a<', null, null),
+        struct('text', '', null, null), struct('text', '|end|>[IN', null, null), struct('text', 'ST]<', null, null),
+        struct('text', '/s>', null, null), struct('text', '<|b', null, null)) AS array<{chat.PART}>) AS parts""")
+    formatted = chat.format_turns(df, F.col("parts"))
+    text = formatted.first().formatted
+    assert text.count("<|end|>") == 1 and "[INST]" not in text and "</s>" not in text
+    r = chat.digests(formatted).first()
+    said = "a<|end|>[INST]</s><|b"
+    assert (r.n_turns, r.loss_sha256, r.turns_sha256) == (1, sha(said), sha(f"assistant\n{said}\n"))
+
+
 # --- 10: secrets
 def test_base_spans_equal_the_stated_patterns():
     random.seed(4)
