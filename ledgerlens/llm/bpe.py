@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship
+from .common import give_back, parts, ship
 
 # The pre-token pattern of the byte-level vocabulary. White space is Unicode's
 # White_Space property (Python's own \s has four control characters more).
@@ -38,8 +38,8 @@ DOUBLE_SPACE = regex.compile(r" (?:\s|$)")
 CUT = regex.compile(r" (?=\S)")
 
 WIDE = 1 << 20              # more than any id: one number for a pair of ids
-CACHED_WORDS = 400_000      # strings remembered per worker; beyond, the memory starts anew
-BATCH_CHARS = 3_000_000     # characters encoded at a time
+CACHED_WORDS = 400_000      # strings remembered in a task; beyond, the memory starts anew
+PART_BYTES = 3_000_000      # bytes of text encoded at a time (a longer text is a part of its own)
 
 
 def byte_symbols() -> dict[str, int]:
@@ -195,20 +195,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def slices(texts: list[str | None], limit: int = BATCH_CHARS) -> Iterator[list[str]]:
-    """Consecutive runs of texts of about ``limit`` characters (a longer text is a run of its own)."""
-    run, held = [], 0
-    for t in texts:
-        t = t or ""
-        if run and held + len(t) > limit:
-            yield run
-            run, held = [], 0
-        run.append(t)
-        held += len(t)
-    if run:
-        yield run
-
-
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                      with_ids: bool = True) -> DataFrame:
     """Per row: the id column, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` and, if asked
@@ -223,17 +209,17 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
         for batch in batches:
-            at = 0
-            texts = batch.column(1).to_pylist()
-            for part in slices(texts):
-                packed = c.encode(part)
-                cols = [batch.column(0).slice(at, len(part)),
+            for part in parts(batch, limit=PART_BYTES):
+                packed = c.encode([t or "" for t in part.column(1).to_pylist()])
+                cols = [part.column(0),
                         pa.array([len(p) // 4 for p in packed], pa.int64()),
                         pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
                         pa.array([hashlib.sha256(c.decode(p).encode()).hexdigest() for p in packed], pa.string())]
                 if with_ids:
                     cols.append(pa.array(packed, pa.binary()))
-                at += len(part)
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        c.known.clear()
+        c.words.clear()
+        give_back()
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)

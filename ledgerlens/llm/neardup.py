@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import shared, ship
+from .common import give_back, parts, shared, ship
 from .graph import components
 
 WORDS = 5               # words of a shingle
@@ -44,6 +44,7 @@ DOUBT = 20.0            # a pair goes when its best likelihood beats any at the
 
 FEW = 8                 # members of a bucket up to which its pairs are rows
 CROWD, COLUMNS = 500, 4096      # members of a block in a crowded bucket; shingles multiplied at a time
+PAIRS = 1000            # pairs whose likelihoods are worked out at a time
 
 U = np.uint64
 
@@ -135,14 +136,15 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())],
                 names=["id", "n_shingles", "set_key", "sketch"])
-        _HASHES.clear()     # workers go on to other tasks
+        _HASHES.clear()
+        give_back()
 
     return src.mapInArrow(run, f"id {kind}, n_shingles long, set_key binary, sketch binary")
 
@@ -156,7 +158,9 @@ def _likely() -> Column:
             return pd.Series([], dtype=bool)
         x = np.frombuffer(b"".join(a), dtype="<u2").reshape(len(a), REGISTERS)
         y = np.frombuffer(b"".join(b), dtype="<u2").reshape(len(b), REGISTERS)
-        return pd.Series(joint_support(x, y, n.to_numpy(float), m.to_numpy(float))[1] <= DOUBT)
+        n, m = n.to_numpy(float), m.to_numpy(float)
+        some = [slice(i, i + PAIRS) for i in range(0, len(n), PAIRS)]
+        return pd.Series(np.concatenate([joint_support(x[s], y[s], n[s], m[s])[1] <= DOUBT for s in some]))
     return likely
 
 
@@ -180,11 +184,12 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b)):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
                 names=["id", "full"])
         _HASHES.clear()
+        give_back()
 
     return src.mapInArrow(run, f"id {kind}, full binary").where(F.length("full") > 0)
 
@@ -287,6 +292,7 @@ def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str)
                 members.append((i, c, full))
             yield made(links)
         yield made(done())
+        give_back()
 
     return src.mapInArrow(run, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind)).where("a <> b").distinct()
 
