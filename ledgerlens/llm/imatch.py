@@ -7,11 +7,12 @@ in it takes that share of all (document, term) pairs. So it is small enough for
 plan; it comes from a grouped aggregation over all documents. It is a table of ``SLOTS`` slots,
 each a list of term hashes, so a look-up reads one slot.
 
-``SUBSETS`` randomised lexicon subsets: a term makes two hashed choices among ``CHOICES`` numbers
-and is in the subsets whose numbers it chose, so a subset holds 2 / CHOICES of the lexicon. A
-text's distinct terms in a subset are sorted and hashed; the fingerprint is the row of these
-hashes (8 hexadecimal digits each). A text with a term in none is hashed by all its terms. The likeness of two fingerprints is the share of equal hashes among the subsets
-that hold a term of either.
+``SUBSETS`` randomised lexicon subsets: a term makes two hashed choices among them and is in the
+subsets it chose, so every term of the lexicon takes part, and a subset holds about 2 / SUBSETS of
+the lexicon. A text's distinct terms in a subset are sorted and hashed; the fingerprint is the row
+of these hashes (8 hexadecimal digits each, zeros for a subset without terms). A text without a
+term of the lexicon is hashed by all its terms. The likeness of two fingerprints is the share of
+equal hashes among the subsets that hold a term of either.
 
 Terms are runs of letters and digits in lower case, stood for by their 64-bit hash.
 
@@ -28,9 +29,10 @@ import json
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 LEAST, MOST = 0.001, 0.2
-SUBSETS, CHOICES, SLOTS = 32, 512, 1 << 14
+SUBSETS, SLOTS = 128, 1 << 14     # at most 256 subsets: two hexadecimal digits
+CHOICES = SUBSETS     # no choice lies outside the subsets
 RANGES, RANGE_ROWS = 2000, 1000
-EMPTY = "-" * 8     # stands for a subset without terms
+EMPTY = "0" * 8     # stands for a subset without terms
 
 
 def term_hashes(text: Column) -> Column:
@@ -57,16 +59,21 @@ def lexicon(docs: DataFrame, text: str = "text", least: float = LEAST, most: flo
 
 def fingerprint(hashes: Column, slots: Column) -> Column:
     """The fingerprint of a set of term hashes under a lexicon."""
-    def per_subset(x: Column) -> Column:
-        def one(k: Column) -> Column:
-            inside = F.filter(x["own"], lambda h: (_pick(h, 1) == k) | (_pick(h, 2) == k))
-            return F.when(F.size(inside) > 0, _short(inside)).otherwise(F.lit(EMPTY))
-        return F.when(F.size(x["own"]) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one), "")
-                      ).otherwise(F.repeat(_short(F.array_sort(x["all"])), SUBSETS))
+    def member(k: Column, h: Column) -> Column:
+        return F.concat(F.lpad(F.hex(k), 2, "0"), F.lpad(F.hex(h), 16, "0"))
 
-    taken = F.filter(hashes, lambda h: ((_pick(h, 1) < SUBSETS) | (_pick(h, 2) < SUBSETS))
-                     & F.array_contains(F.element_at(slots, _slot(h) + 1), h))
-    return F.element_at(F.transform(F.array(F.struct(F.array_sort(taken).alias("own"), hashes.alias("all"))), per_subset), 1)
+    def row(x: Column) -> Column:
+        # Each subset has a mark before its terms, so the sorted members are SUBSETS runs of a prefix.
+        marks = F.array(*[F.lit(f"{k:02X}" + "-" * 16) for k in range(SUBSETS)])
+        members = F.array_sort(F.concat(marks, F.transform(x["own"], lambda h: member(_pick(h, 1), h)),
+                                        F.transform(x["own"], lambda h: member(_pick(h, 2), h))))
+        runs = F.regexp_extract_all(F.array_join(members, ""), F.lit(r"(..).{16}(?:\1.{16})*+"), F.lit(0))
+        return F.when(F.size(x["own"]) > 0, F.array_join(F.transform(
+            runs, lambda r: F.when(F.length(r) == 18, F.lit(EMPTY)).otherwise(_short(r))), "")
+        ).otherwise(F.repeat(_short(F.array_sort(x["all"])), SUBSETS))
+
+    taken = F.filter(hashes, lambda h: F.array_contains(F.element_at(slots, _slot(h) + 1), h))
+    return F.element_at(F.transform(F.array(F.struct(taken.alias("own"), hashes.alias("all"))), row), 1)
 
 
 def _pick(h: Column, seed: int) -> Column:
@@ -75,7 +82,8 @@ def _pick(h: Column, seed: int) -> Column:
 
 
 def _short(hashes: Column) -> Column:
-    return F.lpad(F.lower(F.hex(F.xxhash64(hashes).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")
+    """Eight hexadecimal digits, never those of ``EMPTY``."""
+    return F.lpad(F.lower(F.hex(F.greatest(F.xxhash64(hashes).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(1)))), 8, "0")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -110,7 +118,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slots = lexicon(src)
     place = ranges(src)
     own = src.withColumn("range", place)
-    marked = own.withColumn("fp", fingerprint(term_hashes(F.col("text")), slots))
+    marked = own.withColumn("fp", F.unhex(fingerprint(term_hashes(F.col("text")), slots)))     # half the digits' bytes to deal out
     order = Window.partitionBy("range").orderBy(F.col("id").asc_nulls_first(), F.col("text"))
     led = marked.withColumn("next", F.lead(F.struct("text", "fp")).over(order))
 
@@ -118,13 +126,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     line = Window.orderBy("range")
     whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     turn = firsts.select("range", F.coalesce(F.lead("first.text").over(line), F.first("first.text").over(whole)).alias("text"))
-    turn = turn.select("range", F.struct("text", fingerprint(term_hashes(F.col("text")), slots).alias("fp")).alias("turn"))
+    turn = turn.select("range", F.struct("text", F.unhex(fingerprint(term_hashes(F.col("text")), slots)).alias("fp")).alias("turn"))
 
     both = led.join(turn, "range").select("id", "text", "fp", F.coalesce("next", "turn").alias("next"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))
-    both = both.select("id", "fp", n.cast("bigint").alias("n_chars"), edited.alias("edited"), F.col("next.fp").alias("next_fp"))
+    both = both.select("id", F.lower(F.hex("fp")).alias("fp"), n.cast("bigint").alias("n_chars"), edited.alias("edited"),
+                       F.lower(F.hex("next.fp")).alias("next_fp"))
     both = both.withColumn("edited_fp", fingerprint(term_hashes(F.col("edited")), slots))
     return both.select(F.col("id").alias(id_col), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),

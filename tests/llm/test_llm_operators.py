@@ -253,6 +253,15 @@ def test_fingerprints_odd_rows(spark, odd):
     assert same[5] == same[6] and same[1] == same[2] and imatch.fingerprints(odd.limit(0)).count() == 0
 
 
+def test_every_lexicon_term_tells_texts_apart(spark):
+    """A term that one text of two has more than the other changes a subset's hash, whichever term it is."""
+    rows = [(i, f"base word{i}") for i in range(200)] + [(1000 + i, f"base shared word{i}") for i in range(200)]
+    df = spark.createDataFrame(rows + [(2000 + i, "base") for i in range(600)], "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint for r in imatch.fingerprints(df).collect()}
+    assert len({got[i] for i, _ in rows}) == len(rows) and not {got[i] for i, _ in rows} & {got[2000]}
+    assert all(len(x) == 8 * imatch.SUBSETS for x in got.values())
+
+
 # --- 6: decontamination
 def test_search_equals_brute_force(spark, docs):
     items = [(r.item_id, r.text) for r in table(spark, SF001, "benchmark").collect()] + [(900, ""), (901, "one two")]
