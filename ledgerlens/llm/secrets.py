@@ -2,7 +2,7 @@
 
 Base kinds (``assign``, ``access``, ``hex``) are reported wherever they match. Three weak kinds
 are candidates only: ``user`` (an identifier: ``user = name`` or an e-mail address), ``endpoint``
-(a URL with a host, a host:port or an IPv4 address) and ``blob`` (a bare run of 32 and more
+(a URL of any scheme with a host, a host:port or an IPv4 address) and ``blob`` (a bare run of 32 and more
 base64 letters with both cases and a digit). Credentials have parts: an identifier, a secret and
 an endpoint. Within a scope, the text ``REACH`` code points to either side of a candidate, an
 interval join looks for parts of complementary roles; a weak candidate is reported only when one
@@ -33,7 +33,10 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 USER = re.compile(r"""\b(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
                   r"""|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.I | re.A)
-ENDPOINT = re.compile(r"https?://[^\s\"'<>]+|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b", re.A)
+# A host:port is a dotted name with a letter or a bare name, and a port of 2 to 5 digits that no text goes on from.
+ENDPOINT = re.compile(r"""(?:https?|(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,31})://[^\s"'<>]+"""
+                      r"""|\b(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?\b"""
+                      r"""|(?<![A-Za-z0-9_.-])(?=[A-Za-z0-9.-]{0,253}[A-Za-z])[A-Za-z0-9][A-Za-z0-9-]{0,62}+(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62}+){0,126}+:\d{2,5}(?![\w.:]*\w)""", re.A)
 BLOB = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=_-])")
 MIXED = [re.compile(x) for x in ("[0-9]", "[a-z]", "[A-Z]")]     # a blob has some of each
 
