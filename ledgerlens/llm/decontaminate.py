@@ -3,7 +3,8 @@
 The test items' inverted index (terms, postings in item order, in blocks of ``BLOCK`` items, or
 more so that there are at most ``BLOCKS``, with each term's greatest weight per block) is built
 from a broadcast of at most about ``INDEX_ITEMS`` items; more items are further passes over the
-documents, so the index a task holds is bounded. Weights are divided by the item's own score, so a threshold means the same for each.
+documents, so the index a task holds is bounded; document frequencies, the mean length and the
+passage window are those of all items in each. Weights are divided by the item's own score, so a threshold means the same for each.
 
 Passages are word windows of twice the longest item (at least ``WINDOW``), half overlapping: any
 run of an item's length lies wholly in one. A passage's distinct index terms are its query.
@@ -14,8 +15,10 @@ so every item above the threshold is found.
 
 An item's question is its words up to the answer: the text after a last "Answer:" or "?" if there
 is one, else its last quarter. A candidate stands if its ``RUN``-word runs (the whole item, if
-shorter) cover at least ``COVER`` of the item's words in the document; the cover of question and
-answer is reported for each.
+shorter) cover at least ``COVER`` of the item's words in the document, or the whole question or
+the whole answer, less its label ("Question:", "Answer:"), of ``PIECE`` and more words. Questions
+and answers have an index of their own for that: one that a passage holds wholly scores 1 there.
+The cover of question and answer is reported for each.
 
 Cases: null or empty text has no passages; an item without words matches nothing; repeated items
 or rows are reported each; an empty benchmark or table gives no rows. Only the id and text
@@ -24,6 +27,7 @@ columns are read.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -31,13 +35,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import give_back, parts, ship
+from .common import give_back, parts, shared, ship
 
 INDEX_ITEMS = 20_000    # items of an index block, and so the bound of a broadcast
 WINDOW, BLOCK, RUN = 64, 8, 5
 BLOCKS = 128            # blocks of an index, at most: a term's row of block maxima
 BOUNDS = 4_000_000      # block bounds summed at a time
 THRESHOLD, COVER = 0.4, 0.5
+PIECE = 8               # words of a question or answer that counts by itself, at least
+PIECE_SCORE = 0.99      # one held wholly scores 1
+LABELS = frozenset(("question", "answer", "q", "a"))
 K1, B = 1.2, 0.75
 
 WORD = re.compile(r"\w+")
@@ -59,36 +66,40 @@ def answer_at(text: str) -> int:
     return n - max(1, n // 4)
 
 
-class Index:
-    """BM25 inverted index of test items with block maxima."""
+class Whole:
+    """What an index block takes from all items: their number, mean and greatest length, and the
+    document frequencies of (at least) the block's words."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        items = [(i, t or "") for i, t in items]
-        self.words = [words_of(t) for _, t in items]
-        keep = [k for k, w in enumerate(self.words) if w]
-        self.ids = [items[k][0] for k in keep]
-        self.question = [answer_at(items[k][1]) for k in keep]
-        self.words = [self.words[k] for k in keep]
-        self.window = max([WINDOW, *map(len, self.words)])
-        n = len(self.words)
-        mean = sum(map(len, self.words)) / max(n, 1)
-        self.terms: dict[str, int] = {}
-        post: list[list[tuple[int, int]]] = []
-        for item, words in enumerate(self.words):
+    def __init__(self, n: int, mean: float, longest: int, df: dict[str, int]):
+        self.n, self.mean, self.longest, self.df = n, mean, longest, df
+
+
+def whole_of(items: list[list[str]]) -> Whole:
+    df: dict[str, int] = {}
+    for words in items:
+        for w in set(words):
+            df[w] = df.get(w, 0) + 1
+    return Whole(len(items), sum(map(len, items)) / max(len(items), 1), max(map(len, items), default=0), df)
+
+
+class Postings:
+    """BM25 postings of word lists with block maxima, each list's weights divided by its own score."""
+
+    def __init__(self, lists: list[list[str]], terms: dict[str, int], whole: Whole):
+        n = len(lists)
+        post: list[list[tuple[int, int]]] = [[] for _ in terms]
+        for item, words in enumerate(lists):
             count: dict[str, int] = {}
             for w in words:
                 count[w] = count.get(w, 0) + 1
             for w, c in count.items():
-                t = self.terms.setdefault(w, len(post))
-                if t == len(post):
-                    post.append([])
-                post[t].append((item, c))
+                post[terms[w]].append((item, c))
+        idf = [np.log(1 + (whole.n - whole.df[w] + 0.5) / (whole.df[w] + 0.5)) for w in terms]
         own = np.zeros(n)
         rows, cols, weights = [], [], []
         for t, entries in enumerate(post):
-            idf = np.log(1 + (n - len(entries) + 0.5) / (len(entries) + 0.5))
             for item, c in entries:
-                w = idf * c * (K1 + 1) / (c + K1 * (1 - B + B * len(self.words[item]) / mean))
+                w = idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(lists[item]) / whole.mean))
                 own[item] += w
                 rows.append(t)
                 cols.append(item)
@@ -152,6 +163,39 @@ class Index:
         return [(int(passage[first[p[k // b]]]), int(block[k // b] * b + k % b), float(scores[k]))
                 for k in np.flatnonzero(scores >= threshold)]
 
+
+class Index(Postings):
+    """The test items' index, and one of their questions and answers over the same terms."""
+
+    def __init__(self, items: list[tuple[int, str]], whole: Whole | None = None):
+        items = [(i, t or "") for i, t in items]
+        words = [words_of(t) for _, t in items]
+        keep = [k for k, w in enumerate(words) if w]
+        self.ids = [items[k][0] for k in keep]
+        self.question = [answer_at(items[k][1]) for k in keep]
+        self.words = [words[k] for k in keep]
+        whole = whole or whole_of(self.words)
+        self.window = max(WINDOW, whole.longest)
+        self.terms: dict[str, int] = {}
+        for w in itertools.chain.from_iterable(self.words):
+            self.terms.setdefault(w, len(self.terms))
+        super().__init__(self.words, self.terms, whole)
+        self.piece: list[tuple[int, list[str]]] = []        # item and words
+        for item, (own, q) in enumerate(zip(self.words, self.question)):
+            for lo, hi in ((0, q), (q, len(own))):
+                lo += lo < hi and own[lo] in LABELS
+                hi -= lo < hi and own[hi - 1] in LABELS
+                if hi - lo >= PIECE:
+                    self.piece.append((item, own[lo:hi]))
+        self.pieces = Postings([x for _, x in self.piece], self.terms, whole)
+
+    def holds(self, words: list[str], piece: int) -> bool:
+        """Whether every word of a question or answer lies in a run shared with ``words``."""
+        own = self.piece[piece][1]
+        there = set(zip(*(words[i:] for i in range(RUN))))
+        at = [i for i, run in enumerate(zip(*(own[j:] for j in range(RUN)))) if run in there]
+        return bool(at) and at[0] == 0 and at[-1] == len(own) - RUN and all(b - a <= RUN for a, b in zip(at, at[1:]))
+
     def cover(self, words: list[str], item: int) -> tuple[float, float, float]:
         """Shares of the item's words, of its question's and of its answer's, that lie in runs
         shared with ``words``."""
@@ -233,17 +277,45 @@ def found(index: Index, texts: list[str | None], threshold: float = THRESHOLD, k
         for p, item, score in index.search(passage, term, threshold):
             key = (int(owner[p]), item)
             best[key] = max(best.get(key, 0.0), score)
-        for (d, item), score in sorted(best.items()):
-            cover, question, answer = index.cover(words_of(texts[at + d]), item)
-            if cover >= COVER:
+        near: dict[tuple[int, int], float] = {}
+        part: dict[tuple[int, int], set[int]] = {}
+        for p, piece, score in index.pieces.search(passage, term, PIECE_SCORE):
+            key = (int(owner[p]), index.piece[piece][0])
+            near[key] = max(near.get(key, 0.0), score)
+            part.setdefault(key, set()).add(piece)
+        for (d, item), score in sorted((near | best).items()):      # an item's own score goes before its part's
+            words = words_of(texts[at + d])
+            cover, question, answer = index.cover(words, item)
+            if cover >= COVER or any(index.holds(words, x) for x in part.get((d, item), ())):
                 out.append((at + d, item, score, cover, question, answer))
         at += len(batch)
     return out
 
 
+def _words(items: DataFrame) -> DataFrame:
+    """(word) of every item: each distinct word once an item."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(set(words_of(text))), pa.string())], names=["word"])
+
+    return items.select("text").mapInArrow(run, "word string")
+
+
+def _whole(items: DataFrame) -> tuple[tuple[int, float, int], DataFrame]:
+    """Number, mean and greatest length of the items with words, and (word, df) over all items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(words_of(t)) for t in batch.column(0).to_pylist()], pa.int64())], names=["n"])
+
+    row = items.select("text").mapInArrow(run, "n long").where("n > 0").agg(F.count("n"), F.avg("n"), F.max("n")).first()
+    counts = _words(items).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return (row[0], row[1] or 0.0, row[2] or 0), shared(counts)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, cover, question_cover, answer_cover) of each contaminated document
-    and test item. A pass over the documents for each index block; no shuffle."""
+    and test item. A pass over the documents for each index block; no shuffle of them."""
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
@@ -251,13 +323,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     src = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text"))
     schema = "doc_id long, item_id long, score double, cover double, question_cover double, answer_cover double"
     out = None
+    lengths, counts = _whole(items) if blocks > 1 else (None, None)
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         rows = [(r.item_id, r.text) for r in mine.collect()]     # about INDEX_ITEMS
-        sent = spark.sparkContext.broadcast(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
+        whole = None
+        if blocks > 1:
+            df = _words(mine).distinct().join(counts, "word")     # the block's words
+            whole = Whole(*lengths, {r.word: r.df for r in df.toLocalIterator()})
+        rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        sent = spark.sparkContext.broadcast((rows, whole))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value)
+            index = Index(*sent.value)
             known = TermIds(index.terms)
             for batch in (p for b in batches for p in parts(b)):
                 ids = batch.column(0).to_pylist()

@@ -303,6 +303,24 @@ def test_wide_blocks_and_split_bounds_lose_nothing(monkeypatch, spark, docs):
     assert np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+def test_a_whole_question_or_answer_is_contamination():
+    words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    items = [(1, f"Question: {words('q', 30)}? Answer: {words('r', 60)}"), (2, f"Question: {words('s', 60)}? Answer: {words('t', 20)}"),
+             (3, f"Question: {words('u', 60)}? Answer: yes it is")]
+    index = decontaminate.Index(items)
+    pad = words("pad", 50)
+    texts = [f"{pad} {words('q', 30)} {pad}", f"{pad} {words('t', 20)}", f"{pad} yes it is", f"{pad} {words('q', 20)}", f"{pad} {words('s', 60)}"]
+    assert [(d, index.ids[i]) for d, i, *_ in decontaminate.found(index, texts)] == [(0, 1), (1, 2), (4, 2)]
+
+
+def test_index_blocks_share_their_weights(spark, docs, monkeypatch):
+    bench = table(spark, SF001, "benchmark")
+    want = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", -(-bench.count() // 3))
+    got = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    assert len(want) > 0 and [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
+
+
 def test_contaminated_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "no id at all here")], "item_id long, text string")
     rows = decontaminate.contaminated(odd, bench).collect()
