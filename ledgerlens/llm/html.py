@@ -8,7 +8,10 @@ if its element's marginal of CONTENT is at least one half.
 
 Both potentials are trained on labelled pages: those with an ``article``, ``main`` or
 ``role=main`` element, which label themselves (inside it, less marked parts, is content; what
-holds it is a container; the rest is chrome). At most ``FIT_PAGES`` of them, chosen by a hash,
+holds it is a container; the rest is chrome). Elements, roles and ``hidden`` mark hard; names (class
+and id) only weigh: ``AD_WORDS`` much, ``CHROME_WORDS``, which content may have as well, little
+inside a main element, where their parts count as content in training too. Inline elements are
+marked by ``AD_WORDS`` alone, and not in code. At most ``FIT_PAGES`` of them, chosen by a hash,
 are counted by a grouped aggregation and joined to stated prior counts, so that marked parts that
 no training page has (forms, reader comments) are known too.
 
@@ -48,11 +51,15 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "tbody": {"thead", "tr", "td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}}
 CHROME_TAGS = UNSEEN | {"nav", "aside", "footer", "form", "dialog", "menu", "search", "fieldset"}
+#: Names of chrome, and such as content may have as well.
+AD_WORDS = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|masthead|topbar|toolbar|cookies?|"
+    r"consent|gdpr|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|recommend\w*|"
+    r"disqus|pagination|pager|copyright|skip|hidden|sr-only)(?:$|[\s_-])", re.I)
 CHROME_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|footer|masthead|topbar|toolbar|cookies?|"
-    r"consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|replies|respond|disqus|discussion|widget|pagination|pager|tags?|copyright|legal|disclaimer|skip|hidden|sr-only|"
-    r"search|form)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:side|notice|alert|related|comments?|replies|respond|discussion|widget|tags?|legal|disclaimer|search|form)(?:$|[\s_-])", re.I)
+CODE = frozenset(("pre", "code", "kbd", "samp", "tt"))
+HARD, AD, MAY = -1, -2, -3      # hints of chrome: hard, and by a name of either kind
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 MAIN_WORDS = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
 
@@ -69,7 +76,7 @@ class Page:
     def __init__(self, source: str):
         self.tag: list[str] = ["#page"]
         self.parent: list[int] = [-1]
-        self.hint: list[int] = [0]          # 1: a main-like element, -1: chrome, 0: neither
+        self.hint: list[int] = [0]          # 1: a main-like element, HARD, AD or MAY: chrome, 0: neither
         self.main: list[bool] = [False]
         self.texts: list[tuple[int, str, int]] = []     # model node, raw text, block number
         self.length: list[int] = [0]
@@ -123,7 +130,8 @@ class Page:
             attributes = m[3] or m[6] or ""
             if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
                 continue
-            stack.append((tag, self._node(stack[-1][1], tag, attributes)))
+            code = "=" in attributes and (tag in CODE or any(t in CODE for t, _ in stack))
+            stack.append((tag, self._node(stack[-1][1], tag, attributes, code)))
             links += tag == "a"
             if tag in RAW:
                 raw = tag
@@ -143,22 +151,23 @@ class Page:
         del stack[cut:]
         return links
 
-    def _node(self, parent: int, tag: str, attributes: str) -> int:
-        hint, main = -1 if tag in CHROME_TAGS else 0, tag in ("article", "main")
+    def _node(self, parent: int, tag: str, attributes: str, code: bool) -> int:
+        hint, main = HARD if tag in CHROME_TAGS else 0, tag in ("article", "main")
         if "=" in attributes or "hidden" in attributes:
             found = {(m[1] or m[5]).lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
             named = f"{found.get('class', '')} {found.get('id', '')}"
             role = found.get("role", "").lower()
             main = main or role == "main"
             if role in CHROME_ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-                hint = -1
-            elif tag not in ("html", "body") and not main and named.strip():
-                hint = -1 if CHROME_WORDS.search(named) else hint or (1 if MAIN_WORDS.search(named) else 0)
+                hint = HARD
+            elif hint == 0 and tag not in ("html", "body") and not main and named.strip() and not (code and tag not in BLOCKS):
+                may = tag in BLOCKS and CHROME_WORDS.search(named)
+                hint = AD if AD_WORDS.search(named) else MAY if may else 1 if MAIN_WORDS.search(named) else 0
         if tag == "header":
             above = parent
             while above > 0 and not self.main[above]:
                 above = self.parent[above]
-            hint = hint if above > 0 else -1     # an article's own header holds its heading
+            hint = hint if above > 0 else HARD     # an article's own header holds its heading
         if main and hint == 0:
             hint = 1
         if tag not in BLOCKS and hint >= 0:
@@ -186,7 +195,8 @@ class Page:
         share = self.linked[i] / n if n else 0
         place = "" if not has_main else "in" if self.inside[i] else "out"
         tag = self.tag[i] if self.tag[i] in BLOCKS else "inline"
-        return ((f"hint:{self.hint[i]}", f"place:{place}"),
+        hint = f"hint:{self.hint[i]}" + (place if self.hint[i] == MAY else "")
+        return ((hint, f"place:{place}"),
                 (f"tag:{tag}", f"size:{size}", f"links:{0 if share < 0.1 else 1 if share < 0.6 else 2}"))
 
 
@@ -196,7 +206,7 @@ def labels(page: Page) -> list[int]:
     state = [CHROME] * n
     for i in range(1, n):
         above = state[page.parent[i]]
-        marked = page.hint[i] < 0 or above == CHROME and page.parent[i] and page.hint[page.parent[i]] < 0
+        marked = page.hint[i] in (HARD, AD) or above == CHROME and page.parent[i] and page.hint[page.parent[i]] in (HARD, AD)
         if page.inside[i] and not marked and (page.main[i] or above == CONTENT):
             state[i] = CONTENT
     for i in range(n - 1, 0, -1):       # what holds content from outside
@@ -225,6 +235,10 @@ def counted(sources: Iterator[str]) -> Counter:
 # Prior counts, as if seen in training: marked parts are chrome, chrome has only chrome within,
 # content leaves to chrome only where something is marked.
 PRIOR = {("hint:-1", CHROME): 1e3, ("hint:-1", CONTENT): 1e-12, ("hint:-1", OUTSIDE): 1e-3,
+         ("hint:-2", CHROME): 1e3, ("hint:-2", CONTENT): 1e-3, ("hint:-2", OUTSIDE): 1e-3,
+         ("hint:-3", CHROME): 1e3, ("hint:-3", CONTENT): 1e-1, ("hint:-3", OUTSIDE): 1e-1,
+         ("hint:-3out", CHROME): 1e3, ("hint:-3out", CONTENT): 1e-1, ("hint:-3out", OUTSIDE): 1e-1,
+         ("hint:-3in", CHROME): 3.0, ("hint:-3in", CONTENT): 1.0, ("hint:-3in", OUTSIDE): 1e-1,
          ("hint:1", CONTENT): 200.0, ("hint:1", OUTSIDE): 0.1, ("hint:1", CHROME): 0.1,
          ("place:out", CONTENT): 1e-12, ("place:in", CHROME): 10.0}
 EDGE_PRIOR = {(OUTSIDE, OUTSIDE): 20.0, (OUTSIDE, CONTENT): 20.0, (OUTSIDE, CHROME): 40.0, (CONTENT, CONTENT): 1e4,
@@ -256,7 +270,7 @@ class Model:
             log = [sum(self.log.get(m, ZERO)[s] for m in marks) + TEMPER * sum(self.log.get(f, ZERO)[s] for f in soft) for s in range(3)]
             top = max(log)
             own.append([math.exp(max(x - top, -60.0)) for x in log])
-        edges = [MARKED if h < 0 else self.edge for h in page.hint]
+        edges = [MARKED if h in (HARD, AD) else self.edge for h in page.hint]
         up: list[list[float]] = [ZERO] * n
         belief = [list(x) for x in own]
         for i in range(n - 1, 0, -1):       # children come after their parents

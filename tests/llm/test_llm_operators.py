@@ -180,6 +180,21 @@ def test_main_text_of_other_pages(spark):
     assert sorted(r.n_chars for r in html.main_text(one, html.learn(one)).collect()) == [0, 1]
 
 
+def test_names_weigh_and_do_not_forbid(spark):
+    model = html.learn(table(spark, SF001, "pages"))
+    prose = "A paragraph of prose that is long enough to be taken for content by its form alone, as it should."
+    for name in ('id="discussion"', 'class="related-work"', 'id="legal"', 'class="notice"', 'class="alert"', 'class="tag"', 'id="search"', 'class="form"'):
+        for tag in ("section", "div"):
+            assert model.text(f"<article><h1>T</h1><p>{prose}</p><{tag} {name}><h2>H</h2><p>{prose}</p></{tag}><p>e</p></article>"
+                              ) == f"T\n{prose}\nH\n{prose}\ne", (tag, name)
+    assert model.text("""<article><p>a</p><pre><code><span class="hljs-comment"># c</span> <span class="token comment">d</span>
+        <span class="hljs-tag">e</span> <span class="nav">f</span></code></pre><p>x <span class="comment">y</span></article>""") == "a\n# c d e f\nx y"
+    for form in ('<nav class="content">', '<div role="search">', '<div hidden>', '<div class="sidebar">'):
+        assert model.text(f"<article><p>{prose}</p>{form}<p>z</p></article>") == prose, form
+    many = "".join(f"<p>{k} {prose}</p>" for k in range(40))      # enough text outweighs a name
+    assert model.text(f'<article><p>{prose}</p><div class="banner">{many}</div></article>').count(prose) == 41
+
+
 # --- 4: pseudonyms
 def test_pseudonyms_keep_format_and_links(spark, odd):
     texts = ["a.b+c9@Sub.Example.org", "4111 1111 1111 1111 or 4111111111111111", "4111111111111112", "078-05-1120", "000-12-1234",
