@@ -1,7 +1,10 @@
 """Quality by hierarchical empirical Bayes: a document's own evidence and its site's record.
 
 1. A logistic classifier over form features of the text (``features``) is fitted on at most
-   ``FIT_ROWS`` labelled documents, chosen by a hash. Its log-odds less those of the fitted
+   ``FIT_ROWS`` labelled documents, chosen by a hash; a second one joins its log-odds and the text's
+   wording: the summed log ratios, learned from the labels, of the text's hashed words, word pairs and character
+   4-grams (``grams``). For the fit, each half of the sample is scored by the ratios of the other
+   half, so it counts for what it tells of unseen documents. The log-odds less those of the fitted
    sample are the document's evidence, a log likelihood ratio.
 2. Grouped aggregation over all documents gives every path (host and first path segment of the
    source) its expected number of good documents. Host rates shrink toward the global rate and
@@ -20,9 +23,11 @@ repeated rows count each. Only the id, text and source columns are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import hash_share, shared, ship, unused
@@ -30,6 +35,9 @@ from .common import hash_share, shared, ship, unused
 FIT_ROWS = 10_000           # labelled documents the classifier is fitted on, at most
 SMALL_SITES = 20_000        # sites that may be broadcast
 EVIDENCE_MOST = 30.0
+GRAMS = 1 << 16             # hashed words, word pairs and character 4-grams
+GRAM_CHARS = 1 << 20        # characters of a text that are hashed at a time
+SMOOTH = 2.0                # documents of the pooled rate that join each class's
 
 IS_MARK = np.isin(np.arange(256), [ord(c) for c in "#%$*&!@~^_=<>{}[]|\\"])
 
@@ -51,6 +59,66 @@ def features(text: str) -> list[float]:
             repeats / n, len(set(words)) / n, math.sqrt(repeats / n), math.sqrt(bars / n), math.sqrt(runs / n), math.sqrt(capitals / n)]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(32)
+    return ((x * np.uint64(0xC4CEB9FE1A85EC53)) >> np.uint64(48)).astype(np.int64) % GRAMS
+
+
+POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
+IS_WORD = np.array([chr(c).isalnum() or c >= 128 for c in range(128)] + [True] * 128)
+
+
+def grams(text: str) -> np.ndarray:
+    """The distinct hashed words, word pairs and character 4-grams of the whole text, in lower case."""
+    there = np.zeros(GRAMS, bool)
+    for at in range(0, len(text), GRAM_CHARS):
+        raw = np.frombuffer(text[at:at + GRAM_CHARS].lower().encode("utf-8", "replace"), dtype=np.uint8)
+        code = raw.astype(np.uint64)
+        if len(code) > 3:
+            there[_mixed(code[:-3] | code[1:-2] << np.uint64(8) | code[2:-1] << np.uint64(16) | code[3:] << np.uint64(24))] = True
+        word = IS_WORD[raw]
+        starts = np.flatnonzero(word & np.r_[True, ~word[:-1]])
+        if len(starts):
+            place = np.arange(len(code)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(code)]))
+            own = np.add.reduceat((code + np.uint64(1)) * POWERS[place % 64] * word, starts)
+            there[_mixed(own + np.uint64(1))] = True
+            there[_mixed(own[:-1] * np.uint64(31) + own[1:] + np.uint64(2))] = True
+    return np.flatnonzero(there)
+
+
+def wording(text: str, ratios: np.ndarray) -> float:
+    ids = grams(text)
+    return float(ratios[ids].sum() / math.sqrt(max(len(ids), 1)))
+
+
+def gram_ratios(there: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Log ratios of good against bad of every gram: ``there`` and ``total`` are the documents with
+    it and all documents, bad and good."""
+    pooled = (there.sum(0) + 0.5) / (total.sum() + 1)
+    rate = (there + SMOOTH * pooled) / (total[:, None] + SMOOTH)
+    return np.log(rate[1] / rate[0]).astype(np.float32)
+
+
+def _learned(sample: DataFrame) -> np.ndarray:
+    """Log ratios of the grams, by the sample's halves: those of half 0, of half 1 and of both."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros((4, GRAMS + 1), np.int64)      # the last is the number of documents
+        for batch in batches:
+            for half, good, text in zip(*(c.to_pylist() for c in batch.columns)):
+                count[2 * half + good, grams(text)] += 1
+                count[2 * half + good, GRAMS] += 1
+        cell, gram = np.nonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(gram), pa.array(count[cell, gram])], names=["cell", "gram", "n"])
+
+    rows = sample.select("half", "good", "text").mapInArrow(run, "cell long, gram long, n long").groupBy("cell", "gram").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros((4, GRAMS + 1))
+    cell, gram, n = (rows.column(c).to_numpy() for c in ("cell", "gram", "n"))
+    count[cell, gram] = n
+    first, second = count[:2], count[2:]
+    return np.stack([gram_ratios(x[:, :GRAMS], x[:, GRAMS]) for x in (first, second, first + second)])
+
+
 def fitted(rows: list[tuple[list[float], int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Mean, spread and weights (bias last) of a ridge-penalised logistic regression, by Newton
     steps, and the log-odds of the sample's good share."""
@@ -76,16 +144,23 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     known = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("good")).where("id IS NOT NULL AND good IN (0, 1)").distinct()
     picked = known.where(hash_share(fit_rows, known.count(), "id"))
 
+    half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int")
+    sample = shared(docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(picked), "id")
+                    .where(F.col("text").rlike(r"\S")).groupBy("id", "good").agg(F.min("text").alias("text"))
+                    .withColumn("half", half))
+    ratios = _learned(sample)
+
     @F.pandas_udf("array<double>")
-    def shape(text: pd.Series) -> pd.Series:
-        return text.map(features)
+    def shape(text: pd.Series, half: pd.Series) -> pd.Series:
+        return pd.Series([[*features(t), wording(t, ratios[1 - h])] for t, h in zip(text, half)])     # of the other half
 
-    rows = (docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(picked), "id")
-            .where(F.col("text").rlike(r"\S")).groupBy("id", "good").agg(F.min("text").alias("text"))
-            .select(shape("text").alias("x"), "good").collect())
+    rows = sample.select(shape("text", "half").alias("x"), "good").collect()
     if len({r.good for r in rows}) < 2:
         return None
-    return fitted([(r.x, r.good) for r in rows])
+    mean, spread, w, base = fitted([(r.x[:-1], r.good) for r in rows])
+    form = (np.array([r.x[:-1] for r in rows]) - mean) / spread @ w[:-1] + w[-1]
+    joined = fitted([([f, r.x[-1]], r.good) for f, r in zip(form, rows)])
+    return mean, spread, w, base, joined[:3], ratios[2]
 
 
 def evidence(model) -> Column:
@@ -94,12 +169,14 @@ def evidence(model) -> Column:
     def ratio(text: pd.Series) -> pd.Series:
         if model is None:
             return pd.Series([0.0] * len(text))
-        mean, spread, w, base = model
+        mean, spread, w, base, joined, ratios = model
         real = [bool(t and not t.isspace()) for t in text]
         out = np.zeros(len(text))
         if any(real):
-            x = (np.array([features(t) for t, r in zip(text, real) if r]) - mean) / spread
-            out[np.array(real)] = np.clip(x @ w[:-1] + w[-1] - base, -EVIDENCE_MOST, EVIDENCE_MOST)
+            some = [t for t, r in zip(text, real) if r]
+            form = (np.array([features(t) for t in some]) - mean) / spread @ w[:-1] + w[-1]
+            x = (np.stack([form, [wording(t, ratios) for t in some]], axis=1) - joined[0]) / joined[1]
+            out[np.array(real)] = np.clip(x @ joined[2][:-1] + joined[2][-1] - base, -EVIDENCE_MOST, EVIDENCE_MOST)
         return pd.Series(out)
     return ratio
 

@@ -381,6 +381,19 @@ def test_quality_follows_the_labels(spark):
     assert sum(not k for q, k in known if q == 0) / sum(q == 0 for q, _ in known) > 0.95
 
 
+def test_quality_learns_wording(spark):
+    """Bad documents that differ from good ones in their words alone, judged where no label is."""
+    random.seed(8)
+    common = ["table", "river", "window", "garden", "letter", "summer", "paper", "stone", "music", "winter"]
+    good, bad = ["theory", "method", "result", "figure"], ["casino", "crypto", "viagra", "jackpt"]
+    rows = [(i, " ".join(random.choice(common + (good if i % 2 else bad)) for _ in range(60)) + ".", "s") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    got = {r.doc_id: r["__posterior"] >= 0.5 for r in quality.judged(df, labels).collect()}
+    assert sum(got[i] == (i % 2 == 1) for i in range(300, 600)) > 290
+    assert len(quality.grams("")) == 0 and len(quality.grams("Ab")) == 1 and set(quality.grams("é b")) >= set(quality.grams("b"))
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("a", "a/", 3.0)] * 300 + [("b", "b/", -3.0)] * 300 + [("c", "c/", -3.0)]
     prior = {r.path: r.prior for r in quality.sites(spark.createDataFrame(rows, "host string, path string, evidence double"), 0.0).collect()}
