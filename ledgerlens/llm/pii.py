@@ -5,11 +5,13 @@ equal values get equal pseudonyms in every document, different values different
 key's owner can invert them:
 
 - card numbers (13 to 19 digits, in one or in the usual groups, Luhn valid): payload permuted, check digit made anew
-- IBANs (mod 97 valid): digits and letters of the account permuted, check digits made anew
+- IBANs (mod 97 valid, unbroken or in the printed groups of four): digits and letters of the account permuted, check digits made anew
 - US social security numbers (valid area, group and serial): permuted among the valid ones
-- dates (ISO, day/month/year with / or ., real days only): permuted within their century
+- dates (ISO, also before a time; day/month/year with / or ., one digit or two; month/day/year where the
+  day can be no month; real days only): permuted within their century, month-first ones among themselves
 - IPv4 addresses: permuted among the 32-bit numbers
-- phone numbers: the last ten digits permuted, country code and punctuation kept
+- phone numbers (North American ones, +country numbers of 7 to 15 digits): the last ten digits, or all
+  after two of a shorter international number, permuted, punctuation kept
 - e-mail addresses (up to the standard's 320 characters): letters and digits permuted, case, punctuation and last label kept
 
 The network adds keyed SHA-256 values to the two halves in turn, modulo their sizes ``a`` and
@@ -31,21 +33,33 @@ CYCLES = 5      # each cycle changes both halves: ten rounds
 # The formats. Every one holds a digit or an @; quantifiers are possessive where
 # a long run could be tried again and again.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?!\w)"
+#: The registry's lengths, which end an IBAN in groups.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+                22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+                26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+                30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+GROUPED = "|".join(rf"(?:{'|'.join(lands.split())})\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+                   for n, lands in IBAN_LENGTHS.items())
+IBAN = rf"(?<!\w)(?:[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}}+|{GROUPED})(?!\w)"
 SSN = r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])"
 DAY, MONTH, YEAR = r"(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|1[0-2])", r"[12]\d{3}"
-ISO_DATE = rf"(?<![\w-]){YEAR}-{MONTH}-{DAY}(?![\w-])"
-DAY_DATE = rf"(?<![\w/.]){DAY}(?:/{MONTH}/|\.{MONTH}\.){YEAR}(?![\w/])"
+ISO_DATE = rf"(?<![\w-]){YEAR}-{MONTH}-{DAY}(?!(?!T\d\d:?\d\d)[\w-])"
+DAY1, MONTH1 = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])"
+DAY_DATE = rf"(?<![\w/.]){DAY1}(?:/{MONTH1}/|\.{MONTH1}\.){YEAR}(?![\w/])"
+MONTH_DATE = rf"(?<![\w/.]){MONTH1}/(?:1[3-9]|2\d|3[01])/{YEAR}(?![\w/])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\w.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\w|\.\d)"
 PHONE = (r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-         r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}([.-])\d{3}[.-]\d{4}(?![\w-])").replace("([.-])", "[.-]")
+         r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+         r"|(?<![\w+])\+[1-9](?:[ .-]?\(?\d\)?){6,14}(?!\d)"
+         r"|(?<![\w+-])1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+-])\d{3} \d{3} \d{4}(?![\w-])")
 CARD = r"(?<![\w+-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])"
-KINDS = {"email": EMAIL, "iban": IBAN, "ssn": SSN, "date": f"{ISO_DATE}|{DAY_DATE}", "ip": IP, "phone": PHONE, "card": CARD}
+KINDS = {"email": EMAIL, "iban": IBAN, "ssn": SSN, "date": f"{ISO_DATE}|{DAY_DATE}|{MONTH_DATE}", "ip": IP, "phone": PHONE, "card": CARD}
 ANY = "|".join(KINDS.values())
 
 lit = F.lit
 EMAIL_LONGEST = 320     # fixed value: 64 before the @ and 255 after it; what is longer is no address
+WALK = 64
 DIGITS_EACH, LETTERS_EACH = 18, 12      # longest runs that are permuted as one value
 
 
@@ -170,11 +184,15 @@ def _email(v: Column, key: str) -> Column:
 
 
 def _iban(v: Column, key: str) -> Column:
-    land = F.substring(v, 1, 2)
-    new = bind(F.substr(v, lit(5)), lambda account: refilled(
-        account, permuted_digits(_digits(account), key, land), permuted_letters(_letters(account), key, land)))
-    made = bind(new, lambda n: F.concat(land, F.lpad((98 - mod97(F.concat(n, land, lit("00")))).cast("string"), 2, "0"), n))
-    return F.when(mod97(F.concat(F.substr(v, lit(5)), F.substring(v, 1, 4))) == 1, made).otherwise(v)
+    def checked(x: Column) -> Column:
+        land = F.substring(x, 1, 2)
+        new = bind(F.substr(x, lit(5)), lambda account: refilled(
+            account, permuted_digits(_digits(account), key, land), permuted_letters(_letters(account), key, land)))
+        made = bind(new, lambda n: F.concat(land, F.lpad((98 - mod97(F.concat(n, land, lit("00")))).cast("string"), 2, "0"), n))
+        return F.when(mod97(F.concat(F.substr(x, lit(5)), F.substring(x, 1, 4))) == 1,
+                      bind(made, lambda m: refilled(v, _digits(m), _letters(m)))).otherwise(v)
+
+    return bind(F.replace(v, lit(" "), lit("")), checked)
 
 
 def _ssn(v: Column, key: str) -> Column:
@@ -188,18 +206,39 @@ def _ssn(v: Column, key: str) -> Column:
 
 def _date(v: Column, key: str) -> Column:
     iso = v.rlike("^[0-9]{4}-")
-    text = F.when(iso, v).otherwise(F.concat_ws("-", F.substring(v, 7, 4), F.substring(v, 4, 2), F.substring(v, 1, 2)))
+    part = [F.split_part(F.translate(v, ".", "/"), lit("/"), lit(i)) for i in (1, 2, 3)]
+    american = ~iso & (F.when(iso, 0).otherwise(part[1].try_cast("int")) > 12)
+    day, month = F.when(american, part[1]).otherwise(part[0]), F.when(american, part[0]).otherwise(part[1])
+    text = F.when(iso, v).otherwise(F.concat_ws("-", part[2], F.lpad(month, 2, "0"), F.lpad(day, 2, "0")))
 
     def moved(x: Column) -> Column:
         a, b = F.when(x["full"], 75).otherwise(92), F.when(x["full"], 487).otherwise(397)   # 36525 days, or 36524
-        out = permuted(_whole(x["at"], b), x["at"] % b, a, b, key, F.concat(lit("date"), x["first"].cast("string")))
-        return bind(out, lambda o: F.date_add(x["first"], (o["l"] * b + o["r"]).cast("int")))
+        tweak = F.concat(lit("date"), x["first"].cast("string"))
+
+        def step(at: Column) -> Column:
+            out = permuted(_whole(at, b), at % b, a, b, key, tweak)
+            return bind(out, lambda o: (o["l"] * b + o["r"]).cast("int"))
+
+        # Month-first values go on along their cycle to the next day that can be no month; WALK steps all but surely hold one.
+        on = F.aggregate(F.sequence(lit(1), F.when(american, WALK).otherwise(1)), F.struct(x["at"].cast("int").alias("at"), lit(False).alias("done")),
+                         lambda s, _: F.when(s["done"], s).otherwise(bind(step(s["at"]), lambda n: F.struct(
+                             n.alias("at"), (F.dayofmonth(F.date_add(x["first"], n)) > 12).alias("done")))))
+        return F.date_add(x["first"], on["at"])
 
     century = F.substring(text, 1, 2).cast("int")
     first = F.make_date(century * 100, lit(1), lit(1))
     new = bind(F.struct(F.datediff(text.try_cast("date"), first).alias("at"), first.alias("first"), (century % 4 == 0).alias("full")), moved)
-    shown = bind(new, lambda n: F.when(iso, F.date_format(n, "yyyy-MM-dd")).when(
-        v.contains("/"), F.date_format(n, "dd/MM/yyyy")).otherwise(F.date_format(n, "dd.MM.yyyy")))
+    short = v.rlike(r"^[0-9][./]|[./][0-9][./]")
+
+    mark = F.when(v.contains("/"), "/").otherwise(".")
+
+    def layout(n: Column) -> Column:
+        first, second = F.when(american, F.month(n)).otherwise(F.day(n)), F.when(american, F.day(n)).otherwise(F.month(n))
+        pad = lambda x: F.when(short, x.cast("string")).otherwise(F.lpad(x.cast("string"), 2, "0"))
+        return F.when(iso, F.date_format(n, "yyyy-MM-dd")).otherwise(F.concat(
+            pad(first), mark, pad(second), mark, F.date_format(n, "yyyy")))
+
+    shown = bind(new, layout)
     return F.when(text.try_cast("date").isNull(), v).otherwise(shown)
 
 
@@ -210,8 +249,12 @@ def _ip(v: Column, key: str) -> Column:
 
 
 def _phone(v: Column, key: str) -> Column:
-    return bind(_digits(v), lambda d: refilled(v, F.concat(
-        F.substr(d, lit(1), F.length(d) - 10), permuted_digits(F.substr(d, F.length(d) - 9, lit(10)), key, lit("phone")))))
+    def moved(d: Column) -> Column:
+        n = F.length(d)
+        k = F.when(v.startswith("+1"), F.least(n - 1, lit(10))).when(v.startswith("+"), F.least(n - 2, lit(10))).otherwise(10)
+        return bind(k, lambda k: refilled(v, F.concat(F.substr(d, lit(1), n - k), permuted_digits(F.substr(d, n - k + 1, k), key, lit("phone")))))
+
+    return bind(_digits(v), moved)
 
 
 def _card(v: Column, key: str) -> Column:

@@ -226,6 +226,23 @@ def test_cards_beside_other_numbers_and_clashing_names(spark):
     assert re.fullmatch(r"\d{4} \d{6} \d{5}", rows[3].text) and rows[4].text == texts[4]     # too long for an address
 
 
+def test_pseudonyms_of_usual_layouts(spark):
+    texts = ["DE89 3704 0044 0532 0130 00 NEXT", "DE89370400440532013000", "2020-02-29T10:00", "2020-02-29", "3/4/1990", "03/04/1990", "12/31/1999",
+             "31/12/1999", "+44 20 7946 0958", "+33 6 12 34 56 78", "555 123 4567", "1-800-555-0199", "2/30/1999", "+442079460958", "(555) 123-4567"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.text, r.n) for r in pii.pseudonymise(df, "key", count_col="n").orderBy("doc_id").collect()]
+    assert [n for _, n in got] == [0 if t == "2/30/1999" else 1 for t in texts]
+    out = [t for t, _ in got]
+    digits = [re.sub("[^0-9]", "", t) for t in out]
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d NEXT", out[0]) and out[0][:-5].replace(" ", "") == out[1]
+    assert out[2] == out[3] + "T10:00" and [int(x) for x in out[4].split("/")] == [int(x) for x in out[5].split("/")]
+    month, day, year = map(int, out[6].split("/"))
+    assert month <= 12 < day and len(out[6]) == 10 and 1900 <= year < 2000
+    for i in (8, 9, 10, 11, 14):
+        assert re.sub(r"\d", "0", out[i]) == re.sub(r"\d", "0", texts[i]) and out[i] != texts[i]
+    assert out[8].startswith("+44 ") and out[9].startswith("+33 ") and out[11].startswith("1-") and digits[8] == digits[13] and digits[10] == digits[14]
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(97 * 11).select(pii.permuted(F.floor(F.col("id") / 11), F.col("id") % 11, F.lit(97), F.lit(11), "k", F.lit("t")).alias("y"))
     rows = {tuple(r.y) for r in n.collect()}
