@@ -1,8 +1,8 @@
 """Language identification as multilingual mixture inference.
 
 Model: per learned language, the log probabilities of hashed character n-grams (1 to 3 letters of
-a word with its ends marked), counted over at most ``FIT_ROWS`` labelled documents by a grouped
-aggregation. A word's likelihood under a language comes from its n-grams; words are looked up in
+a word with its ends marked), counted by a grouped aggregation over at most ``FIT_ROWS`` labelled
+documents, or ``LANG_ROWS`` of each language if that is more, so rare languages are learned too. A word's likelihood under a language comes from its n-grams; words are looked up in
 a per-worker memory, as they recur.
 
 Prediction: a document is a mixture of languages. Expectation-maximisation over its words
@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import hash_share, ship
 
-FIT_ROWS = 20_000       # documents the n-grams are counted on, at most
+FIT_ROWS = 20_000       # documents the n-grams are counted on, an equal part for each language
+LANG_ROWS = 1000        # at least so many of a language, if it has them
 FEATURES = 1 << 15      # hashed n-grams
 PENALTY = 4.0           # per language, times the log of the number of words
 STEPS = 8               # EM steps
@@ -65,7 +66,13 @@ def _counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fit_rows
     """(lang, gram, n) over the sampled labelled documents: a row per task, language and n-gram."""
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
                         ).where("text IS NOT NULL AND lang IS NOT NULL")
-    src = known.where(hash_share(fit_rows, known.count(), "id")).select("lang", "text")
+    totals = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    each = max(fit_rows // max(len(totals), 1), LANG_ROWS)
+    large = {k: n for k, n in totals.items() if n > each}       # the others are taken whole
+    chosen = ~F.col("lang").isin(list(large))
+    for k, n in large.items():
+        chosen = chosen | ((F.col("lang") == k) & hash_share(each, n, "id"))
+    src = known.where(chosen).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}

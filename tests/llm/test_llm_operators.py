@@ -381,6 +381,12 @@ def test_language_odd_rows(spark, odd):
     assert {r.lang_pred for r in language.predict(odd, language.learn(odd.limit(0))).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the and of", "en") for i in range(3000)] + [(9000, "og det ikke", "da")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.learn(df, fit_rows=20)[0] == ["da", "en"]
+
+
 def test_numerals_are_no_letters(spark):
     assert language.words_of("Ab²c ½ Ⅷ 12 x_y") == ["ab", "c", "x", "y"] and language.words_of(None) == []
     df = spark.createDataFrame([(1, "½ ² Ⅳ①"), (2, "m² the")], "doc_id long, text string")
