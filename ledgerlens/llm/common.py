@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -59,6 +60,22 @@ def shared(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read from there: as ``shared``, but compressed and with
+    only the columns a later step selects being read. Order and partitions may change."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerlens-shared-")
+        sc.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def parts(batch: pa.RecordBatch, column: int = 1, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """``batch`` in consecutive parts of about ``limit`` bytes of text, or one longer text, so that
     what a task makes of the texts is held for a part and not for the batch."""

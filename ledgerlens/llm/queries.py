@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html, imatch, language, pii, quality, secrets
+from . import alignment, chat, decontaminate, html, imatch, language, pii, quality, secrets, shards, trie
 from .bpe import encode_documents
 from .common import table
 from .neardup import near_duplicates
@@ -12,10 +12,10 @@ from .neardup import near_duplicates
 PII_KEY = "corpus-pseudonyms-1"     # a deployment gives its own
 
 
-def vocabulary() -> str:
-    """Where the public byte-level vocabulary lies on every machine."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary, the byte-level one by default, lies on every machine."""
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +80,27 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's aligned tokens of two vocabularies, with corpus-wide link counts."""
+    return alignment.align_documents(table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations, with its subtree's totals."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; row counts of the shards differ by one at most."""
+    placed = shards.placements(table(spark, sf_dir, "documents"))
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_setsketch_dedup, op3_html_main_text, op4_pii_pseudonyms, op5_imatch, op6_bm25_decontamination,
-    op7_language_mixture, op8_quality_bayes, op9_chat_parts, op10_linked_secrets)}
+    op7_language_mixture, op8_quality_bayes, op9_chat_parts, op10_linked_secrets,
+    op11_alignment, op12_prefix_trie, op13_feistel_shards)}
 
 # DuckDB SQL over the whole tables, where SQL can express the operator.
 ORACLES = {
@@ -102,4 +120,41 @@ SELECT conv_id, COUNT(*) AS n_turns,
        CAST(SUM(length(escaped) + length(escaped_role) + length('<|turn|><|text|><|end|>')) AS BIGINT) AS formatted_chars,
        CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
 FROM said GROUP BY conv_id""",
+    # Each node by the digest of its whole prefix; a node's subtree from the prefixes of each node's
+    # least member, so without recursion. crc32 is spelled out bit by bit.
+    "op12_prefix_trie": r"""
+WITH turns AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(CAST(length(COALESCE(role, '')) AS VARCHAR) || ':' || COALESCE(role, '') || COALESCE(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda r, step: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns)),
+built AS (
+  SELECT v.c, t.role, t.text, t.pos AS place FROM convs v JOIN turns t ON t.c = v.base AND t.pos < v.h
+  UNION ALL SELECT v.c, t.role, t.text, t.pos AS place FROM convs v JOIN turns t ON t.c = v.c AND t.pos >= v.h),
+steps AS (
+  SELECT c, row_number() OVER w AS depth, strlen(text) AS bytes,
+         sha256(string_agg(sha256(CAST(length(role) AS VARCHAR) || ':' || role || text), '') OVER w) AS node
+  FROM built WINDOW w AS (PARTITION BY c ORDER BY place)),
+paths AS (SELECT c, 0 AS depth, 0 AS bytes, '' AS node FROM convs UNION ALL SELECT c, depth, bytes, node FROM steps),
+lengths AS (SELECT c, MAX(depth) AS last FROM paths GROUP BY c),
+nodes AS (
+  SELECT node, ANY_VALUE(depth) AS depth, MIN(p.c) AS conv_id, COUNT(*) AS n_convs, (COUNT(*) - 1) * ANY_VALUE(bytes) AS saved,
+         sha256(COALESCE(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (last = depth), '')) AS ends_sha256
+  FROM paths p JOIN lengths USING (c) GROUP BY node),
+parents AS (
+  SELECT n.node, a.node AS parent FROM nodes n JOIN paths a ON a.c = n.conv_id AND a.depth = n.depth - 1),
+children AS (SELECT parent AS node, COUNT(*) AS n_children FROM parents GROUP BY parent),
+subtrees AS (
+  SELECT a.node, SUM(n.saved) AS saved_tokens, COUNT(*) FILTER (k.node IS NULL) AS n_leaves
+  FROM nodes n JOIN paths a ON a.c = n.conv_id AND a.depth <= n.depth LEFT JOIN children k ON k.node = n.node GROUP BY a.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, n.n_convs, COALESCE(k.n_children, 0) AS n_children,
+       s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s USING (node) LEFT JOIN children k ON k.node = n.node
+LEFT JOIN parents p ON p.node = n.node LEFT JOIN nodes above ON above.node = p.parent""",
 }
