@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import shared, ship
 
 ROOT = bytes(16)
-FEWEST = 1000               # members that make a node heavy, at least
+FEWEST = 50                 # members that make a node heavy, at least
 QUEUED = 200_000            # messages of a task held in memory; more are spilled in sorted runs
 ID_BITS = 16                # member ids are listed in blocks of 2 ** 16 consecutive numbers
 EMPTY = hashlib.sha256(b"").hexdigest()
