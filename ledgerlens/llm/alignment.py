@@ -29,6 +29,8 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
+from operator import mul
 from typing import NamedTuple
 
 import numpy as np
@@ -40,11 +42,12 @@ from .common import give_back, parts, ship, written
 
 RANGE = 1 << 15             # bytes of a fragment; longer texts are dealt over tasks
 FAN = 16                    # fragments composed at a time
-KNOWN = 300_000             # cut pieces remembered in a task; beyond, the memory starts anew
+MARKS = ",.;:!?"            # marks that often end a word
+KNOWN = 600_000             # cut pieces remembered in a task; beyond, the memory starts anew
 BLOCK_GROUPS = 120_000      # distinct groups that end a block
 BLOCK_BYTES = 1 << 25       # bytes of group text that end a block
 
-CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+CUT = re.compile(r"(?<=[^ ])(?= \S)")
 # The same in bytes, a little stricter: what follows is ASCII or cannot begin a white-space code point.
 CUT_BYTES = re.compile(rb"(?<=[^ ]) (?=[!-~\xc3-\xe0\xe4-\xf4])")
 
@@ -82,20 +85,19 @@ def group_text(a: Iterable[int], b: Iterable[int]) -> str:
 
 def grouped(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> str | None:
     """``a1,a2|b1;...`` of two tokenizations of the same bytes; sizes are bytes by id."""
-    out, i, j, end_a, end_b, from_a, from_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b and i < len(a):
-            end_a += size_a[a[i]]
-            i += 1
-        elif j < len(b):
-            end_b += size_b[b[j]]
-            j += 1
-        else:
-            return None
-        if end_a == end_b:
-            out.append(group_text(a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return ";".join(out) if from_a == len(a) and from_b == len(b) else None
+    ends_a = list(accumulate(map(size_a.__getitem__, a)))
+    ends_b = list(accumulate(map(size_b.__getitem__, b)))
+    if not a or not b or ends_a[-1] != ends_b[-1]:
+        return None
+    common = set(ends_a).intersection(ends_b)
+    if len(common) == 1:
+        return group_text(a, b)
+    out, from_a, from_b = [], 0, 0
+    cuts_b = [j for j, e in enumerate(ends_b, 1) if e in common]
+    for to_a, to_b in zip([i for i, e in enumerate(ends_a, 1) if e in common], cuts_b):
+        out.append(group_text(a[from_a:to_a], b[from_b:to_b]))
+        from_a, from_b = to_a, to_b
+    return ";".join(out)
 
 
 def fragments(groups: list[tuple[list[int], list[int]]], start: int, size_a: list[int], size_b: list[int],
@@ -153,30 +155,43 @@ class Tokenizers:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.vocab_size())))]
         self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
-        self.known: dict[str, str | None] = {}      # piece after its space -> its groups, None if bytes differ
+        self.known: dict[str, str | None] = {}      # piece -> its groups, None if bytes differ
+        self.cut = self._mark_cuts()
+
+    def _mark_cuts(self) -> re.Pattern:
+        """Where a piece is cut: before a single space that a non-space follows, and between a letter
+        and a mark that no token of B holds side by side (A never joins the two)."""
+        letters = "a-zA-Z"
+        held = {m for i in range(self.b.vocab_size()) for m in re.findall(f"(?<=[{letters}])[{re.escape(MARKS)}]", self.b.id_to_piece(i))}
+        free = "".join(m for m in MARKS if m not in held)
+        return re.compile(CUT.pattern + (rf"|(?<=[{letters}])(?=[{re.escape(free)}])" if free else ""))
 
     def learn(self, pieces: list[str]) -> None:
-        spaced = [" " + p for p in pieces]
-        coded = self.a.encode_batch(spaced, add_special_tokens=False)
-        for p, s, ids, b in zip(pieces, spaced, coded, self.b.encode(pieces, num_threads=1)):
-            a, raw = ids.ids, s.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
-            self.known[p] = grouped(a, b, self.size_a, self.size_b) if same else None
+        """B puts a space before what it is given: for pieces that begin with one that is theirs, the
+        others followed a letter and are given to it behind one."""
+        coded = self.a.encode_batch_fast(pieces, add_special_tokens=False)
+        seen = self.b.encode([p[1:] if p[0] == " " else "a" + p for p in pieces], num_threads=1)
+        token_b = self.bytes_b.__getitem__
+        for p, found, b in zip(pieces, coded, seen):
+            if p[0] != " ":
+                b = b[1:]
+            same = b"".join(map(token_b, b)) == p.encode()
+            self.known[p] = grouped(found.ids, b, self.size_a, self.size_b) if same else None
 
     def groups(self, texts: list[str]) -> list[str | None]:
         """Each text's groups as ``a1,a2|b1;...``; None without tokens (empty, or bytes that differ)."""
         if len(self.known) > KNOWN:
             self.known.clear()
-        cut = [CUT.split(t) for t in texts]
+        cut = [self.cut.split(" " + t) for t in texts]
         fresh = list(set().union(*cut).difference(self.known)) if cut else []
         if fresh:
             self.learn(fresh)
-        out = []
+        out, look = [], self.known.__getitem__
         for t, pieces in zip(texts, cut):
-            found = [self.known[p] for p in pieces]
+            found = list(map(look, pieces))
             out.append(";".join(found) if t and None not in found else None)
         for p in fresh:             # long strings don't recur
-            if len(p) > 200:
+            if len(p) > 100:
                 del self.known[p]
         return out
 
@@ -186,7 +201,6 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-@lru_cache(maxsize=200_000)
 def _ids(group: str) -> tuple[tuple[tuple[int, int], ...], int, int]:
     """The linked id pairs of a group (A id << 32 | B id) with their occurrences; tokens of A, of B."""
     a, b = ([int(x) for x in side.split(",")] for side in group.split("|"))
@@ -213,6 +227,8 @@ class _Block:
 
     def _new(self) -> None:
         self.index: dict[str, int] = {}
+        self.links: list[tuple] = []        # by index: the group's pairs
+        self.sizes: list[tuple] = []        # by index: tokens of A, of B, links
         self.pairs: Counter = Counter()
         self.long_pairs: dict[int, set] = {}
         self.docs: list[tuple] = []
@@ -225,26 +241,25 @@ class _Block:
             return
         listed = groups.split(";")
         times = Counter(listed)
-        index, n_a, n_b, links = self.index, 0, 0, 0
-        held: set = set()
-        for g, n in times.items():
+        index = self.index
+        for g in times.keys() - index.keys():
+            index[g] = len(index)
             pairs, a, b = _ids(g)
-            n_a += n * a
-            n_b += n * b
-            links += n * a * b
-            held.update([p for p, _ in pairs])
-            if g not in index:
-                index[g] = len(index)
-                self.size += len(g)
-        which = np.fromiter(map(index.__getitem__, times), np.uint32, len(times))
-        many = np.fromiter(times.values(), np.uint32, len(times))
+            self.links.append([p for p, _ in pairs])
+            self.sizes.append((a, b, a * b))
+            self.size += len(g)
+        which = list(map(index.__getitem__, times))
+        many = list(times.values())
+        held = set().union(*map(self.links.__getitem__, which))
+        n_a, n_b, links = (sum(map(mul, many, column)) for column in zip(*map(self.sizes.__getitem__, which)))
         self.size += 8 * len(times)
         if row is None:
             self.pairs.update(held)
         else:
             self.long_pairs.setdefault(row, set()).update(held)
         sha = hashlib.sha256(groups.encode()).hexdigest() if row is None else ""
-        self.docs.append((id_, row, n_a, n_b, len(listed), links, sha, which.tobytes(), many.tobytes()))
+        self.docs.append((id_, row, n_a, n_b, len(listed), links, sha, np.array(which, np.uint32).tobytes(),
+                          np.array(many, np.uint32).tobytes()))
 
     def full(self) -> bool:
         return len(self.index) > BLOCK_GROUPS or self.size > BLOCK_BYTES
