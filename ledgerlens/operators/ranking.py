@@ -1,33 +1,12 @@
-"""Global ranking and top-k without a single-partition sort.
+"""``TOP n PERCENT`` without a single-partition sort.
 
-``percent_rank().over(Window.orderBy(x))`` and ``orderBy(x).limit(k)`` with a
-large k move every row into one task. At scale that task holds the whole
-customer (or product) table. The operators here spread the work:
+``orderBy(x).limit(k)`` with a large k moves every row into one task. ``top_k`` finds the k-th row's
+key tuple key by key (distinct-value counts, bounded collects or range summaries), then
+filters; only a final group of rows tied on every key is cut with ``limit``. Scores by percent
+rank come from ``cuts``, which needs no ranks.
 
-``percent_rank_scaled`` -- one profiling job first (HyperLogLog distinct
-estimate, and for numeric columns ``percentile_approx`` boundaries), then:
-
-* few distinct values: rank the distinct values (a bounded table) in one
-  window and join back;
-* numeric column: rows go to buckets at the boundaries -- each boundary value
-  a bucket of its own, each open interval between two boundaries another. A
-  value with more than ~1.5/buckets of the rows is always a boundary, so its
-  rows tie in a singleton bucket and need no window at all; interval buckets
-  hold at most ~1.5/buckets of the rows and get ``rank()`` per bucket. Bucket
-  offsets come from a window over the bucket totals (at most 2*buckets+2 rows),
-  broadcast;
-* other types: range partitions of the distinct values, summarised to at most
-  ``buckets`` (lo, hi, count) rows, the same offsets, a window per range, and
-  a join back.
-
-``top_k`` -- finds the k-th row's key tuple key by key (distinct-value counts,
-bounded collects or range summaries), then filters; only a final group of
-rows tied on every key is cut with ``limit``.
-
-Boundaries are values, not partition ids, so nothing depends on a layout
-being reproduced when a task is recomputed after executor loss. The bucket
-index is a balanced CASE tree over the boundaries (codegen'd, evaluated once
-per row).
+Boundaries are values, not partition ids, so nothing depends on a layout being reproduced when
+a task is recomputed after executor loss.
 """
 
 from __future__ import annotations
@@ -35,7 +14,7 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DEFAULT_BUCKETS = 64
 MAX_BUCKETS = 256
@@ -51,16 +30,6 @@ def _bucket_count(df: DataFrame, buckets: int | None) -> int:
     return max(1, min(MAX_BUCKETS, buckets))
 
 
-def _bucket_tree(v: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Number of ``bounds[lo:hi]`` that are <= v, plus ``lo`` (bounds sorted)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    b = bounds[mid]
-    return F.when(v < (b if isinstance(b, Column) else F.lit(b)), _bucket_tree(v, bounds, lo, mid)).otherwise(
-        _bucket_tree(v, bounds, mid + 1, hi))
-
-
 def _range_summary(vc: DataFrame, key: str, weight: str, buckets: int):
     """Range partitions of the distinct values: [(lo, hi, weight sum, values)]
     sorted ascending, and the weight of the NULL key -- one job, at most
@@ -77,157 +46,6 @@ def _range_summary(vc: DataFrame, key: str, weight: str, buckets: int):
     return parts, null_w
 
 
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-
-
-def _is_numeric(df: DataFrame, col: str) -> bool:
-    return df.schema[col].dataType.simpleString().startswith(_NUMERIC)
-
-
-def _ranked_small(vc: DataFrame, col: str, out: str, order) -> DataFrame:
-    # one partition of at most COLLECT_LIMIT rows: the distinct values, not the table
-    whole = Window.orderBy(order)
-    ranked = vc.select(
-        F.col(col).alias("_v"),
-        F.coalesce(F.sum("_w").over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_w").over(Window.partitionBy()).alias("_n"))
-    return ranked.select("_v", F.when(F.col("_n") > 1, F.col("_before") / (F.col("_n") - 1))
-                         .otherwise(F.lit(0.0)).alias(out))
-
-
-def value_rank_map(df: DataFrame, col: str, out: str, descending: bool = False) -> DataFrame:
-    """(``_v``, ``out``): the percent rank of each distinct value of ``col``,
-    for columns with few distinct values (one window over that bounded
-    table). Join it to the rows on the value (NULL-safe)."""
-    v = F.col(col)
-    order = (v.desc_nulls_last() if descending else v.asc_nulls_first())
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
-    return _ranked_small(vc, col, out, order)
-
-
-def column_profile(df: DataFrame, cols: list[str], buckets: int) -> dict[str, tuple[bool, list | None]]:
-    """For each column, in ONE aggregation job: whether it has few distinct
-    values (HyperLogLog estimate at 5% relative error, used only to pick a plan), and for numeric
-    columns the row quantiles at 1/buckets steps as sorted distinct values of
-    the column's type (``percentile_approx``, relative error 1/(4*buckets)).
-    A value holding more than about 1.5/buckets of the rows is always among
-    them. At most ``buckets - 1`` values per column reach the driver."""
-    limit = COLLECT_LIMIT
-    probs = [i / buckets for i in range(1, buckets)]
-    aggs = []
-    for c in cols:
-        aggs.append(F.approx_count_distinct(c, 0.05).alias(f"{c}__n"))
-        if _is_numeric(df, c) and probs:
-            aggs.append(F.percentile_approx(c, probs, 4 * buckets).alias(f"{c}__q"))
-    row = df.agg(*aggs).first()
-    out = {}
-    for c in cols:
-        few = (row[f"{c}__n"] or 0) + 1 <= limit // 2
-        if not _is_numeric(df, c):
-            out[c] = (few, None)
-            continue
-        qs = (row[f"{c}__q"] if probs else None) or []
-        out[c] = (few, sorted(set(x for x in qs if x is not None)))
-    return out
-
-
-def _rank_by_quantiles(df: DataFrame, col: str, out: str, descending: bool, bounds: list) -> DataFrame:
-    """Percent rank of a numeric column without a distinct-value table.
-
-    Rows fall into buckets: ``2j`` holds exactly the j-th boundary value,
-    ``2j+1`` the open interval after it, -1 the NULLs. All rows of a
-    singleton bucket tie, so their rank is the bucket's offset -- no window,
-    however many rows a hot value has. Interval buckets hold at most about
-    1.5/buckets of the rows, and ``rank()`` over each gives the prefix inside
-    it. Offsets come from a window over the (at most 2*buckets+2) bucket
-    totals, broadcast back.
-    """
-    v = F.col(col)
-    t = df.schema[col].dataType.simpleString()
-    lits = [F.lit(b).cast(t) for b in bounds]
-    # the CASE tree is evaluated once into its own column (it is referenced
-    # three times below; a non-cheap expression is not inlined again)
-    rows = df.withColumn("_j", _bucket_tree(v, lits, 0, len(lits)) if lits else F.lit(0))
-    j = F.col("_j")
-    at_bound = (j > 0) & (v == F.element_at(F.array(*lits), F.greatest(j, F.lit(1)))) if lits else F.lit(False)
-    b = F.when(v.isNull(), F.lit(-1)).when(at_bound, j * 2).otherwise(j * 2 + 1)
-    rows = rows.withColumn("_b", b).drop("_j")
-    totals = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_bw"))        # <= 2*buckets + 2 rows
-    b_order = ((F.when(F.col("_b") < 0, F.lit(1)).otherwise(F.lit(0)).asc(), F.col("_b").desc()) if descending
-               else (F.col("_b").asc(),))
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bw").over(Window.orderBy(*b_order).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_bw").over(Window.partitionBy()).alias("_n"),
-        ((F.col("_b") < 0) | (F.col("_b") % 2 == 0)).alias("_single"))
-    # The split is a filter on the small side of a broadcast join, so the
-    # bucket expression is never copied into a filter on the large side.
-    order = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    tied = (rows.join(F.broadcast(offsets.where("_single")), "_b")
-            .withColumn("_before", F.col("_off")))
-    spread = (rows.join(F.broadcast(offsets.where("NOT _single")), "_b")
-              .withColumn("_before", F.col("_off") + F.rank().over(Window.partitionBy("_b").orderBy(order)) - 1))
-    both = tied.unionByName(spread).drop("_single")
-    pr = F.when(F.col("_n") > 1, F.col("_before").cast("double") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
-    return both.withColumn(out, pr).drop("_b", "_off", "_n", "_before")
-
-
-def percent_rank_scaled(df: DataFrame, col: str, out: str, descending: bool = False,
-                        buckets: int | None = None, few: bool | None = None,
-                        bounds: list | None = None) -> DataFrame:
-    """``df`` plus ``out = PERCENT_RANK() OVER (ORDER BY col [DESC])``.
-
-    Same value as Spark's ``percent_rank``: (rank - 1) / (n - 1), 0 when
-    n = 1; NULLs first ascending, last descending.
-
-    - few distinct values: one window over the distinct values (bounded);
-    - numeric column: buckets at row quantiles (``_rank_by_quantiles``);
-    - other types: ranges of the distinct values at collected boundaries.
-
-    ``df`` is read up to three times (profile aside): pin it first
-    (``session.pin``) when it is expensive to compute, as the RFM report does.
-    """
-    v = F.col(col)
-    order = (v.desc_nulls_last() if descending else v.asc_nulls_first())
-    buckets = _bucket_count(df, buckets)
-    if few is None:
-        few, bounds = column_profile(df, [col], buckets)[col]
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("_w"))
-    if few:
-        ranked = _ranked_small(vc, col, out, order)
-        return df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
-
-    if _is_numeric(df, col):
-        if bounds is None:
-            bounds = column_profile(df, [col], buckets)[col][1]
-        return _rank_by_quantiles(df, col, out, descending, bounds)
-
-    summary, _ = _range_summary(vc, col, "_w", buckets)
-    lows = [s_[0] for s_ in summary[1:]]
-    bucket = F.when(v.isNull(), F.lit(-1)).otherwise(_bucket_tree(v, lows, 0, len(lows)))
-    vb = vc.withColumn("_b", bucket)
-    b_order = ((F.when(F.col("_b") < 0, F.lit(1)).otherwise(F.lit(0)).asc(), F.col("_b").desc()) if descending
-               else (F.col("_b").asc(),))
-    totals = vb.groupBy("_b").agg(F.sum("_w").alias("_bw"))          # <= buckets + 1 rows
-    offsets = totals.select(
-        "_b",
-        F.coalesce(F.sum("_bw").over(Window.orderBy(*b_order).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_bw").over(Window.partitionBy()).alias("_n"))
-    inner = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (vb.join(F.broadcast(offsets), "_b")
-              .select(F.col(col).alias("_v"),
-                      (F.col("_off") + F.coalesce(F.sum("_w").over(inner), F.lit(0))).alias("_before"), "_n"))
-    ranked = ranked.select("_v", F.when(F.col("_n") > 1, F.col("_before").cast("double") / (F.col("_n") - 1))
-                           .otherwise(F.lit(0.0)).alias(out))
-    return df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "inner").drop("_v")
-
-
-# --------------------------------------------------------------------------
-# exact top-k by a lexicographic order
-# --------------------------------------------------------------------------
-
 def _before(key: Column, descending: bool, cut) -> Column:
     """Rows strictly before ``cut`` in ORDER BY key [DESC] (NULLs low)."""
     if cut is None:

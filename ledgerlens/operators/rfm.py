@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import date_lit, day_boundaries, literal_day_text
 from ..functions.text import concat_text, like
-from .ranking import _bucket_count, column_profile, percent_rank_scaled, value_rank_map
 
 # --- fixed values: segment rules, first match wins (order matters) ----------
 # (segment, pattern on the three-digit code r_score f_score m_score)
@@ -23,6 +24,7 @@ SEGMENT_RULES = (
 )
 OTHER_SEGMENT = "unknown"
 SCORE_CUTS = (0.75, 0.5, 0.25)   # strict '>' -> scores 4, 3, 2; else 1
+SCORE_SHARES = (Fraction(1, 4), Fraction(1, 2), Fraction(3, 4))
 
 
 def rfm_metrics(facts: DataFrame, user: str, ts: str, amount: str, as_of: str, calendar: bool = False) -> DataFrame:
@@ -36,37 +38,12 @@ def rfm_metrics(facts: DataFrame, user: str, ts: str, amount: str, as_of: str, c
     )
 
 
-def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]], scaled: bool = True,
-                  key: str | None = None) -> DataFrame:
-    """Add ``PERCENT_RANK() OVER (ORDER BY col [DESC])`` for each (col, desc, out).
-
-    ``scaled`` uses the distributed form (no single-partition window). With a
-    unique ``key`` each rank is computed from ``df`` alone as a narrow
-    (key, rank) frame and joined back on the key, so the plan grows linearly
-    with the number of ranks (chaining them would re-plan each earlier rank
-    inside every later one)."""
-    prof = column_profile(df, [c for c, _, _ in specs], _bucket_count(df, None)) if scaled else {}
-    out = df
+def percent_ranks(df: DataFrame, specs: list[tuple[str, bool, str]]) -> DataFrame:
+    """Add ``PERCENT_RANK() OVER (ORDER BY col [DESC])`` for each (col, desc, out): the whole table
+    in one task, for tables that fit one. Scores of large ones come from ``cuts.cut_values``."""
     for col, desc, name in specs:
-        if scaled:
-            few, bounds = prof[col]
-            if few:
-                # a bounded value -> rank map, joined straight on the value
-                m = value_rank_map(df, col, name, descending=desc)
-                out = out.join(m, out[col].eqNullSafe(m["_v"]), "inner").drop("_v")
-                continue
-            src = df.select(key, col) if key else out
-            ranked = percent_rank_scaled(src, col, name, descending=desc, few=False, bounds=bounds)
-        else:
-            order = F.col(col).desc() if desc else F.col(col).asc()
-            src = df.select(key, col) if key else out
-            ranked = src.withColumn(name, F.percent_rank().over(Window.orderBy(order)))
-        if key:
-            r = ranked.select(F.col(key).alias("_key"), name)
-            out = out.join(r, out[key].eqNullSafe(r["_key"]), "inner").drop("_key")
-        else:
-            out = ranked
-    return out
+        df = df.withColumn(name, F.percent_rank().over(Window.orderBy(F.col(col).desc() if desc else F.col(col).asc())))
+    return df
 
 
 def quartile_score(pr) -> Column:

@@ -32,7 +32,7 @@ def _cells(spark: SparkSession, src: str, null_users: str = "cohort",
     s = star.dim_scenario(spark, src)
     if sub_categories is not None:
         s = s.where(ci_in("sub_category", sub_categories))
-    facts = f.join(s.select("scenario_id"), "scenario_id")
+    facts = star.join_scenario(f, s)
     c = cohort_cells(facts, "customer_id", "transaction_time", M.YEAR_A, PERIODS, null_users=null_users)
     return c.select((F.col("acquisition_index") + 1).alias("acquisition_month"), "subsequent_month", "retained_users")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import int_part_equals
 from ..functions.text import ci_eq, ci_in, like, nvl_text, prefix_before
@@ -80,11 +80,11 @@ def product_name_prefix(spark: SparkSession, src: str, category_pattern: str = M
     """Product name up to the first '-', for a category, a model and an
     integer list price (``CAST(ListPrice AS INT)`` = truncation, or rounding as a
     MONEY column would with ``round_money``)."""
-    p = S.product(spark, src, name_with_brand=True, with_category_model=True)
-    pc = S.product_category(spark, src).withColumnRenamed("Name", "CategoryName")
-    pm = S.product_model(spark, src).withColumnRenamed("Name", "ModelName")
-    j = p.join(pc, "ProductCategoryID").join(pm, "ProductModelID")
-    j = j.where(like("CategoryName", category_pattern) & like("ModelName", model_pattern)
-                & int_part_equals("ListPrice", price, round_money))
-    return j.select(prefix_before("Name", "-").alias("ProductName"), "ProductCategoryID",
-                    F.col("CategoryName").alias("Name"))
+    part = S.part_names(spark, src).where(like("CategoryName", category_pattern))
+    wanted = like("ModelName", model_pattern) & int_part_equals("ListPrice", price, round_money)
+    # One read: what is not wanted collapses to one row a category on the map side, there for the category's least key.
+    held = part.groupBy("CategoryName", F.when(wanted, F.struct(prefix_before("Name", "-").alias("ProductName"))).alias("_found")).agg(
+        F.min("ProductID").alias("_key"), F.count(F.lit(1)).alias("_rows"))
+    held = held.withColumn("ProductCategoryID", F.min("_key").over(Window.partitionBy("CategoryName"))).where("_found IS NOT NULL")
+    return held.withColumn("_one", F.explode(F.expr("array_repeat(0, cast(_rows as int))"))).select(
+        "_found.ProductName", "ProductCategoryID", F.col("CategoryName").alias("Name"))

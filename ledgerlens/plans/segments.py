@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import pct_text
 from ..functions.text import ci_in
-from ..session import pin
-from ..operators.rfm import percent_ranks, quartile_score, rfm_metrics, rfm_segment
+from ..operators.cuts import ascending, cut_values, score
+from ..operators.rfm import SCORE_SHARES, percent_ranks, quartile_score, rfm_metrics, rfm_segment
 from ..sources import mapping as M
 from ..sources import star
 
@@ -21,23 +21,22 @@ def rfm_table(spark: SparkSession, src: str, sub_categories=M.COHORT_SUB_CATEGOR
     s = star.dim_scenario(spark, src)
     if sub_categories is not None:
         s = s.where(ci_in("sub_category", sub_categories))
-    facts = f.join(s.select("scenario_id"), "scenario_id", "left_semi")
+    facts = star.join_scenario(f, s, "left_semi")
     return rfm_metrics(facts, "customer_id", "transaction_time", "charged_amount", as_of, calendar)
 
 
-def _pinned(df: DataFrame) -> DataFrame:
-    """The ranking runs several summary jobs over the per-customer table:
-    write it once (shared checkpoint folder) instead of recomputing the
-    two-year fact join for each; this also cuts the lineage."""
-    return pin(df)
-
-
 def rfm_scores(spark: SparkSession, src: str, scaled: bool = True, **options) -> DataFrame:
-    t = percent_ranks(_pinned(rfm_table(spark, src, **options)), [
-        ("recency", False, "r_rank"), ("frequency", True, "f_rank"), ("monetary", True, "m_rank")],
-        scaled=scaled, key="customer_id")
-    t = t.select("*", quartile_score("r_rank").alias("r_score"), quartile_score("f_rank").alias("f_score"),
-                 quartile_score("m_rank").alias("m_score"))
+    """The RFM table with scores and segment. The scores come from exact cut values, or with
+    ``scaled=False`` from ``PERCENT_RANK`` over the whole table in one task, as the reference has it."""
+    t = rfm_table(spark, src, **options)
+    keys = {"recency": ascending("recency"), "frequency": ascending("frequency", True), "monetary": ascending("monetary", True)}
+    if scaled:
+        t = t.withColumn("_cuts", cut_values(t, keys, SCORE_SHARES))
+        scores = [score(key, F.col(f"_cuts.{c}"), len(SCORE_SHARES)) for c, key in keys.items()]
+    else:
+        t = percent_ranks(t, [(c, c != "recency", f"_{c}") for c in keys])
+        scores = [quartile_score(f"_{c}") for c in keys]
+    t = t.select("customer_id", *keys, *[s.alias(f"{c[0]}_score") for c, s in zip(keys, scores)])
     return t.withColumn("segment", rfm_segment("r_score", "f_score", "m_score"))
 
 

@@ -30,7 +30,7 @@ def _billing(spark: SparkSession, src: str, category: str | None = M.CATEGORY, s
         s = s.where(ci_eq("category", category))
     if subs is not None:
         s = s.where(ci_in("sub_category", subs))
-    return f.join(s, "scenario_id")
+    return star.join_scenario(f, s)
 
 
 def monthly_trend(spark: SparkSession, src: str) -> DataFrame:

@@ -73,6 +73,14 @@ def product(spark: SparkSession, src: str, name_with_brand: bool = False,
     return df.drop("_type", "_model")
 
 
+def part_names(spark: SparkSession, src: str) -> DataFrame:
+    """Products with the names of their category and model in place of the ids."""
+    part = read_table(spark, src, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"])
+    return part.select(F.col("p_partkey").alias("ProductID"), F.concat_ws(" - ", "p_name", "p_brand").alias("Name"),
+                       F.col("p_type").alias("CategoryName"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("ModelName"),
+                       F.col("p_retailprice").alias("ListPrice"))
+
+
 def sales_order_detail(spark: SparkSession, src: str) -> DataFrame:
     return read_table(spark, src, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("ProductID"))
 

@@ -12,7 +12,8 @@ from ledgerlens.operators.aggregate import (bin_by_width, bin_exact, metric_summ
                                             thousands_label)
 from ledgerlens.operators.cohort import cohort_cells
 from ledgerlens.operators.relational import not_in, semi_join, union_distinct
-from ledgerlens.operators.rfm import SEGMENT_RULES, quartile_score, rfm_segment
+from ledgerlens.operators.cuts import ascending, cut_values, score
+from ledgerlens.operators.rfm import SCORE_SHARES, SEGMENT_RULES, percent_ranks, quartile_score, rfm_segment
 from ledgerlens.operators.timeseries import index_to_base, moving_average, period_over_period, running_total
 
 
@@ -82,19 +83,21 @@ def _data(n=600, seed=7, nulls=True):
 
 
 @pytest.mark.parametrize("desc", [False, True])
-@pytest.mark.parametrize("limit", [5, 50_000])        # 5 forces the range-partition path
-def test_percent_rank_scaled_matches_window(spark, monkeypatch, desc, limit):
-    monkeypatch.setattr(ranking, "COLLECT_LIMIT", limit)
-    df = spark.createDataFrame(_data(), "id long, v long, name string")
-    got = {r.id: r.pr for r in ranking.percent_rank_scaled(df, "v", "pr", descending=desc, buckets=4).collect()}
-    order = F.col("v").desc() if desc else F.col("v").asc()
-    want = {r.id: r.pr for r in df.withColumn("pr", F.percent_rank().over(Window.orderBy(order))).collect()}
-    assert got == want
+def test_scores_by_cut_values_match_percent_rank(spark, desc):
+    """A value with a third of the rows, nulls, and numbers that doubles cannot tell apart."""
+    rows = _data() + [(1000 + i, None, "x") for i in range(5)]
+    df = spark.createDataFrame([(i, v, None if v is None else 2 ** 60 + v) for i, v, _ in rows], "id long, v long, big long")
+    keys = {"v": ascending("v", desc), "big": ascending("big", desc)}
+    got = df.withColumn("_cuts", cut_values(df, keys, SCORE_SHARES)).select(
+        "id", *[score(k, F.col(f"_cuts.{c}"), 3).alias(c) for c, k in keys.items()])
+    want = percent_ranks(df, [("v", desc, "pv"), ("big", desc, "pb")]).select("id", quartile_score("pv").alias("v"), quartile_score("pb").alias("big"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {r.v for r in want.collect()} >= {1, 4}
 
 
-def test_percent_rank_scaled_single_row(spark):
-    df = spark.createDataFrame([(1, 5)], "id long, v long")
-    assert ranking.percent_rank_scaled(df, "v", "pr").first().pr == 0.0
+def test_cut_values_of_no_rows(spark):
+    df = spark.createDataFrame([], "v long")
+    assert df.withColumn("_cuts", cut_values(df, {"v": ascending("v")}, SCORE_SHARES)).collect() == []
 
 
 @pytest.mark.parametrize("limit", [3, 50_000])
@@ -183,19 +186,6 @@ def test_quartile_score_strict(spark):
     assert [r[0] for r in df.select(quartile_score("p")).collect()] == [1, 1, 2, 2, 3, 4, 4]
 
 
-@pytest.mark.parametrize("desc", [False, True])
-def test_percent_rank_scaled_strings_and_huge_ints(spark, monkeypatch, desc):
-    monkeypatch.setattr(ranking, "COLLECT_LIMIT", 5)
-    big = 2 ** 60
-    rows = [(i, f"k{(i * 7) % 50:03d}" if i % 11 else None, big + (i % 37) if i % 5 else big) for i in range(400)]
-    df = spark.createDataFrame(rows, "id long, s string, b long")
-    order = (lambda c: F.col(c).desc()) if desc else (lambda c: F.col(c).asc())
-    for col in ("s", "b"):
-        got = {r.id: r.pr for r in ranking.percent_rank_scaled(df, col, "pr", descending=desc, buckets=4).collect()}
-        want = {r.id: r.pr for r in df.withColumn("pr", F.percent_rank().over(Window.orderBy(order(col)))).collect()}
-        assert got == want, col
-
-
 def test_index_to_base_two_base_rows_is_an_error(spark):
     df = spark.createDataFrame([(1, 1997, 5), (1, 1997, 6)], "month int, year int, n long")
     with pytest.raises(Exception):
@@ -229,3 +219,12 @@ def test_integer_price_range_equals_the_cast(spark):
     for n in (-2, 0, 3):
         assert df.where(int_part_equals("x", n)).count() == df.where(int_part("x") == n).count()
         assert df.where(int_part_equals("x", n, round_money=True)).count() == df.where(F.round(F.col("x").cast("decimal(9,2)")) == n).count()
+
+
+def test_bloom_filter_keeps_every_partner(spark):
+    from ledgerlens.operators.relational import bloom_filter
+    df = spark.range(-300, 300).selectExpr("IF(id % 50 = 0, NULL, id) k", "id")
+    keys = spark.createDataFrame([(-7,), (13,), (13,), (None,), (2 ** 40,)], "c long")
+    kept = {r.k for r in bloom_filter(df, keys, "k", "c").collect()}
+    assert {-7, 13} <= kept and len(kept) < 10 and None not in kept
+    assert bloom_filter(df, keys.limit(0), "k", "c").count() == 0

@@ -1,11 +1,13 @@
-"""Distributed ranking and top-k equal Spark's single-task forms on random
+"""Scores by cut values and top-k equal Spark's single-task forms on random
 data with ties, a hot value and NULLs (property-based)."""
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import ranking
+from ledgerlens.operators.cuts import ascending, cut_values, score
+from ledgerlens.operators.rfm import SCORE_SHARES, percent_ranks, quartile_score
 
 values = st.lists(st.one_of(st.none(), st.integers(-3, 12), st.just(5)), min_size=1, max_size=60)
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -17,12 +19,12 @@ def _force_large_paths(monkeypatch):
 
 
 @SETTINGS
-@given(vals=values, desc=st.booleans(), buckets=st.integers(1, 6))
-def test_percent_rank_property(spark, vals, desc, buckets):
+@given(vals=values, desc=st.booleans())
+def test_scores_property(spark, vals, desc):
     df = spark.createDataFrame(list(enumerate(vals)), "id long, v long")
-    got = {r.id: r.pr for r in ranking.percent_rank_scaled(df, "v", "pr", descending=desc, buckets=buckets).collect()}
-    order = F.col("v").desc() if desc else F.col("v").asc()
-    want = {r.id: r.pr for r in df.withColumn("pr", F.percent_rank().over(Window.orderBy(order))).collect()}
+    key = ascending("v", desc)
+    got = {r.id: r.s for r in df.withColumn("_cuts", cut_values(df, {"v": key}, SCORE_SHARES)).withColumn("s", score(key, F.col("_cuts.v"), 3)).collect()}
+    want = {r.id: r.s for r in percent_ranks(df, [("v", desc, "pr")]).withColumn("s", quartile_score("pr")).collect()}
     assert got == want
 
 

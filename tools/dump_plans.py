@@ -3,8 +3,8 @@
     python tools/dump_plans.py [/root/testdata/sf0.1]
 
 Two shapes per report: ``<name>.local.txt`` as planned on the given folder,
-and ``<name>.large.txt`` with automatic broadcast joins off and the
-ranking operators' large-data paths forced -- the plan the same code gets
+and ``<name>.large.txt`` with automatic broadcast joins off and
+``top_k``'s large-data path forced -- the plan the same code gets
 when every table is too big to broadcast.
 """
 
