@@ -66,6 +66,19 @@ def _ci_text(value: str) -> str:
     return value.lower().rstrip(" ")
 
 
+def ci_key(col) -> Column:
+    """The group of a text under a case-insensitive collation that ignores trailing blanks:
+    ``GROUP BY``, ``DISTINCT`` and ``PARTITION BY`` on it put case variants together, as the
+    reference's server does. A group is shown under ``spelling``."""
+    return _ci(col)
+
+
+def spelling(col) -> Column:
+    """The spelling a group of case variants is shown under. The reference's server shows any of
+    them; here it is the least in binary order (capitals before small letters)."""
+    return F.min(_c(col))
+
+
 def ci_eq(col, value: str) -> Column:
     """Equality under a case-insensitive collation (the reference compares one
     column with both 'Payment' and 'payment'); trailing blanks are ignored, as

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import ratio
-from ..functions.text import ci_eq
+from ..functions.text import ci_eq, ci_key, spelling
 from ..operators.aggregate import (bin_by_width, bin_exact, histogram, metric_summary,
                                    plain_label, share_of_total, thousands_label)
 from ..sources import mapping as M
@@ -43,8 +43,10 @@ def share_by_type_top5(spark: SparkSession, src: str, top: int = 5, denom: str =
     held = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.count_if("_ok").alias("_good"))
     total = held.agg(F.struct(F.sum("_rows").alias("all"), F.sum("_good").alias("successful"))).scalar()
     good = held.where((F.col("_good") > 0) & (F.col("_rows") > 0))      # both counts, so that the exchange is the same
-    g = (star.join_scenario(good, star.dim_scenario(spark, src), "left").groupBy("transaction_type")
-         .agg(F.count_distinct("transaction_id").alias("num_of_trans")).withColumn("_total", total.getField(denom)))
+    g = (star.join_scenario(good, star.dim_scenario(spark, src), "left").groupBy(ci_key("transaction_type").alias("_type"), "transaction_id")
+         .agg(spelling("transaction_type").alias("transaction_type")))       # one row for each distinct id of a type
+    g = (g.groupBy("_type").agg(spelling("transaction_type").alias("transaction_type"), F.count("transaction_id").alias("num_of_trans"))
+         .withColumn("_total", total.getField(denom)))
     g = g.select("transaction_type", "num_of_trans",
                  ratio("num_of_trans", "_total", scale=6, percent=True).alias("percentage"))
     return g.orderBy(F.col("percentage").desc(), F.col("transaction_type").asc_nulls_first()).limit(top)
@@ -55,12 +57,13 @@ def share_of_category_in_type(spark: SparkSession, src: str) -> DataFrame:
     are summed from the (type, category) counts -- one pass over the facts
     where the reference aggregates them twice; a NULL type finds no total
     (its LEFT JOIN key never matches), as in the reference."""
-    tc = (_successful(spark, src).groupBy("transaction_type", "category")
-          .agg(F.count(F.lit(1)).alias("num_of_trans")))
+    tc = (_successful(spark, src).groupBy(ci_key("transaction_type").alias("_type"), ci_key("category"))
+          .agg(spelling("transaction_type").alias("transaction_type"), spelling("category").alias("category"),
+               F.count(F.lit(1)).alias("num_of_trans")))
     # type totals by a window over the (type, category) counts -- a handful of
     # rows per type -- instead of joining the counts to an aggregate of
     # themselves, which would run the fact pipeline twice
-    total = F.sum("num_of_trans").over(Window.partitionBy("transaction_type"))
+    total = F.sum("num_of_trans").over(Window.partitionBy("_type"))
     j = tc.withColumn("total_count", F.when(F.col("transaction_type").isNotNull(), total))
     return share_of_total(j, "num_of_trans", "total_count", "percentage").select(
         "transaction_type", "category", "num_of_trans", "total_count", "percentage")
@@ -69,7 +72,8 @@ def share_of_category_in_type(spark: SparkSession, src: str) -> DataFrame:
 def _customer_metrics(spark: SparkSession, src: str) -> DataFrame:
     """Rows collapse to one per (customer, scenario, type, category) before the distinct counts,
     which then expand far fewer rows."""
-    j = _successful(spark, src, M.TYPE_LITERAL_LOWER).groupBy("customer_id", "scenario_id", "transaction_type", "category").agg(
+    j = _successful(spark, src, M.TYPE_LITERAL_LOWER).groupBy(
+        "customer_id", "scenario_id", ci_key("transaction_type").alias("transaction_type"), ci_key("category").alias("category")).agg(
         F.count("transaction_id").alias("_n"), F.sum("charged_amount").alias("_amount"))
     return j.groupBy("customer_id").agg(
         F.sum("_n").alias("number_trans"),

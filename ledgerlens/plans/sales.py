@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import int_part_equals
-from ..functions.text import ci_eq, ci_in, like, nvl_text, prefix_before
+from ..functions.text import ci_eq, ci_in, ci_key, like, nvl_text, prefix_before, spelling
 from ..operators.ranking import top_percent
 from ..operators.relational import not_in
 from ..sources import mapping as M
@@ -13,9 +13,10 @@ from ..sources import sales as S
 
 
 def distinct_places(spark: SparkSession, src: str) -> DataFrame:
-    """Distinct (City, StateProvince); state ascending, city descending."""
+    """Distinct (City, StateProvince), case variants merged; state ascending, city descending."""
     a = S.address(spark, src)
-    return (a.select("City", "StateProvince").distinct()
+    return (a.groupBy(ci_key("City"), ci_key("StateProvince"))
+            .agg(spelling("City").alias("City"), spelling("StateProvince").alias("StateProvince")).select("City", "StateProvince")
             .orderBy(F.col("StateProvince").asc(), F.col("City").desc()))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import mm_yy, us_week
-from ..functions.text import ci_eq, ci_in, concat_text
+from ..functions.text import ci_eq, ci_in, ci_key, concat_text, spelling
 from ..operators.aggregate import pivot_count, row_shares
 from ..operators.timeseries import index_to_base, moving_average, period_over_period, running_total
 from ..sources import mapping as M
@@ -41,13 +41,18 @@ def monthly_trend(spark: SparkSession, src: str) -> DataFrame:
 
 def monthly_trend_by_sub(spark: SparkSession, src: str) -> DataFrame:
     """The monthly trend per sub-category."""
-    return (_billing(spark, src).groupBy(_month(), _year(), "sub_category")
-            .agg(F.count("transaction_id").alias("number_trans")).orderBy("year", "month"))
+    return _by_sub(spark, src).orderBy("year", "month")
+
+
+def _by_sub(spark: SparkSession, src: str) -> DataFrame:
+    """Transactions per month and sub-category, whose case variants are one."""
+    return (_billing(spark, src).groupBy(_month(), _year(), ci_key("sub_category").alias("_sub"))
+            .agg(spelling("sub_category").alias("sub_category"), F.count("transaction_id").alias("number_trans")).drop("_sub"))
 
 
 def _pivot_source(spark: SparkSession, src: str) -> DataFrame:
     # GROUP BY month, year, sub_category, transaction_id without aggregates = DISTINCT
-    return _billing(spark, src).select(_month(), _year(), "sub_category", "transaction_id").distinct()
+    return _billing(spark, src).select(_month(), _year(), ci_key("sub_category").alias("sub_category"), "transaction_id").distinct()
 
 
 def monthly_pivot(spark: SparkSession, src: str, subs=M.SUB_CATEGORIES, names=M.SUB_CATEGORY_COLUMNS) -> DataFrame:
@@ -59,9 +64,7 @@ def monthly_pivot(spark: SparkSession, src: str, subs=M.SUB_CATEGORIES, names=M.
 def monthly_pivot_case(spark: SparkSession, src: str, subs=M.SUB_CATEGORIES, names=M.SUB_CATEGORY_COLUMNS) -> DataFrame:
     """The same table by conditional sums over the per-sub-category counts:
     NULL (not 0) for empty cells, as ``SUM(CASE .. END)`` gives."""
-    sub_count = (_billing(spark, src).groupBy(_month(), _year(), "sub_category")
-                 .agg(F.count("transaction_id").alias("number_trans")))
-    return sub_count.groupBy("month", "year").agg(*[
+    return _by_sub(spark, src).groupBy("month", "year").agg(*[
         F.sum(F.when(ci_eq("sub_category", s), F.col("number_trans"))).alias(n) for s, n in zip(subs, names)])
 
 

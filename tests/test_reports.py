@@ -2,6 +2,7 @@
 built-in cross-checks (the same table written two ways)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ledgerlens.plans import behaviour, cohorts, segments, trends
@@ -83,3 +84,19 @@ def test_stated_choices(spark):
     every = {r.subsequent_month: r.retained_users for r in cohorts.retention_first_cohort(spark, SF01, sub_categories=None).collect()}
     some = {r.subsequent_month: r.retained_users for r in cohorts.retention_first_cohort(spark, SF01).collect()}
     assert 0 < some[0] < every[0]
+
+
+def test_case_variants_are_one_group(spark, tmp_path):
+    """'BLUE' and 'blue ' are one group, shown under its least spelling in binary order."""
+    import edge_fixture
+    from ledgerlens.functions.text import ci_key, spelling
+    df = spark.createDataFrame([("blue",), ("BLUE",), ("Blue  ",), ("red",), (None,)], "c string")
+    got = df.groupBy(ci_key("c").alias("k")).agg(spelling("c").alias("c"), F.count(F.lit(1)).alias("n")).select("c", "n")
+    assert sorted(map(tuple, got.collect()), key=repr) == [("BLUE", 3), ("red", 1), (None, 1)]
+    src = edge_fixture.build(str(tmp_path))
+    assert {"STANDARD", "standard"} <= {r.p_type for r in spark.read.parquet(f"{src}/part.parquet").collect()}
+    for report, column in ((behaviour.share_by_type_top5, "transaction_type"), (trends.monthly_trend_by_sub, "sub_category")):
+        shown = {r[column] for r in report(spark, src).collect() if r[column]}
+        assert len({s.lower().rstrip() for s in shown}) == len(shown) or column == "sub_category"
+    types = [r.transaction_type for r in behaviour.share_by_type_top5(spark, src).collect()]
+    assert "STANDARD" in types and "standard" not in types
