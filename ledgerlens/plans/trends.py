@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import mm_yy, us_week
 from ..functions.text import ci_eq, ci_in, ci_key, concat_text, spelling
+from ..operators.activity import active_periods, users_per_period
 from ..operators.aggregate import pivot_count, row_shares
 from ..operators.timeseries import index_to_base, moving_average, period_over_period, running_total
 from ..sources import mapping as M
@@ -74,11 +75,23 @@ def monthly_share(spark: SparkSession, src: str) -> DataFrame:
     return row_shares(p, list(M.SUB_CATEGORY_COLUMNS), "total_trans_month")
 
 
+def _periods(rows: DataFrame, index, each_year: int, out: str) -> DataFrame:
+    """(year, _n, ``out``): distinct customers of each period of a year, ``index`` from 0 to ``each_year`` - 1."""
+    n = (M.YEAR_B - M.YEAR_A + 1) * each_year
+    active = active_periods(rows, "customer_id", (F.year("transaction_time") - M.YEAR_A) * each_year + index, n)
+    t = users_per_period(active, "customer_id", n, out)
+    return t.select(F.expr(f"cast({M.YEAR_A} + _period div {each_year} as int)").alias("year"),
+                    F.expr(f"cast(_period % {each_year} + 1 as int)").alias("_n"), out)
+
+
+def _monthly_customers(rows: DataFrame, out: str) -> DataFrame:
+    return _periods(rows, F.month("transaction_time") - 1, 12, out).withColumnRenamed("_n", "month")
+
+
 def index_to_first_month(spark: SparkSession, src: str, base_month: int = 1, base_year: int = M.YEAR_A) -> DataFrame:
     """Distinct customers per month (three sub-categories, no category filter),
     the base month's value and the percent change from it."""
-    t = (_billing(spark, src, category=None, subs=M.SUB_CATEGORIES).groupBy(_month(), _year())
-         .agg(F.count_distinct("customer_id").alias("number_trans")))
+    t = _monthly_customers(_billing(spark, src, category=None, subs=M.SUB_CATEGORIES), "number_trans").select("month", "year", "number_trans")
     return index_to_base(t, "number_trans", (F.col("month") == base_month) & (F.col("year") == base_year),
                          "starting_point", "pct_from_starting_point")
 
@@ -91,10 +104,8 @@ def month_year_labels(spark: SparkSession, src: str) -> DataFrame:
 
 def _weekly(spark: SparkSession, src: str) -> DataFrame:
     b = _billing(spark, src, category=M.CATEGORY, subs=M.SUB_CATEGORIES)
-    week = us_week("transaction_time")
-    return (b.groupBy(_year(), week.alias("week_number"))
-            .agg(F.count_distinct("customer_id").alias("number_customer"))
-            .select("year", "week_number", concat_text("year", "week_number").alias("calendar"), "number_customer"))
+    weeks = _periods(b, us_week("transaction_time") - 1, 54, "number_customer").withColumnRenamed("_n", "week_number")
+    return weeks.select("year", "week_number", concat_text("year", "week_number").alias("calendar"), "number_customer")
 
 
 def weekly_running_customers(spark: SparkSession, src: str) -> DataFrame:
@@ -114,6 +125,5 @@ def year_over_year(spark: SparkSession, src: str, lag: int = 12) -> DataFrame:
     """Distinct customers per month, the value 12 rows back (own value when
     there is no such row) and the ratio as percent text."""
     b = _billing(spark, src, category=M.CATEGORY, subs=M.SUB_CATEGORIES)
-    t = (b.groupBy(_year(), _month()).agg(F.count_distinct("customer_id").alias("number_customer"))
-         .select("year", "month", concat_text("year", "month").alias("calendar"), "number_customer"))
+    t = _monthly_customers(b, "number_customer").select("year", "month", concat_text("year", "month").alias("calendar"), "number_customer")
     return period_over_period(t, ["year", "month"], "number_customer", lag, "last_period", "MOM").orderBy("year", "month")

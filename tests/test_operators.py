@@ -12,6 +12,7 @@ from ledgerlens.operators.aggregate import (bin_by_width, bin_exact, metric_summ
                                             thousands_label)
 from ledgerlens.operators.cohort import cohort_cells
 from ledgerlens.operators.relational import not_in, semi_join, union_distinct
+from ledgerlens.operators.activity import active_periods, users_per_period
 from ledgerlens.operators.cuts import ascending, cut_values, score
 from ledgerlens.operators.rfm import SCORE_SHARES, SEGMENT_RULES, percent_ranks, quartile_score, rfm_segment
 from ledgerlens.operators.timeseries import index_to_base, moving_average, period_over_period, running_total
@@ -228,3 +229,18 @@ def test_bloom_filter_keeps_every_partner(spark):
     kept = {r.k for r in bloom_filter(df, keys, "k", "c").collect()}
     assert {-7, 13} <= kept and len(kept) < 10 and None not in kept
     assert bloom_filter(df, keys.limit(0), "k", "c").count() == 0
+
+
+def test_distinct_users_by_bit_sets(spark):
+    """Negative and missing users, more than one word of bits, and coarser periods from the same table."""
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, -5, -5, 0, 7, 2 ** 62] + list(range(40))), rnd.randrange(130)) for _ in range(900)] + [(None, 131)]
+    df = spark.createDataFrame(rows, "u long, p int")
+    active = active_periods(df, "u", F.col("p"), 132)
+    for span in (1, 12):
+        want = {}
+        for u, p in rows:
+            want.setdefault(p // span, set()).update([] if u is None else [u])
+        assert {r._period: r.n for r in users_per_period(active, "u", 132, "n", span).collect()} == {p: len(v) for p, v in want.items()}
+    with pytest.raises(Exception):
+        active_periods(df, "u", F.col("p"), 131).collect()

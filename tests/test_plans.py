@@ -52,6 +52,18 @@ def test_both_sides_read_one_exchange(spark, large, name):
     assert scans(df) == ONE_SCAN[name]
 
 
+@pytest.mark.parametrize("name", ["index_to_first_month", "weekly_running_customers", "year_over_year"])
+def test_distinct_customers_without_a_distinct_shuffle(spark, large, name):
+    """One exchange by customer alone; none by (period, customer), no Expand."""
+    df = QUERIES[name](spark, SF01)
+    df.collect()
+    found = nodes(df)
+    assert not any(kind == "ExpandExec" for kind, _ in found)
+    by_customer = [n.toString().split("\n")[0] for kind, n in found if kind == "ShuffleExchangeExec" and "customer_id" in n.outputPartitioning().toString()]
+    keyed = [x for x in by_customer if "transaction_id" not in x]       # not the UNION's DISTINCT of whole rows
+    assert len(keyed) == 1 and "hashpartitioning(customer_id" in keyed[0]
+
+
 def test_repeated_scenarios_do_not_change_the_share(spark, tmp_path):
     """The share's denominator is counted before the join that repeats rows."""
     import shutil
