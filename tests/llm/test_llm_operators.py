@@ -285,6 +285,17 @@ def test_fingerprints_odd_rows(spark, odd):
     assert same[5] == same[6] and same[1] == same[2] and imatch.fingerprints(odd.limit(0)).count() == 0
 
 
+def test_next_document_of_repeated_and_missing_ids(spark, monkeypatch):
+    """Ids that a third of the rows share, or lack, are cut by their texts' hashes and still follow in order."""
+    monkeypatch.setattr(imatch, "RANGE_ROWS", 7)
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i} of these") for i in range(150)]
+    signed = lambda t: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(t.encode(), 42))
+    line = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]), r[1]))
+    want = {t[:len(t) - len(t) // 2] + after[:len(t) // 2] for (_, t), (_, after) in zip(line, line[1:] + line[:1])}
+    got = imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.edited_sha256 for r in got} == set(map(sha, want)) and len(got) == 150
+
+
 def test_every_lexicon_term_tells_texts_apart(spark):
     """A term that one text of two has more than the other changes a subset's hash, whichever term it is."""
     rows = [(i, f"base word{i}") for i in range(200)] + [(1000 + i, f"base shared word{i}") for i in range(200)]
