@@ -7,7 +7,7 @@ the greater register. Equal registers are about as likely as the Jaccard likenes
 ``ROWS`` registers collide with chance J**ROWS each; at J = 0.75 a pair misses all bands with
 chance (1 - 0.42)**32 = 2.4e-8.
 
-1. Equal sets collapse to their least document; only such class representatives go on.
+1. Equal sets collapse to one class, named by a 128-bit hash; only classes go on.
 2. In every band bucket each member meets the least member (one pair a member, never all pairs).
    The sketches' joint likelihood drops pairs that are surely below the threshold, the full sets
    confirm the rest, and confirmed pairs are joined into components.
@@ -18,7 +18,8 @@ chance (1 - 0.42)**32 = 2.4e-8.
    are joined again. Pairs inside one component can't change it.
 
 Cases: null or blank text has an empty set and is linked with nothing. Fewer words than five are
-one shingle. Rows that repeat a doc_id are judged by their own text. A null doc_id has a null
+one shingle. Rows that repeat a doc_id are judged by their own text: links,
+components and labels are those of sets, never of ids; equal rows have equal results. A null doc_id has a null
 component and is kept. Columns other than the two named ones are never read.
 """
 
@@ -32,7 +33,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import give_back, parts, shared, ship
+from ..operators.relational import bloom_filter
+from .common import give_back, parts, shared, ship, written
 from .graph import components
 
 WORDS = 5               # words of a shingle
@@ -140,7 +142,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())],
                 names=["id", "n_shingles", "set_key", "sketch"])
         _HASHES.clear()
@@ -178,38 +180,47 @@ def _linked() -> Column:
     return linked
 
 
+def _key(full: np.ndarray) -> bytes:
+    """The class of a set: a 128-bit hash of its sorted shingles."""
+    return hashlib.blake2b(full.tobytes(), digest_size=16).digest()
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, words) of the wanted ids: the full sets as sorted 64-bit hashes."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
-    kind = src.schema["id"].dataType.simpleString()
+    """(key, full) of the wanted classes, rows (id, key): the full sets as sorted 64-bit hashes. Only
+    the texts of the ids are dealt out, thinned by a Bloom filter of bounded size before that; an
+    id that several texts have gives the wanted ones of them."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    ids = wanted.select("id").distinct()
+    src = bloom_filter(src, ids, "id", "id").join(ids, "id", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for b in batches for p in parts(b)):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
-                names=["id", "full"])
+        for batch in (p for b in batches for p in parts(b, column=0)):
+            sets = [shingles(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_key(s) for s in sets], pa.binary()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "full"])
         _HASHES.clear()
         give_back()
 
-    return src.mapInArrow(run, f"id {kind}, full binary").where(F.length("full") > 0)
+    found = src.mapInArrow(run, "key binary, full binary").where(F.length("full") > 0)
+    return found.join(wanted.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
 
 
 def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that stand on full sets: first the sketches' joint likelihood, then the sets."""
-    s = reps.select("id", "n_shingles", "sketch")
-    near = (pairs.join(s.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")), "a")
-            .join(s.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb")), "b")
+    """The pairs (a, b) of classes that stand on full sets: first the sketches' joint likelihood, then the sets."""
+    s = reps.select("key", "n_shingles", "sketch")
+    near = (pairs.join(s.select(F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")), "a")
+            .join(s.select(F.col("key").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb")), "b")
             .where(F.lit(100) * F.least("na", "nb") >= F.lit(LIKENESS) * F.greatest("na", "nb"))
             .where(_likely()("sa", "sb", "na", "nb")).select("a", "b"))
-    near = shared(near)
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    near = written(near)
+    wanted = written(reps.select("id", "key").join(near.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi"))
     sets = _sets(docs, wanted, id_col, text_col)
-    return (near.join(sets.select(F.col("id").alias("a"), F.col("full").alias("fa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("full").alias("fb")), "b")
+    return (near.join(sets.select(F.col("key").alias("a"), F.col("full").alias("fa")), "a")
+            .join(sets.select(F.col("key").alias("b"), F.col("full").alias("fb")), "b")
             .where(_linked()("fa", "fb")).select("a", "b").distinct())
 
 
-def forest(full: list[np.ndarray], component: list[int]) -> list[tuple[int, int]]:
+def forest(full: list[np.ndarray], component: list) -> list[tuple[int, int]]:
     """Links (positions) that join all linked sets of different components: the exact test on all
     pairs by products of incidence matrices, of which only joining ones are returned."""
     sizes = np.array([len(x) for x in full])
@@ -228,12 +239,12 @@ def forest(full: list[np.ndarray], component: list[int]) -> list[tuple[int, int]
         part = np.zeros((len(full), COLUMNS), dtype=np.float32)
         part[owner[x:y], column[x:y] - lo] = 1
         both += part @ part.T
-    label = np.array(component)
+    label = np.unique(component, return_inverse=True)[1]
     links = 100 * both >= LIKENESS * (sizes[:, None] + sizes[None, :] - both)
     a, b = np.nonzero(np.triu(links, 1) & (label[:, None] != label[None, :]))
-    parent: dict[int, int] = {}
+    parent: dict = {}
 
-    def root(x: int) -> int:
+    def root(x):
         while parent.get(x, x) != x:
             parent[x] = parent.get(parent[x], parent[x])
             x = parent[x]
@@ -254,22 +265,20 @@ def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     components leave it. A component of ``CROWD`` members and more is a lot of its own, whose
     blocks needn't meet each other; the rest of a bucket is one lot (null). No pairs are made as
     rows, and no task holds more than two blocks."""
-    ids = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
     lots = (rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("bucket", F.when(F.col("n") >= CROWD, F.col("component")).alias("lot")).agg(F.sum("n").alias("n"))
             .groupBy("bucket").agg(F.collect_list(F.struct("lot", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"))).alias("lots")))
     met = rest.join(lots, "bucket").withColumn("lot", F.when(F.exists("lots", lambda x: x["lot"] == F.col("component")), F.col("component")))
     blocks = F.element_at(F.filter("lots", lambda x: x["lot"].eqNullSafe(F.col("lot"))), 1)["blocks"]
-    own = F.struct("lot", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("k"))
+    own = F.struct("lot", F.pmod(F.xxhash64("key"), blocks).cast("int").alias("k"))
     others = F.filter("lots", lambda x: x["lot"].isNull() | ~x["lot"].eqNullSafe(F.col("lot")))
     others = F.flatten(F.transform(others, lambda x: F.transform(
         F.sequence(F.lit(0), x["blocks"] - 1), lambda k: F.struct(x["lot"].alias("lot"), k.alias("k")))))
-    met = met.select("bucket", "id", "component", own.alias("own"), F.explode(others).alias("with"))
-    met = met.select("bucket", F.to_json(F.least("own", "with")).alias("i"), F.to_json(F.greatest("own", "with")).alias("j"), "id", "component")
-    sets = _sets(docs, rest.select("id").distinct(), id_col, text_col)
-    met = met.join(sets, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    src = met.select("bucket", "i", "j", "id", "component", "full")
-    kind = ids.simpleString()
+    met = met.select("bucket", "key", "component", own.alias("own"), F.explode(others).alias("with"))
+    met = met.select("bucket", F.xxhash64(F.least("own", "with")).alias("i"), F.xxhash64(F.greatest("own", "with")).alias("j"), "key", "component")
+    sets = _sets(docs, rest.select("id", "key").distinct(), id_col, text_col)
+    met = met.join(sets, "key").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    src = met.select("bucket", "i", "j", "key", "component", "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, members = None, []
@@ -281,7 +290,7 @@ def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str)
                     forest([np.frombuffer(m[2], dtype=np.uint64) for m in members], [m[1] for m in members])]
 
         def made(links: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"a": min(x), "b": max(x)} for x in links], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            return pa.RecordBatch.from_pylist([{"a": min(x), "b": max(x)} for x in links], schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
 
         for batch in batches:
             links = []
@@ -294,45 +303,62 @@ def _crowded_links(rest: DataFrame, docs: DataFrame, id_col: str, text_col: str)
         yield made(done())
         give_back()
 
-    return src.mapInArrow(run, "a long, b long").select(F.col("a").cast(kind), F.col("b").cast(kind)).where("a <> b").distinct()
+    return src.mapInArrow(run, "a binary, b binary").where("a <> b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_shingles, component_id (least id reachable) and kept (it is its own)."""
-    rows = shared(sketches(docs, id_col, text_col))
+    return classed(docs, id_col, text_col).drop("set_key", "group")
+
+
+def set_key(text) -> Column:
+    """The class of a text's set as a column (null for an empty set)."""
+    @F.pandas_udf("binary")
+    def keys(texts):
+        import pandas as pd
+        sets = [shingles(t) for t in texts]
+        return pd.Series([_key(s) if len(s) else None for s in sets], dtype=object)
+    return keys(text)
+
+
+def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with the rows' classes (set_key) and the components' keys (group). All work is on classes of equal sets: an id that
+    several different texts have stands in several classes, each with its own component."""
+    rows = written(sketches(docs, id_col, text_col))
     real = rows.where("id IS NOT NULL AND set_key IS NOT NULL")
-    classes = shared(real.groupBy("set_key").agg(F.min("id").alias("rep")))
-    reps = shared(real.join(classes, "set_key").where("id = rep")
-                  .select("id", "set_key", "n_shingles", "sketch").dropDuplicates(["id", "set_key"]))
+    reps = written(real.groupBy(F.col("set_key").alias("key")).agg(
+        F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     step = 2 * ROWS
-    bands = reps.select("id", F.explode(F.transform(
+    bands = reps.select("id", "key", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("sketch"), i * step + 1, F.lit(step))))).alias("bucket"))
-    stars = bands.groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = shared(bands.join(stars, "bucket"))
-    pairs = met.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    stars = bands.groupBy("bucket").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = written(bands.join(stars, "bucket"))
+    pairs = met.where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
     links = shared(_confirmed(pairs, reps, docs, id_col, text_col))
-    labels = shared(components(links))
+    labels = written(components(links))
 
     # Buckets of three and more members that still hold several components.
-    named = (met.where("members > 2").join(labels.withColumnRenamed("node", "id"), "id", "left")
-             .withColumn("component", F.coalesce("component", "id")))
+    named = (met.where("members > 2").join(labels.withColumnRenamed("node", "key"), "key", "left")
+             .withColumn("component", F.coalesce("component", "key")))
     mixed = (named.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("bucket"))
-    rest = named.where("id <> first").join(mixed, "bucket", "left_semi").select("bucket", "id", "component")
+    rest = named.where("key <> first").join(mixed, "bucket", "left_semi").select("bucket", "id", "key", "component")
     size = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("left"))
-    rest = shared(rest.join(size, "bucket"))
+    rest = written(rest.join(size, "bucket"))
     few = rest.where(F.col("left") <= FEW)
-    other = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    more = (few.withColumnRenamed("id", "a").join(other, "bucket").where("a < b AND component <> cb")
+    other = few.select("bucket", F.col("key").alias("b"), F.col("component").alias("cb"))
+    more = (few.select("bucket", F.col("key").alias("a"), "component").join(other, "bucket").where("a < b AND component <> cb")
             .select("a", "b").distinct())
     crowded = _crowded_links(rest.where(F.col("left") > FEW), docs, id_col, text_col)
     links = shared(links.union(_confirmed(more, reps, docs, id_col, text_col)).union(crowded))
-    labels = shared(components(links))
-
-    named = (classes.join(labels, classes.rep == labels.node, "left")
-             .select("set_key", F.coalesce("component", "rep").alias("least")))
-    out = rows.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
-    least = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", least.alias("component_id"),
-                      F.coalesce(F.col("id") == least, F.lit(True)).alias("kept"))
+    labels = written(components(links))
+
+    # The least id of a component's classes; a class without links is a component of its own.
+    placed = reps.select("key", "id").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = placed.groupBy("component").agg(F.min("id").alias("least"))
+    named = placed.join(least, "component").select(F.col("key").alias("set_key"), F.col("component").alias("group"), "least")
+    out = rows.join(named, "set_key", "left")
+    own = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"),
+                      F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"), "set_key", "group")

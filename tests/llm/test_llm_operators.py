@@ -115,18 +115,35 @@ def test_crowded_bucket_of_two_large_components(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     assert near(spark.createDataFrame(rows, "doc_id long, text string")) == brute_components(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    named = spark.createDataFrame([(7, i, 0 if i < 100 else 100 if i < 200 else i, 240) for i in range(240)],
-                                  "bucket long, id long, component long, left long")
-    links = {(r.a, r.b) for r in neardup._crowded_links(named, docs, "doc_id", "text").collect()}
+    key = {i: neardup._key(neardup.shingles(t)) for i, t in rows}
+    which = {k: i for i, k in reversed(key.items())}
+    named = spark.createDataFrame([(7, i, key[i], key[0 if i < 100 else 100 if i < 200 else i], 240) for i in which.values()],
+                                  "bucket long, id long, key binary, component binary, left long")
+    links = {(which[bytes(r.a)], which[bytes(r.b)]) for r in neardup._crowded_links(named, docs, "doc_id", "text").collect()}
     sets = {i: set(neardup.shingles(t).tolist()) for i, t in rows}
-    of = {r.id: r.component for r in named.collect()}
-    want = {(of[a], of[b]) for a, b in itertools.combinations(range(240), 2)
+    of = {i: 0 if i < 100 else 100 if i < 200 else i for i in range(240)}
+    want = {(of[a], of[b]) for a, b in itertools.combinations(sorted(which.values()), 2)
             if of[a] != of[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     least = lambda pairs: components(spark.createDataFrame(sorted(pairs), "a long, b long"))
     assert want and {(r.node, r.component) for r in least({(of[a], of[b]) for a, b in links}).collect()} == {
         (r.node, r.component) for r in least(want).collect()}
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    """Classes, not ids, are linked: each row against brute force over numbered rows."""
+    random.seed(12)
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    near = lambda k: text(k).replace(f"w{k}x39", "other")
+    rows = [(5, text(1)), (3, near(1)), (5, text(2)), (9, text(2)), (5, near(2)), (7, text(3)), (7, text(3)), (5, ""), (5, None), (8, text(1))]
+    of = brute_components([(k, t) for k, (_, t) in enumerate(rows)])
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[of[k][1]] = min(i, least.get(of[k][1], i))
+    want = sorted((i, of[k][0], least[of[k][1]], i == least[of[k][1]]) for k, (i, _) in enumerate(rows))
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_near_duplicates_odd_rows(spark, odd):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
@@ -287,6 +304,7 @@ def test_fingerprints_odd_rows(spark, odd):
 
 def test_next_document_of_repeated_and_missing_ids(spark, monkeypatch):
     """Ids that a third of the rows share, or lack, are cut by their texts' hashes and still follow in order."""
+    import xxhash
     monkeypatch.setattr(imatch, "RANGE_ROWS", 7)
     rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i} of these") for i in range(150)]
     signed = lambda t: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(t.encode(), 42))

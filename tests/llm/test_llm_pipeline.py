@@ -42,3 +42,16 @@ def test_stages_keep_odd_columns(spark, odd):
         assert out.columns == odd.columns
         assert out.where(F.col("doc_id") == 4).count() == 1
         assert stage(spark, odd.limit(0), SF001).count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_a_component(spark):
+    """Exact repeats under one id are removed; an unrelated text that shares an id with a copy is not lost."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(900003, text(1), "a"), (900005, text(1).replace("w1x39", "other"), "b"), (900005, text(2), "c"),
+            (900006, text(3), "d"), (900006, text(3), "d"), (900007, "", "e"), (900007, "", "e"), (None, text(1), "f"),
+            (900008, text(4), "g"), (900008, text(4).replace("w4x0 ", "new "), "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = P.near_dedup(spark, docs, SF001)
+    got = sorted(out.select("source").toPandas()["source"])
+    assert out.columns == docs.columns
+    assert got in (["a", "c", "d", "e", "e", "f", x] for x in "gh")
