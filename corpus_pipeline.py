@@ -3,7 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's ``docs``. Every stage works on all rows its predecessor kept; all but
 the last return the columns of ``docs`` as they came. Rows are taken out by an anti-join against
-the ids found, so a row without an id, which nothing can name, stays.
+the ids found, so a row without an id, which nothing can name, stays. Repeated rows and rows that
+share an id: the quality and PII stages judge each by itself, near-dedup keeps one row of a
+component (equal ones by a hash of the row, so ties are the same row or an equal one), and
+decontamination takes out every row of an id that holds a test item.
 """
 
 from __future__ import annotations
@@ -15,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlens.llm import decontaminate, neardup, pii, quality
 from ledgerlens.llm.bpe import encode_documents
-from ledgerlens.llm.common import shared, table, unused
+from ledgerlens.llm.common import shared, table, unused, written
 from ledgerlens.llm.queries import PII_KEY, vocabulary
+from ledgerlens.operators.relational import bloom_filter
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -33,9 +37,24 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every near-duplicate component."""
-    gone = neardup.near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("__id"))
-    return _without(docs, gone)
+    """One row of every near-duplicate component, of its least id: rows are judged by their own
+    text, also where an id stands on several rows. Rows without an id or without words stay."""
+    found = written(neardup.classed(docs))
+    ids = written(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and("kept").alias("kept")).where("n > 1 OR NOT kept").withColumnRenamed("doc_id", "__id"))
+    # Ids on several rows: their rows by the class of their text, one row for each component.
+    several = ids.where("n > 1").select("__id")
+    rows = bloom_filter(docs, several, "doc_id", "__id")
+    rows = rows.join(several, rows["doc_id"] == several["__id"], "left_semi")
+    rows = rows.select(F.struct(*(rows[f"`{c}`"] for c in docs.columns)).alias("row"), neardup.set_key(rows["text"]).alias("key"))
+    kept = found.where("kept AND set_key IS NOT NULL").select(
+        F.col("doc_id").alias("__id"), F.col("set_key").alias("__key"), F.col("group").alias("__group")).distinct()
+    hashed = F.xxhash64(*[F.to_json(F.col(f"row.`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"row.`{f.name}`")
+                          for f in docs.schema.fields])
+    one = (rows.join(kept, (F.col("row.doc_id") == F.col("__id")) & (F.col("key") == F.col("__key")))
+           .groupBy("__group").agg(F.min_by("row", hashed).alias("row")).select("row"))
+    one = one.unionByName(rows.where("key IS NULL").select("row"))
+    return _without(docs, ids.select("__id")).unionByName(one.select("row.*"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
