@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -85,52 +86,77 @@ def group_text(a: Iterable[int], b: Iterable[int]) -> str:
 
 def grouped(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> str | None:
     """``a1,a2|b1;...`` of two tokenizations of the same bytes; sizes are bytes by id."""
-    ends_a = list(accumulate(map(size_a.__getitem__, a)))
-    ends_b = list(accumulate(map(size_b.__getitem__, b)))
+    ends_a = list(accumulate([size_a[x] for x in a]))
+    ends_b = list(accumulate([size_b[x] for x in b]))
     if not a or not b or ends_a[-1] != ends_b[-1]:
         return None
-    common = set(ends_a).intersection(ends_b)
-    if len(common) == 1:
+    if len(a) == 1 or len(b) == 1:
         return group_text(a, b)
+    place = dict(zip(ends_b, range(1, len(b) + 1)))
     out, from_a, from_b = [], 0, 0
-    cuts_b = [j for j, e in enumerate(ends_b, 1) if e in common]
-    for to_a, to_b in zip([i for i, e in enumerate(ends_a, 1) if e in common], cuts_b):
-        out.append(group_text(a[from_a:to_a], b[from_b:to_b]))
-        from_a, from_b = to_a, to_b
+    for to_a, e in enumerate(ends_a, 1):
+        to_b = place.get(e)
+        if to_b:
+            out.append(group_text(a[from_a:to_a], b[from_b:to_b]))
+            from_a, from_b = to_a, to_b
     return ";".join(out)
 
 
-def fragments(groups: list[tuple[list[int], list[int]]], start: int, size_a: list[int], size_b: list[int],
-              span: int = RANGE) -> list[tuple[int, Fragment]]:
+def sides(group: str) -> tuple[list[int], list[int]]:
+    a, b = group.split("|")
+    return [int(x) for x in a.split(",")], [int(x) for x in b.split(",")]
+
+
+class GroupBytes(dict):
+    """Group -> its bytes, remembered up to a number of groups."""
+
+    def __init__(self, size_a: list[int]):
+        super().__init__()
+        self.size_a = size_a
+
+    def __missing__(self, group: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        n = self[group] = sum([self.size_a[x] for x in sides(group)[0]])
+        return n
+
+
+def fragments(groups: list[str], start: int, size_a: list[int], size_b: list[int], span: int = RANGE,
+              size: GroupBytes | None = None) -> list[tuple[int, Fragment]]:
     """The groups of a piece that begins at byte ``start``, as one fragment for each byte range
     (of ``span`` bytes) in which tokens end: (first byte of the fragment, fragment)."""
+    size = GroupBytes(size_a) if size is None else size
+    ends = list(accumulate(map(size.__getitem__, groups), initial=start))
     out: dict[int, list] = {}       # range -> [cut, pa, pb, closed, sa, sb]
-    at = start
-    for a, b in groups:
-        first = at
-        ends_a = at + np.cumsum([size_a[x] for x in a])
-        ends_b = at + np.cumsum([size_b[x] for x in b])
-        at = int(ends_a[-1])
-        last = (at - 1) // span
-        if first // span == last:   # the usual group, in one range
-            mine = {last: (a, b)}
-        else:
-            mine = {}
-            for ids, ends, side in ((a, ends_a, 0), (b, ends_b, 1)):
-                for x, e in zip(ids, ends.tolist()):
-                    mine.setdefault((e - 1) // span, ([], []))[side].append(x)
-        for k in sorted(mine):
+    i = 0
+    while i < len(groups):
+        k = (ends[i + 1] - 1) // span
+        if ends[i] // span == k:    # all groups that lie in this range
+            to = bisect_right(ends, (k + 1) * span, i + 1) - 1
             f = out.setdefault(k, [False, [], [], [], [], []])
-            x, y = mine[k]
-            if k != last:           # no common end here
-                (f[4] if f[0] else f[1]).extend(x)
-                (f[5] if f[0] else f[2]).extend(y)
-            elif not f[0]:
+            if not f[0]:
+                x, y = sides(groups[i])
                 f[0] = True
                 f[1].extend(x)
                 f[2].extend(y)
-            else:
+                i += 1
+            f[3].extend(groups[i:to])
+            i = to
+            continue
+        mine: dict[int, tuple[list, list]] = {}         # a group over several ranges, token by token
+        for ids, sizes, side in zip(sides(groups[i]), (size_a, size_b), (0, 1)):
+            for x, e in zip(ids, accumulate([sizes[t] for t in ids])):
+                mine.setdefault((ends[i] + e - 1) // span, ([], []))[side].append(x)
+        for at in sorted(mine):
+            f = out.setdefault(at, [False, [], [], [], [], []])
+            x, y = mine[at]
+            if at == k and f[0]:
                 f[3].append(group_text(x, y))
+                continue
+            (f[4] if f[0] else f[1]).extend(x)
+            (f[5] if f[0] else f[2]).extend(y)
+            f[0] = f[0] or at == k          # the common end
+        i += 1
     return [(max(start, k * span), Fragment(f[0], *map(tuple, f[1:]))) for k, f in sorted(out.items())]
 
 
@@ -157,6 +183,7 @@ class Tokenizers:
         self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
         self.known: dict[str, str | None] = {}      # piece -> its groups, None if bytes differ
         self.cut = self._mark_cuts()
+        self.group_bytes = GroupBytes(self.size_a)
 
     def _mark_cuts(self) -> re.Pattern:
         """Where a piece is cut: before a single space that a non-space follows, and between a letter
@@ -203,7 +230,9 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
 
 def _ids(group: str) -> tuple[tuple[tuple[int, int], ...], int, int]:
     """The linked id pairs of a group (A id << 32 | B id) with their occurrences; tokens of A, of B."""
-    a, b = ([int(x) for x in side.split(",")] for side in group.split("|"))
+    a, b = sides(group)
+    if len(a) == 1 == len(b):
+        return ((a[0] << 32 | b[0], 1),), 1, 1
     count_a, count_b = Counter(a), Counter(b)
     return tuple((x << 32 | y, n * m) for x, n in count_a.items() for y, m in count_b.items()), len(a), len(b)
 
@@ -426,8 +455,7 @@ def _long_runs(texts: DataFrame, paths: tuple[str, str], span: int, fan: int) ->
                     if groups is None:
                         out.append((row, -1, None, None, None, None, None, None, None))
                         continue
-                    sides = [tuple([int(x) for x in side.split(",")] for side in g.split("|")) for g in groups.split(";")]
-                    for pos, f in fragments(sides, start, t.size_a, t.size_b, span):
+                    for pos, f in fragments(groups.split(";"), start, t.size_a, t.size_b, span, t.group_bytes):
                         out.append((row, pos, pos if f.cut else None, f.cut, f.prefix_a, f.prefix_b, f.suffix_a, f.suffix_b, None))
                         if f.closed:
                             out.append(_run(row, 2 * pos + 1, f.closed))

@@ -92,8 +92,7 @@ def test_fragments_compose_in_any_tree(shape, span, rnd):
     short, gap = (a, b)[sum(a) > sum(b)], abs(sum(a) - sum(b))
     short += [1] * gap                              # the same bytes on both sides
     whole = alignment.grouped(a, b, size_a, size_a).split(";")
-    sides = [tuple([int(x) for x in side.split(",")] for side in g.split("|")) for g in whole]
-    found = [f for _, f in alignment.fragments(sides, 0, size_a, size_a, span)]
+    found = [f for _, f in alignment.fragments(whole, 0, size_a, size_a, span)]
     while len(found) > 1:
         i = rnd.randrange(len(found) - 1)
         found[i:i + 2] = [found[i] + found[i + 1]]
