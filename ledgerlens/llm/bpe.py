@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding with a pair occurrence index.
 
-Words (pre-tokens) are taken per Arrow batch. The distinct words of a batch lie in one symbol
-array; an index maps each adjacent pair that has a merge rank to all its positions. Active ranks
+Words (pre-tokens) are taken per Arrow batch. The distinct new words of a batch lie in symbol
+arrays of bounded size; an index maps each adjacent pair that has a merge rank to all its positions. Active ranks
 are applied in ascending order: every listed position is merged from left to right, and the two
 neighbouring pairs of each merge enter the lists of their own ranks. Words share no pairs, so
 this equals merging each word alone.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -38,7 +39,8 @@ DOUBLE_SPACE = regex.compile(r" (?:\s|$)")
 CUT = regex.compile(r" (?=\S)")
 
 WIDE = 1 << 20              # more than any id: one number for a pair of ids
-CACHED_WORDS = 400_000      # strings remembered in a task; beyond, the memory starts anew
+CACHED_WORDS = 700_000      # strings a worker remembers, also from task to task; beyond, the older half goes
+MERGED_CHARS = 400_000      # characters of new words that lie in one index (a longer word has its own)
 PART_BYTES = 3_000_000      # bytes of text encoded at a time (a longer text is a part of its own)
 
 
@@ -56,6 +58,19 @@ def byte_symbols() -> dict[str, int]:
     return out
 
 
+def slices(words: list[str], limit: int) -> Iterator[list[str]]:
+    """``words`` in consecutive lists of at most ``limit`` characters, or one longer word."""
+    held, size = [], 0
+    for w in words:
+        if held and size + len(w) > limit:
+            yield held
+            held, size = [], 0
+        held.append(w)
+        size += len(w)
+    if held:
+        yield held
+
+
 class Codec:
     """A byte-level BPE vocabulary: ``encode`` many texts at a time, ``decode`` ids."""
 
@@ -87,8 +102,7 @@ class Codec:
             self.token[i] = text.encode()
         marks = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.known: dict[str, bytes] = {}   # chunk -> packed ids
-        self.words: dict[str, bytes] = {}   # pre-token -> packed ids
+        self.known: dict[str, bytes] = {}   # chunk or pre-token -> packed ids
 
     def merge_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as little-endian unsigned 32-bit integers."""
@@ -167,22 +181,21 @@ class Codec:
             parts = self.split.split(t) if self.split and any(m in t for m in self.special) else [t]
             parts_of.append(parts)
             chunked += [self.chunks(p) for p in parts if p not in self.special]
-        known, words = self.known, self.words
-        if len(known) + len(words) > CACHED_WORDS:
-            known.clear()
-            words.clear()
+        if len(self.known) > CACHED_WORDS:
+            self.known = dict(itertools.islice(self.known.items(), len(self.known) // 2, None))
+        known = self.known
         fresh = set().union(*chunked).difference(known) if chunked else set()
-        cut = [(x, WORD.findall(x)) for x in fresh]
-        new = list({w for _, ws in cut for w in ws}.difference(words))
-        words.update(zip(new, self.merge_words(new)))
-        known.update((x, b"".join([words[w] for w in ws])) for x, ws in cut)
+        cut = {x: WORD.findall(x) for x in fresh}
+        new = list({w for ws in cut.values() for w in ws}.difference(known))
+        for some in slices(new, MERGED_CHARS):
+            known.update(zip(some, self.merge_words(some)))
+        known.update((x, b"".join([known[w] for w in ws])) for x, ws in cut.items() if len(ws) != 1)    # one word is the chunk itself
         look, done, out = known.__getitem__, iter(chunked), []
         for parts in parts_of:
             out.append(b"".join([self.special[p].to_bytes(4, "little") if p in self.special else
                                  b"".join(map(look, next(done))) for p in parts]))
-        for memory in (known, words):   # long strings don't recur
-            for x in [x for x in (fresh if memory is known else new) if len(x) > 200]:
-                del memory[x]
+        for x in [x for x in {*fresh, *new} if len(x) > 200]:     # long strings don't recur
+            del known[x]
         return out
 
     def decode(self, packed: bytes) -> str:
@@ -218,8 +231,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 if with_ids:
                     cols.append(pa.array(packed, pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
-        c.known.clear()
-        c.words.clear()
         give_back()
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
