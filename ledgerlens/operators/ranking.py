@@ -1,160 +1,82 @@
-"""``TOP n PERCENT`` without a single-partition sort.
+"""``TOP n`` and ``TOP n PERCENT`` without a single-partition sort, as one lazy plan.
 
-``orderBy(x).limit(k)`` with a large k moves every row into one task. ``top_k`` finds the k-th row's
-key tuple key by key (distinct-value counts, bounded collects or range summaries), then
-filters; only a final group of rows tied on every key is cut with ``limit``. Scores by percent
-rank come from ``cuts``, which needs no ranks.
+``orderBy(x).limit(k)`` with a large k moves every row into one task. Here Spark's range
+partitioning deals the rows over the whole order, one grouped count gives each range its least and
+greatest key and its rows, and a running sum over the ranges names the range that holds the k-th
+row. Rows before that range are kept by comparing, and only the range itself is cut.
 
-Boundaries are values, not partition ids, so nothing depends on a layout being reproduced when
-a task is recomputed after executor loss.
+The cut is made by values, not by partition ids, so nothing depends on a layout being reproduced
+when a task is recomputed after executor loss. No job runs while a report is built.
 """
 
 from __future__ import annotations
 
-import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 64
-MAX_BUCKETS = 256
-COLLECT_LIMIT = 50_000
+COPIES = 100_000        # equal rows written by one array; more of them take more arrays
 
 
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    if buckets is None:
-        try:
-            buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        except Exception:  # pragma: no cover
-            buckets = DEFAULT_BUCKETS
-    return max(1, min(MAX_BUCKETS, buckets))
-
-
-def _range_summary(vc: DataFrame, key: str, weight: str, buckets: int):
-    """Range partitions of the distinct values: [(lo, hi, weight sum, values)]
-    sorted ascending, and the weight of the NULL key -- one job, at most
-    ``buckets`` + 1 rows to the driver."""
-    rows = (vc.repartitionByRange(buckets, F.col(key).asc_nulls_first())
-            .groupBy(F.spark_partition_id().alias("_part"))
-            .agg(F.min(key).alias("lo"), F.max(key).alias("hi"),
-                 F.sum(F.when(F.col(key).isNotNull(), F.col(weight))).alias("w"),
-                 F.count(F.col(key)).alias("n"),
-                 F.sum(F.when(F.col(key).isNull(), F.col(weight))).alias("null_w"))
-            .collect())
-    null_w = sum(int(r["null_w"] or 0) for r in rows)
-    parts = sorted(((r["lo"], r["hi"], int(r["w"] or 0), int(r["n"])) for r in rows if r["n"]), key=lambda t: t[0])
-    return parts, null_w
-
-
-def _before(key: Column, descending: bool, cut) -> Column:
-    """Rows strictly before ``cut`` in ORDER BY key [DESC] (NULLs low)."""
-    if cut is None:
-        return key.isNotNull() if descending else F.lit(False)
-    if descending:
-        return key > F.lit(cut)
-    return key.isNull() | (key < F.lit(cut))
-
-
-def spark_order(v):
-    """Sort key of a non-null value in Spark's order: NaN is the greatest."""
-    return (v != v, 0 if v != v else v)
-
-
-def _walk(vals: list, descending: bool, need: int, base: int):
-    vals = sorted(vals, key=lambda r: spark_order(r[0]), reverse=descending)
-    acc = 0
-    for value, w in vals:
-        if acc + w >= need:
-            return value, base + acc, w
-        acc += w
-    raise AssertionError("fewer rows than expected")
-
-
-def _locate(vc: DataFrame, key: str, descending: bool, need: int, buckets: int, few: list | None = None):
-    """The value holding the ``need``-th row (1-based) in the order, the
-    number of rows strictly before it, and the number of rows equal to it.
-    ``vc`` = (key, _w) distinct values, with at least ``need`` rows in total."""
-    if few is None:
-        few = vc.limit(COLLECT_LIMIT + 1).collect()      # bounded probe
-    if len(few) <= COLLECT_LIMIT:
-        nulls = sum(r["_w"] for r in few if r[key] is None)
-        vals = [(r[key], r["_w"]) for r in few if r[key] is not None]
-        if not descending:
-            if need <= nulls:
-                return None, 0, nulls
-            return _walk(vals, False, need - nulls, nulls)
-        total = sum(w for _, w in vals)
-        if need > total:
-            return None, total, nulls
-        return _walk(vals, True, need, 0)
-
-    summary, null_w = _range_summary(vc, key, "_w", buckets)
+def _ascending(df: DataFrame, name: str, descending: bool) -> Column:
+    """``name`` as a key whose ascending order is the wanted one: NULLs low, NaN above all numbers.
+    Descending keys must be numbers, dates, timestamps or booleans, which can be turned round."""
+    key, kind = F.col(f"`{name}`"), df.schema[name].dataType
     if not descending:
-        if need <= null_w:
-            return None, 0, null_w
-        need_nn, base = need - null_w, null_w
-    else:
-        need_nn, base = need, 0
-    cur = vc.where(F.col(key).isNotNull())
-    while True:
-        total = sum(s[2] for s in summary)
-        if need_nn > total:          # only possible descending: the NULL rows
-            return None, base + total, null_w
-        acc = 0
-        for lo, hi, w, n in (list(reversed(summary)) if descending else summary):
-            if acc + w >= need_nn:
-                break
-            acc += w
-        base += acc
-        need_nn -= acc
-        cur = cur.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        if n <= COLLECT_LIMIT or lo == hi:
-            vals = [(r[key], r["_w"]) for r in cur.select(key, "_w").collect()]   # at most COLLECT_LIMIT rows
-            return _walk(vals, descending, need_nn, base)
-        summary, _ = _range_summary(cur, key, "_w", buckets)
-
-
-def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | None = None,
-          rows: int | None = None, first: list | None = None) -> DataFrame:
+        return key
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.struct(key.isNull(), ~F.isnan(key), -key)
+    if isinstance(kind, T.DecimalType):
+        return F.struct(key.isNull(), -key)
+    if isinstance(kind, T.TimestampType):
+        key = F.unix_micros(key)
+    elif isinstance(kind, T.DateType):
+        key = F.unix_date(key)
+    elif isinstance(kind, T.BooleanType):
+        key = key.cast("int")
+    elif not isinstance(kind, T.IntegralType):
+        raise TypeError(f"no descending order over {kind.simpleString()}")
+    return F.struct(key.isNull(), F.bitwise_not(key))
+
+
+def _first(df: DataFrame, order: list[tuple[str, bool]], wanted: str, buckets: int | None) -> DataFrame:
+    """The first rows in ``order``, as many as ``wanted`` (SQL over the row count ``total``) says."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # Ties on all keys go by a hash of the row, so that only equal rows tie.
+    key = F.struct(*[_ascending(df, c, d) for c, d in order], F.xxhash64(*columns))
+    rows = df.select(key.alias("_key"), F.struct(*columns).alias("_row"))
+    keys = rows.select("_key")
+    ranged = keys.repartitionByRange("_key") if buckets is None else keys.repartitionByRange(buckets, "_key")
+    ranges = ranged.groupBy(F.spark_partition_id().alias("_part")).agg(
+        F.min("_key").alias("low"), F.max("_key").alias("high"), F.count(F.lit(1)).alias("n"))
+    # As many rows as there are ranges.
+    ranges = ranges.select("low", "high", "n", F.sum("n").over(Window.orderBy("low")).alias("upto"),
+                           F.sum("n").over(Window.partitionBy()).alias("total")).withColumn("k", F.expr(f"least({wanted}, total)"))
+    cut = ranges.where("upto - n < k AND k <= upto").select(
+        F.struct("low", "high", (F.col("k") - F.col("upto") + F.col("n")).alias("need"))).scalar()
+    rows = rows.withColumn("_cut", cut)
+    whole = rows.where("_key < _cut.low").select("_row.*")
+    # The range of the k-th row: equal rows are one row with a count.
+    within = (rows.where("_key >= _cut.low AND _key <= _cut.high")
+              .groupBy("_key", "_row", F.col("_cut.need").alias("need")).agg(F.count(F.lit(1)).alias("n")))
+    within = within.withColumn("before", F.sum("n").over(Window.orderBy("_key")) - F.col("n")).where("before < need")
+    within = within.withColumn("n", F.expr("least(n, need - before)"))
+    within = within.withColumn("_from", F.explode(F.expr(f"sequence(0L, n - 1, {COPIES}L)")))
+    within = within.select("_row", F.explode(F.expr(f"array_repeat(0, cast(least(n - _from, {COPIES}) as int))")))
+    return whole.unionByName(within.select("_row.*"))
+
+
+def top_k(df: DataFrame, order: list[tuple[str, bool]], k: int, buckets: int | None = None) -> DataFrame:
     """The first ``k`` rows of ``df`` in ``ORDER BY order`` (exactly k, or all
-    rows if fewer), found by narrowing a cut-off key by key, without sorting
-    the table into one task. ``order`` = [(column, descending), ...], NULLs
-    low (first ascending, last descending). Rows that tie on every key past
-    the k-th are cut arbitrarily, as in SQL's TOP. ``rows`` = known row count."""
-    buckets = _bucket_count(df, buckets)
-    if k <= 0:
-        return df.limit(0)
-    if (rows if rows is not None else df.count()) <= k:
-        return df
-    remaining, need, tie = df, k, None
-    cond, prefix = None, F.lit(True)
-    for i, (key, desc) in enumerate(order):
-        vc = remaining.groupBy(key).agg(F.count(F.lit(1)).alias("_w"))
-        cut, before, tie = _locate(vc, key, desc, need, buckets, first if i == 0 else None)
-        need -= before
-        eq = F.col(key).isNull() if cut is None else F.col(key) == F.lit(cut)
-        term = prefix & _before(F.col(key), desc, cut)
-        cond = term if cond is None else cond | term
-        prefix = prefix & eq
-        remaining = remaining.where(eq)
-    # rows strictly before the cut-off tuple, plus ``need`` rows tied with it;
-    # when the whole tie group is needed (a unique last key) one filter does
-    if tie == need:
-        return df.where(cond | prefix)
-    return df.where(cond).unionByName(df.where(prefix).limit(need))
-
+    rows if fewer), without sorting the table into one task. ``order`` =
+    [(column, descending), ...], NULLs low (first ascending, last descending).
+    Rows that tie on every key past the k-th are cut by a hash of the row. ``buckets`` = number of
+    ranges; by default Spark sizes them by bytes."""
+    return _first(df, order, f"{max(0, int(k))}L", buckets)
 
-def top_percent(df: DataFrame, percent, order: list[tuple[str, bool]],
-                buckets: int | None = None) -> DataFrame:
-    """``SELECT TOP n PERCENT ... ORDER BY``: ceil(n% of the rows).
 
-    The row count comes from the first key's distinct-value counts when they
-    are few (collected anyway by ``top_k``), else from a count job."""
-    key = order[0][0]
-    first = df.groupBy(key).agg(F.count(F.lit(1)).alias("_w")).limit(COLLECT_LIMIT + 1).collect()
-    if len(first) <= COLLECT_LIMIT:
-        n = sum(r["_w"] for r in first)
-    else:
-        n, first = df.count(), None
-    k = math.ceil(Fraction(n) * Fraction(str(percent)) / 100)
-    return top_k(df, order, k, buckets, rows=n, first=first)
+def top_percent(df: DataFrame, percent, order: list[tuple[str, bool]], buckets: int | None = None) -> DataFrame:
+    """``SELECT TOP n PERCENT ... ORDER BY``: ceil(n% of the rows)."""
+    share = Fraction(str(percent)) / 100
+    return _first(df, order, f"((total * {share.numerator} + {share.denominator - 1}) div {share.denominator})", buckets)

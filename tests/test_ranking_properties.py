@@ -1,7 +1,6 @@
 """Scores by cut values and top-k equal Spark's single-task forms on random
 data with ties, a hot value and NULLs (property-based)."""
 
-import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -13,11 +12,6 @@ values = st.lists(st.one_of(st.none(), st.integers(-3, 12), st.just(5)), min_siz
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-@pytest.fixture(autouse=True)
-def _force_large_paths(monkeypatch):
-    monkeypatch.setattr(ranking, "COLLECT_LIMIT", 4)
-
-
 @SETTINGS
 @given(vals=values, desc=st.booleans())
 def test_scores_property(spark, vals, desc):

@@ -3,8 +3,7 @@
     python tools/dump_plans.py [/root/testdata/sf0.1]
 
 Two shapes per report: ``<name>.local.txt`` as planned on the given folder,
-and ``<name>.large.txt`` with automatic broadcast joins off and
-``top_k``'s large-data path forced -- the plan the same code gets
+and ``<name>.large.txt`` with automatic broadcast joins off -- the plan the same code gets
 when every table is too big to broadcast.
 """
 
@@ -23,24 +22,20 @@ HEADLINE = ["share_by_type_top5", "heaviest_products", "top_customers_metrics",
 
 def main(argv):
     src = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    from ledgerlens.operators import ranking
     from ledgerlens.plans.registry import QUERIES
     from ledgerlens.session import local_session
     spark = local_session(8)
     out = os.path.join(ROOT, "docs", "plans")
     os.makedirs(out, exist_ok=True)
-    limit = ranking.COLLECT_LIMIT
     for shape in ("local", "large"):
         large = shape == "large"
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if large else "10485760")
-        ranking.COLLECT_LIMIT = 10 if large else limit
         for name in HEADLINE:
             df = QUERIES[name](spark, src)
             text = df._jdf.queryExecution().explainString(
                 spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
             with open(os.path.join(out, f"{name}.{shape}.txt"), "w") as fh:
                 fh.write(text)
-    ranking.COLLECT_LIMIT = limit
     return 0
 
 
