@@ -3,11 +3,12 @@
 Base kinds (``assign``, ``access``, ``hex``) are reported wherever they match. Three weak kinds
 are candidates only: ``user`` (an identifier: ``user = name`` or an e-mail address), ``endpoint``
 (a URL of any scheme with a host, a host:port or an IPv4 address) and ``blob`` (a bare run of 32 and more
-base64 letters with both cases and a digit). Credentials have parts: an identifier, a secret and
-an endpoint. Within a scope, the text ``REACH`` code points to either side of a candidate, an
-interval join looks for parts of complementary roles; a weak candidate is reported only when one
-occurs, an endpoint or a user only together with a secret. The join sorts the intervals of each
-role and answers every candidate by bisection, so no pairs are formed.
+base64 letters with both cases and a digit, not in the path of a link). Credentials have parts: an
+identifier, a secret and an endpoint. A candidate's scope is the text ``REACH`` code points to either side
+and the group of assignment lines that it stands in, however long; an interval join looks there for
+parts of complementary roles. A weak candidate is reported only when one occurs that shares no text with
+it, an endpoint or a user only together with a secret. The join sorts the starts and the ends of each
+role's intervals and answers every candidate by bisection, so no pairs are formed.
 
 Cases: null text counts as empty; a text without secrets has no spans, n_* of 0 and the hash of
 the empty string. Repeated rows give repeated rows. Only the two named columns are read.
@@ -16,8 +17,9 @@ the empty string. Repeated rows give repeated rows. Only the two named columns a
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,6 +47,8 @@ ROLE = {"assign": "secret", "hex": "secret", "blob": "secret", "access": "identi
 #: The roles of which one must lie in a weak candidate's scope.
 NEEDS = {"user": ("secret",), "endpoint": ("secret",), "blob": ("identifier", "endpoint")}
 REACH = 200
+#: Lines in a row that each assign something or hold brackets only: a block of settings.
+GROUP = re.compile(r"""(?:^[ \t]*(?:(?:export[ \t]+|-[ \t]+)?["']?[\w.-]{1,100}+["']?[ \t]*[:=][^\n]*|[][{}(),; \t]*[][{}()][][{}(),; \t]*+|\[[^]\n]{1,100}\][ \t]*)(?:\n|\Z))++""", re.M)
 
 Span = tuple[int, int, str]     # start, end (exclusive), kind
 
@@ -57,32 +61,89 @@ def base_spans(text: str) -> list[Span]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
-def _meets(spans: list[Span]) -> Callable[[int, int], bool]:
+def _stands(m: re.Match) -> bool:
+    """Whether an endpoint match is one: a host:port needs a name that ends in letters after a dot, or is
+    ``localhost``, or a small bare name with a port of four digits that is no year. Headings have none."""
+    if "://" in m[0] or m[0][0].isdigit() and not m[0].upper().isupper():
+        return True
+    host, port = m[0].rsplit(":", 1)
+    if "." in host:
+        last = host.rsplit(".", 1)[1]
+        return len(last) >= 2 and last.isalpha()
+    return host == "localhost" or host.islower() and len(port) >= 4 and not (len(port) == 4 and port[:2] in ("19", "20"))
+
+
+def candidates(text: str, base: list[Span]) -> list[tuple[Span, int]]:
+    """The weak candidates, each with the start of its own part: for a URL with a user before its host,
+    the host, as what stands before may be the secret that belongs to it."""
+    weak, links = [], []
+    for m in ENDPOINT.finditer(text):
+        if _stands(m):
+            at = m[0].find("://")
+            host = m.start()
+            if at >= 0:
+                end = re.search(r"[/?#]|\Z", m[0][at + 3:]).start() + at + 3
+                host += m[0].rfind("@", at, end) + 1 if "@" in m[0][at:end] else 0
+            weak.append(((m.start(), m.end(), "endpoint"), host))
+            links.append((host, m.end()))
+    secret = _overlaps([x[:2] for x in base if ROLE[x[2]] == "secret"])
+    link = _overlaps(links)
+    weak += [((m.start(), m.end(), "blob"), m.start()) for m in BLOB.finditer(text)
+             if all(x.search(m[0]) for x in MIXED) and not secret(m.start(), m.end()) and not link(m.start(), m.end())]
+    if base or weak:    # an identifier alone has no secret to go with
+        weak += [((m.start(), m.end(), "user"), m.start()) for m in USER.finditer(text)]
+    return weak
+
+
+def _overlaps(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
     """A test whether any of ``spans`` overlaps an interval: starts sorted, with the greatest end so far."""
     spans = sorted(spans)
-    starts, ends, most = [s for s, _, _ in spans], [], -1
-    for _, e, _ in spans:
-        most = max(most, e)
-        ends.append(most)
+    starts, ends = [s for s, _ in spans], list(itertools.accumulate((e for _, e in spans), max))
     return lambda lo, hi: (k := bisect_left(starts, hi)) > 0 and ends[k - 1] > lo
 
 
+def scopes(text: str) -> Callable[[int, int], tuple[int, int]]:
+    """The scope of an interval: ``REACH`` to either side and the settings it stands in."""
+    groups = [(m.start(), m.end()) for m in GROUP.finditer(text)]
+    starts = [s for s, _ in groups]
+
+    def scope(start: int, end: int) -> tuple[int, int]:
+        lo, hi = start - REACH, end + REACH
+        k = bisect_right(starts, start) - 1
+        if k >= 0 and groups[k][1] >= end:
+            lo, hi = min(lo, groups[k][0]), max(hi, groups[k][1])
+        return lo, hi
+    return scope
+
+
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak candidates with a complementary part in their scope. A candidate inside a base match
-    of its own role is that match again and is left out."""
-    weak = [(m.start(), m.end(), "endpoint") for m in ENDPOINT.finditer(text)]
-    weak += [(m.start(), m.end(), "blob") for m in BLOB.finditer(text) if all(x.search(m[0]) for x in MIXED)]
-    if base or weak:    # an identifier alone has no secret to go with
-        weak += [(m.start(), m.end(), "user") for m in USER.finditer(text)]
+    """Weak candidates with a complementary part in their scope that shares no text with them. A blob
+    inside a base match of its own role is that match again and is left out."""
+    weak = candidates(text, base)
     if not weak:
         return []
-    secrets = _meets([x for x in base if ROLE[x[2]] == "secret"])
-    weak = [x for x in weak if not (x[2] == "blob" and secrets(x[0], x[1]))]
-    parts: dict[str, list[Span]] = {"secret": [], "identifier": [], "endpoint": []}
-    for x in [*base, *weak]:
-        parts[ROLE[x[2]]].append(x)
-    meets = {role: _meets(xs) for role, xs in parts.items()}
-    return [x for x in weak if any(meets[role](x[0] - REACH, x[1] + REACH) for role in NEEDS[x[2]])]
+    starts: dict[str, list[int]] = {"secret": [], "identifier": [], "endpoint": []}
+    ends: dict[str, list[int]] = {"secret": [], "identifier": [], "endpoint": []}
+    for (_, end, kind), start in [*((x, x[0]) for x in base), *weak]:
+        starts[ROLE[kind]].append(start)
+        ends[ROLE[kind]].append(end)
+    if not any(starts[r] for (_, _, k), _ in weak for r in NEEDS[k]):
+        return []
+    for found in (*starts.values(), *ends.values()):
+        found.sort()
+    scope = scopes(text)
+
+    def beside(role: str, lo: int, start: int, end: int, hi: int) -> bool:
+        """Whether a part of ``role`` ends in (lo, start] or starts in [end, hi)."""
+        return (bisect_right(ends[role], start) > bisect_right(ends[role], lo)
+                or bisect_left(starts[role], hi) > bisect_left(starts[role], end))
+
+    out = []
+    for x, own in weak:
+        lo, hi = scope(x[0], x[1])
+        if any(beside(role, lo, own, x[1], hi) for role in NEEDS[x[2]]):
+            out.append(x)
+    return out
 
 
 def joined(spans: list[Span]) -> str:
