@@ -2,15 +2,18 @@
 
 Every block element (and every inline element that a hint marks) is a node with one of three
 states: ``OUTSIDE`` (a container of both), ``CONTENT`` and ``CHROME`` (menus, adverts and the
-like). Node potentials are likelihoods of the element's features, edge potentials the chances of
+like). Text straight in the body, or on a page without markup, is a node of its own. Node potentials are likelihoods of the element's features, edge potentials the chances of
 a child's state given its parent's. Sum-product messages go up and down the tree; a text stays
 if its element's marginal of CONTENT is at least one half.
 
 Both potentials are trained on labelled pages: those with an ``article``, ``main`` or
 ``role=main`` element, which label themselves (inside it, less marked parts, is content; what
 holds it is a container; the rest is chrome). Elements, roles and ``hidden`` mark hard; names (class
-and id) only weigh: ``AD_WORDS`` much, ``CHROME_WORDS``, which content may have as well, little
-inside a main element, where their parts count as content in training too. Inline elements are
+and id) only weigh. ``AD_WORDS`` and ``COMMENT_WORDS`` (reader comments, which count as outside the
+main element) weigh much, and so do ``CHROME_WORDS``, which content may have as well, where the element
+holds mostly links or neither a heading over prose nor ``PROSE`` characters of it; else they weigh
+little inside a main element, and their parts count as content in training. A form that holds half of a
+page's prose is a container. Inline elements are
 marked by ``AD_WORDS`` alone, and not in code. At most ``FIT_PAGES`` of them, chosen by a hash,
 are counted by a grouped aggregation and joined to stated prior counts, so that marked parts that
 no training page has (forms, reader comments) are known too.
@@ -38,14 +41,15 @@ from .common import hash_share, ship
 FIT_PAGES = 2000        # labelled pages whose elements are counted, at most
 OUTSIDE, CONTENT, CHROME = 0, 1, 2
 TEMPER = 0.3            # weight of the soft features, which overlap
+PROSE = 200             # characters outside links that are prose without a heading, too
 
 # HTML's element classes.
 BLOCKS = frozenset("""html body head div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
 article main section nav aside header footer form fieldset blockquote pre figure figcaption address details summary hr
-center dialog menu search title option select button iframe object video audio canvas svg math template noscript""".split())
+center dialog menu search title option select button iframe object video audio canvas template noscript""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe object svg math canvas video audio select option button textarea".split())
+UNSEEN = frozenset("head script style template noscript iframe object svg canvas video audio select option button textarea annotation annotation-xml".split())
 #: Elements that a start tag of the key closes, when open in the same container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "tbody": {"thead", "tr", "td", "th"}, "option": {"option"}}
@@ -53,13 +57,16 @@ STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 CHROME_TAGS = UNSEEN | {"nav", "aside", "footer", "form", "dialog", "menu", "search", "fieldset"}
 #: Names of chrome, and such as content may have as well.
 AD_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|footer|masthead|topbar|toolbar|cookies?|"
-    r"consent|gdpr|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|recommend\w*|"
-    r"disqus|pagination|pager|copyright|skip|hidden|sr-only)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|nav(?:bar|menu)?|breadcrumbs?|sidebar|footer|masthead|topbar|toolbar|cookies?|"
+    r"consent|gdpr|popup|newsletter|subscri\w*|pagination|pager|copyright|sr-only)(?:$|[\s_-])", re.I)
 CHROME_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:side|notice|alert|related|comments?|replies|respond|discussion|widget|tags?|legal|disclaimer|search|form)(?:$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:side|notice|alert|related|discussion|widget|tags?|legal|disclaimer|search|form|promo\w*|banner|navigation|menu|modal|"
+    r"overlay|signup|login|share|sharing|social|recommend\w*|skip|hidden)(?:$|[\s_-])", re.I)
+COMMENT_WORDS = re.compile(r"(?:^|[\s_-])(?:(?:user|reader)?comments?|comment-?(?:list|thread|body|area|section|form)s?|replies|respond|responses|disqus)(?:$|[\s_-])", re.I)
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CODE = frozenset(("pre", "code", "kbd", "samp", "tt"))
-HARD, AD, MAY = -1, -2, -3      # hints of chrome: hard, and by a name of either kind
+HARD, AD, MAY, BARE, COMMENT = -1, -2, -3, -4, -5     # hints of chrome: hard, by a name of either kind, such a name without prose, reader comments
+MARKS = frozenset((HARD, AD, BARE, COMMENT))
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 MAIN_WORDS = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|post|entry|story|main|body|text)(?:$|[\s_-])", re.I)
 
@@ -71,7 +78,7 @@ SPACE = re.compile(r"\s+")
 class Page:
     """Elements in document order (parents first) and texts in page order."""
 
-    __slots__ = ("tag", "parent", "hint", "main", "texts", "length", "linked", "inside")
+    __slots__ = ("tag", "parent", "hint", "main", "texts", "length", "linked", "inside", "loose", "at")
 
     def __init__(self, source: str):
         self.tag: list[str] = ["#page"]
@@ -81,10 +88,35 @@ class Page:
         self.texts: list[tuple[int, str, int]] = []     # model node, raw text, block number
         self.length: list[int] = [0]
         self.linked: list[int] = [0]
+        self.loose: tuple[int, int] | None = None
         self._read(source)
+        self._weigh()
         self.inside = [False] * len(self.tag)
         for i in range(1, len(self.tag)):
-            self.inside[i] = self.main[i] or self.inside[self.parent[i]]
+            self.inside[i] = self.main[i] or self.inside[self.parent[i]] and self.hint[i] != COMMENT
+
+    def _weigh(self) -> None:
+        """Hints that hang on what an element holds. Without a heading over prose and without
+        ``PROSE`` characters of it, a part whose name may be chrome's is bare. A form round most of
+        the page's prose is a container (some site builders put one round every page)."""
+        n = len(self.tag)
+        linked, prose = list(self.linked), [a - b for a, b in zip(self.length, self.linked)]
+        headed, said = [t in HEADINGS for t in self.tag], [x >= 40 for x in prose]
+        unseen = [t in UNSEEN for t in self.tag]
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            if not unseen[i]:
+                linked[p] += linked[i]
+                prose[p] += prose[i]
+                headed[p] = headed[p] or headed[i]
+                said[p] = said[p] or said[i]
+        for i in range(1, n):
+            if self.hint[i] == MAY and (prose[i] <= linked[i] or not (headed[i] and said[i] or prose[i] >= PROSE)):
+                self.hint[i] = BARE
+            elif self.tag[i] == "#text" and prose[0] < 40:
+                self.hint[i] = BARE     # hardly anything on the page
+            elif self.tag[i] == "form" and self.hint[i] == HARD and prose[i] >= PROSE and prose[i] > linked[i] and 2 * prose[i] >= prose[0]:
+                self.hint[i] = 0
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("#page", 0)]       # open elements and their model nodes
@@ -158,8 +190,13 @@ class Page:
             named = f"{found.get('class', '')} {found.get('id', '')}"
             role = found.get("role", "").lower()
             main = main or role == "main"
+            comment = tag in BLOCKS and tag not in ("html", "body", "main") and not code and (
+                COMMENT_WORDS.search(named) or found.get("itemprop") == "comment" or found.get("itemtype", "").endswith("/Comment"))
+            main = main and not comment     # comments may be articles of their own
             if role in CHROME_ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
                 hint = HARD
+            elif hint == 0 and comment:
+                hint = COMMENT
             elif hint == 0 and tag not in ("html", "body") and not main and named.strip() and not (code and tag not in BLOCKS):
                 may = tag in BLOCKS and CHROME_WORDS.search(named)
                 hint = AD if AD_WORDS.search(named) else MAY if may else 1 if MAIN_WORDS.search(named) else 0
@@ -172,6 +209,9 @@ class Page:
             hint = 1
         if tag not in BLOCKS and hint >= 0:
             return parent
+        return self._add(parent, tag, hint, main)
+
+    def _add(self, parent: int, tag: str, hint: int, main: bool) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.hint.append(hint)
@@ -182,6 +222,14 @@ class Page:
 
     def _text(self, stack: list[tuple[str, int]], text: str, block: int, links: int) -> None:
         node = stack[-1][1]
+        if self.tag[node] in ("#page", "html", "body"):     # loose text is a block of its own
+            if self.loose != (node, block):
+                if not text.strip():
+                    return
+                self._add(node, "#text", 0, False)
+                self.loose = (node, block)
+                self.at = len(self.tag) - 1
+            node = self.at
         self.texts.append((node, text, block))
         n = len(text) - text.count(" ")
         self.length[node] += n
@@ -191,12 +239,14 @@ class Page:
     def features(self, i: int, has_main: bool) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Marks (hint and place) and soft features (tag, length, links) of an element."""
         n = self.length[i]
-        size = "none" if not n else "short" if n < 40 else "middle" if n < 150 else "long"
+        size = "short" if n < 40 else "middle" if n < 150 else "long"
         share = self.linked[i] / n if n else 0
         place = "" if not has_main else "in" if self.inside[i] else "out"
-        tag = self.tag[i] if self.tag[i] in BLOCKS else "inline"
+        tag = self.tag[i] if self.tag[i] in BLOCKS else "p" if self.tag[i] == "#text" else "inline"
         hint = f"hint:{self.hint[i]}" + (place if self.hint[i] == MAY else "")
-        return ((hint, f"place:{place}"),
+        if place == "in" and not self.main[i]:
+            place = ""      # its parent is inside, so this says nothing new
+        return ((hint, f"place:{place}"), () if not n else      # an element without text of its own has no form
                 (f"tag:{tag}", f"size:{size}", f"links:{0 if share < 0.1 else 1 if share < 0.6 else 2}"))
 
 
@@ -206,7 +256,7 @@ def labels(page: Page) -> list[int]:
     state = [CHROME] * n
     for i in range(1, n):
         above = state[page.parent[i]]
-        marked = page.hint[i] in (HARD, AD) or above == CHROME and page.parent[i] and page.hint[page.parent[i]] in (HARD, AD)
+        marked = page.hint[i] in MARKS or above == CHROME and page.parent[i] and page.hint[page.parent[i]] in MARKS
         if page.inside[i] and not marked and (page.main[i] or above == CONTENT):
             state[i] = CONTENT
     for i in range(n - 1, 0, -1):       # what holds content from outside
@@ -236,6 +286,8 @@ def counted(sources: Iterator[str]) -> Counter:
 # content leaves to chrome only where something is marked.
 PRIOR = {("hint:-1", CHROME): 1e3, ("hint:-1", CONTENT): 1e-12, ("hint:-1", OUTSIDE): 1e-3,
          ("hint:-2", CHROME): 1e3, ("hint:-2", CONTENT): 1e-3, ("hint:-2", OUTSIDE): 1e-3,
+         ("hint:-4", CHROME): 1e3, ("hint:-4", CONTENT): 1e-3, ("hint:-4", OUTSIDE): 1e-3,
+         ("hint:-5", CHROME): 1e3, ("hint:-5", CONTENT): 1e-12, ("hint:-5", OUTSIDE): 1e-3,
          ("hint:-3", CHROME): 1e3, ("hint:-3", CONTENT): 1e-1, ("hint:-3", OUTSIDE): 1e-1,
          ("hint:-3out", CHROME): 1e3, ("hint:-3out", CONTENT): 1e-1, ("hint:-3out", OUTSIDE): 1e-1,
          ("hint:-3in", CHROME): 3.0, ("hint:-3in", CONTENT): 1.0, ("hint:-3in", OUTSIDE): 1e-1,
@@ -270,7 +322,7 @@ class Model:
             log = [sum(self.log.get(m, ZERO)[s] for m in marks) + TEMPER * sum(self.log.get(f, ZERO)[s] for f in soft) for s in range(3)]
             top = max(log)
             own.append([math.exp(max(x - top, -60.0)) for x in log])
-        edges = [MARKED if h in (HARD, AD) else self.edge for h in page.hint]
+        edges = [MARKED if h in MARKS else self.edge for h in page.hint]
         up: list[list[float]] = [ZERO] * n
         belief = [list(x) for x in own]
         for i in range(n - 1, 0, -1):       # children come after their parents

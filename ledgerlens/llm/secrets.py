@@ -48,7 +48,7 @@ ROLE = {"assign": "secret", "hex": "secret", "blob": "secret", "access": "identi
 NEEDS = {"user": ("secret",), "endpoint": ("secret",), "blob": ("identifier", "endpoint")}
 REACH = 200
 #: Lines in a row that each assign something or hold brackets only: a block of settings.
-GROUP = re.compile(r"""(?:^[ \t]*(?:(?:export[ \t]+|-[ \t]+)?["']?[\w.-]{1,100}+["']?[ \t]*[:=][^\n]*|[][{}(),; \t]*[][{}()][][{}(),; \t]*+|\[[^]\n]{1,100}\][ \t]*)(?:\n|\Z))++""", re.M)
+GROUP = re.compile(r"""(?:^[ \t]*+(?:(?:(?:export[ \t]+|-[ \t]+)?["']?[\w.-]{1,100}+["']?[ \t]*+[:=][^\n]*+|[,; \t]*+[][{}()][][{}(),; \t]*+|\[[^]\n]{1,100}\][ \t]*+)(?:\n|\Z)))++""", re.M)
 
 Span = tuple[int, int, str]     # start, end (exclusive), kind
 

@@ -212,6 +212,60 @@ def test_names_weigh_and_do_not_forbid(spark):
     assert model.text(f'<article><p>{prose}</p><div class="banner">{many}</div></article>').count(prose) == 41
 
 
+def test_comments_go_and_sections_with_such_names_stay(spark):
+    model = html.learn(table(spark, SF001, "pages"))
+    prose = "A paragraph of prose that is long enough to be taken for content by its form alone, as it should."
+    article = f"<h1>T</h1><p>{prose}</p>"
+    comment = f"<div><b>Ann</b> <time>May 3</time></div><p>{prose}</p><p>{prose}</p>"
+    for part in (f'<section id="comments"><h2>2 comments</h2><div class="comment">{comment}</div><div class="comment">{comment}</div></section>',
+                 f'<div class="comment">{comment}</div>', f'<ol class="commentlist"><li>{comment}</li><li>{comment}</li></ol>',
+                 f'<article class="comment">{comment}</article>', '<div class="notice"><p>We use cookies. By going on you accept them.</p></div>',
+                 '<ul class="related">' + "<li><a href=x>Another long story of ours to read next</a></li>" * 8 + "</ul>",
+                 '<div class="share"><a href=x>Tweet</a> <a href=y>Post</a></div>', "<form><input><button>Go</button></form>"):
+        for tag in ("article", "main"):
+            assert model.text(f"<body><{tag}>{article}{part}</{tag}></body>") == f"T\n{prose}", (tag, part)
+    for name in ("recommendations", "social", "share", "promotion", "navigation-systems", "overlay", "menu", "login", "skip", "banner", "hidden-variables"):
+        for kind in ("id", "class"):
+            page = f'<article>{article}<section {kind}="{name}"><h2>H</h2><p>{prose}</p></section><p>e</p></article>'
+            assert model.text(page) == f"T\n{prose}\nH\n{prose}\ne", name
+
+
+def test_forms_round_pages_loose_text_and_inline_math(spark):
+    model = html.learn(table(spark, SF001, "pages"))
+    prose = "A paragraph of prose that is long enough to be taken for content by its form alone, as it should."
+    body = f"<div><h1>T</h1><p>{prose}</p><p>{prose}</p><p>{prose}</p></div>"
+    assert model.text(f'<body><form id="aspnetForm"><nav><a href=x>a</a></nav>{body}</form></body>') == f"T\n{prose}\n{prose}\n{prose}"
+    assert model.text(f"<html><body>{prose}<br>{prose}</body></html>") == f"{prose} {prose}"
+    assert model.text(f"{prose} {prose}") == f"{prose} {prose}"
+    assert model.text("<article><p>We see <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> here.</p></article>") == "We see x=1 here."
+
+
+def test_marginals_equal_the_sum_over_all_states(spark):
+    """Messages against the enumeration of every assignment, on small trees."""
+    import itertools
+    import math
+    model = html.learn(table(spark, SF001, "pages"))
+    for source in ("<body><div><p>some words</p><nav>x</nav></div></body>", '<article><h1>T</h1><p class="ad">y</p></article>',
+                   '<body><div class="related"><p>one</p><p>two</p></div><p>three</p></body>'):
+        page = html.Page(source)
+        n, has_main = len(page.tag), any(page.main)
+        own = [[1.0, 1e-9, 1e-9]]
+        for i in range(1, n):
+            marks, soft = page.features(i, has_main)
+            own.append([math.exp(sum(model.log.get(m, html.ZERO)[s] for m in marks) + html.TEMPER * sum(model.log.get(f, html.ZERO)[s] for f in soft))
+                        for s in range(3)])
+        total, content = 0.0, [0.0] * n
+        for states in itertools.product(range(3), repeat=n):
+            p = own[0][states[0]]
+            for i in range(1, n):
+                edge = html.MARKED if page.hint[i] in html.MARKS else model.edge
+                p *= own[i][states[i]] * edge[states[page.parent[i]]][states[i]]
+            total += p
+            for i in range(n):
+                content[i] += p * (states[i] == html.CONTENT)
+        assert model.marginals(page) == pytest.approx([c / total for c in content], abs=1e-6)
+
+
 # --- 4: pseudonyms
 def test_pseudonyms_keep_format_and_links(spark, odd):
     texts = ["a.b+c9@Sub.Example.org", "4111 1111 1111 1111 or 4111111111111111", "4111111111111112", "078-05-1120", "000-12-1234",
