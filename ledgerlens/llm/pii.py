@@ -280,7 +280,10 @@ def pseudonym(value: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with pseudonyms in ``text_col`` and, if named, the number of values replaced in
-    ``count_col``. One pass over the rows: no shuffle, no Python."""
+    ``count_col``. One pass over the rows: no shuffle, no Python. ``key`` is the caller's secret and must not
+    be empty."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col(text_col)
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, lit(f"({ANY})"), lit(1)))
     old, new = unused(docs, "__found"), unused(docs, "__new")

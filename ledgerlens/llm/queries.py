@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import alignment, chat, decontaminate, html, imatch, language, pii, quality, secrets, shards, trie
@@ -9,7 +11,17 @@ from .bpe import encode_documents
 from .common import table
 from .neardup import near_duplicates
 
-PII_KEY = "corpus-pseudonyms-1"     # a deployment gives its own
+KEY_SETTING = "spark.ledgerlens.pii.key"
+PII_KEY = "corpus-pseudonyms-1"     # for tests and trials: whoever has this file can invert its pseudonyms
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The key of the pseudonyms, from the session's setting ``KEY_SETTING``. Without it the trial key
+    is used, with a warning, as the queries must run on test tables without settings."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms by the public trial key can be inverted by anyone", stacklevel=2)
+    return key or PII_KEY
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -37,7 +49,7 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and how many values were replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY, count_col="n_replaced")
+    return pii.pseudonymise(docs, pii_key(spark), count_col="n_replaced")
 
 
 def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

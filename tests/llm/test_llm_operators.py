@@ -286,6 +286,21 @@ def test_pseudonyms_keep_format_and_links(spark, odd):
     assert out.columns == odd.columns and out.count() == odd.count()
 
 
+def test_the_key_is_a_setting(spark):
+    df = spark.createDataFrame([(1, "a@b.org")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df, "")
+    with pytest.warns(UserWarning):
+        assert queries.pii_key(spark) == queries.PII_KEY
+    spark.conf.set(queries.KEY_SETTING, "own")
+    try:
+        assert queries.pii_key(spark) == "own"
+    finally:
+        spark.conf.unset(queries.KEY_SETTING)
+    one, two = (pii.pseudonymise(df, k).first().text for k in ("own", queries.PII_KEY))
+    assert one != two != "a@b.org" != one
+
+
 def test_cards_beside_other_numbers_and_clashing_names(spark):
     texts = ["4111111111111111 123", "12 4111111111111111", "4111 1111 1111 1111 22", "3782 822463 10005", "a@b" + ".c" * 100_000]
     df = spark.createDataFrame([(i, t, "kept", 5) for i, t in enumerate(texts)], "doc_id long, text string, __found string, __new int")
