@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlens.llm import decontaminate, neardup, pii, quality
 from ledgerlens.llm.bpe import encode_documents
 from ledgerlens.llm.common import shared, table, unused, written
-from ledgerlens.llm.queries import PII_KEY, vocabulary
+from ledgerlens.llm.queries import pii_key, vocabulary
 from ledgerlens.operators.relational import bloom_filter
 
 
@@ -65,7 +65,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by pseudonyms in the text. ``n_chars`` follows it."""
-    out = pii.pseudonymise(docs, PII_KEY)
+    out = pii.pseudonymise(docs, pii_key(spark))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
