@@ -271,7 +271,7 @@ class _Block:
         listed = groups.split(";")
         times = Counter(listed)
         index = self.index
-        for g in times.keys() - index.keys():
+        for g in [g for g in times if g not in index]:      # a difference of key views would walk the whole index
             index[g] = len(index)
             pairs, a, b = _ids(g)
             self.links.append([p for p, _ in pairs])
