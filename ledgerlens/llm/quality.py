@@ -30,13 +30,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_share, shared, ship, unused
+from .common import hash_share, shared, ship, unused, written
 
 FIT_ROWS = 10_000           # labelled documents the classifier is fitted on, at most
 SMALL_SITES = 20_000        # sites that may be broadcast
 EVIDENCE_MOST = 30.0
 GRAMS = 1 << 16             # hashed words, word pairs and character 4-grams
-GRAM_CHARS = 1 << 20        # characters of a text that are hashed at a time
+GRAM_BYTES = 1 << 20        # bytes of a text that are hashed at a time
 SMOOTH = 2.0                # documents of the pooled rate that join each class's
 
 IS_MARK = np.isin(np.arange(256), [ord(c) for c in "#%$*&!@~^_=<>{}[]|\\"])
@@ -70,20 +70,30 @@ IS_WORD = np.array([chr(c).isalnum() or c >= 128 for c in range(128)] + [True] *
 
 
 def grams(text: str) -> np.ndarray:
-    """The distinct hashed words, word pairs and character 4-grams of the whole text, in lower case."""
+    """The distinct hashed words, word pairs and character 4-grams of the whole text, in lower case.
+    Long texts are hashed in parts: a word's hash is summed over the parts that it lies in, and
+    4-grams are taken across their ends."""
     there = np.zeros(GRAMS, bool)
-    for at in range(0, len(text), GRAM_CHARS):
-        raw = np.frombuffer(text[at:at + GRAM_CHARS].lower().encode("utf-8", "replace"), dtype=np.uint8)
-        code = raw.astype(np.uint64)
+    raw = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
+    word = IS_WORD[raw]
+    starts = np.flatnonzero(word & np.r_[True, ~word[:-1]])
+    own = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(raw), GRAM_BYTES):
+        code = raw[at:at + GRAM_BYTES + 3].astype(np.uint64)
         if len(code) > 3:
             there[_mixed(code[:-3] | code[1:-2] << np.uint64(8) | code[2:-1] << np.uint64(16) | code[3:] << np.uint64(24))] = True
-        word = IS_WORD[raw]
-        starts = np.flatnonzero(word & np.r_[True, ~word[:-1]])
-        if len(starts):
-            place = np.arange(len(code)) - np.repeat(np.r_[0, starts], np.diff(np.r_[0, starts, len(code)]))
-            own = np.add.reduceat((code + np.uint64(1)) * POWERS[place % 64] * word, starts)
-            there[_mixed(own + np.uint64(1))] = True
-            there[_mixed(own[:-1] * np.uint64(31) + own[1:] + np.uint64(2))] = True
+        code = code[:GRAM_BYTES]
+        first, last = max(int(np.searchsorted(starts, at, "right")) - 1, 0), int(np.searchsorted(starts, at + len(code)))
+        if first == last:
+            continue
+        begins = starts[first:last]                 # of the words that lie in this part; the first may begin before it
+        inner = np.maximum(begins - at, 0)
+        code = code[inner[0]:]
+        place = np.arange(at + inner[0], at + inner[0] + len(code)) - np.repeat(begins, np.diff(np.r_[inner, inner[0] + len(code)]))
+        sums = (code + np.uint64(1)) * POWERS[place % 64] * word[at + inner[0]:at + inner[0] + len(code)]
+        own[first:last] += np.add.reduceat(sums, inner - inner[0])
+    there[_mixed(own + np.uint64(1))] = True
+    there[_mixed(own[:-1] * np.uint64(31) + own[1:] + np.uint64(2))] = True
     return np.flatnonzero(there)
 
 
@@ -216,20 +226,23 @@ def sites(scored: DataFrame, start: float) -> DataFrame:
     return both.select("path", ((F.col("good") + k * F.col("host_rate")) / (F.col("n") + k)).alias("prior"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, columns: list[str] | None = None) -> DataFrame:
     """All rows of ``docs`` with ``__evidence``, ``__prior`` and ``__posterior`` (good); a column of
-    ``docs`` that has one of these names keeps it, and the new one is named by ``unused``."""
+    ``docs`` that has one of these names keeps it, and the new one is named by ``unused``. With
+    ``columns`` just those of ``docs`` are carried. The evidence is computed once, beside the carried
+    columns in a written table, which the sites and the posteriors read."""
     ship(docs.sparkSession)
     model = fit(docs, labels, fit_rows)
+    own_host, own_path, own_prior, own_evidence, own_posterior = (
+        unused(docs, c) for c in ("__host", "__path", "__prior", "__evidence", "__posterior"))
     host, path = site_of(F.col("source"))
-    ratio = evidence(model)
-    scored = docs.select(host.alias("host"), path.alias("path"), ratio("text").alias("evidence"))
+    carried = [F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]
+    rows = written(docs.select(*carried, host.alias(own_host), path.alias(own_path), evidence(model)("text").alias(own_evidence)))
+    scored = rows.select(F.col(own_host).alias("host"), F.col(own_path).alias("path"), F.col(own_evidence).alias("evidence"))
     table = shared(sites(scored, model[3] if model else 0.0))
-    own_path, own_prior, own_evidence, own_posterior = (unused(docs, c) for c in ("__path", "__prior", "__evidence", "__posterior"))
     table = table.select(F.col("path").alias(own_path), F.col("prior").alias(own_prior))
     if table.count() <= SMALL_SITES:
         table = F.broadcast(table)
-    rows = docs.withColumn(own_path, path).join(table, own_path)
-    rows = rows.withColumn(own_evidence, ratio("text"))
+    rows = rows.join(table, own_path)
     logit = F.col(own_evidence) + F.log(F.col(own_prior) / (1 - F.col(own_prior)))
-    return rows.withColumn(own_posterior, 1 / (1 + F.exp(-logit))).drop(own_path)
+    return rows.withColumn(own_posterior, 1 / (1 + F.exp(-logit))).drop(own_host, own_path)

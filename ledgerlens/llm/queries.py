@@ -73,7 +73,7 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, its site's prior and the posterior of being good."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = quality.judged(docs, table(spark, sf_dir, "labels"))
+    out = quality.judged(docs, table(spark, sf_dir, "labels"), columns=["doc_id"])
     return out.select("doc_id", F.col("__evidence").alias("evidence"), F.col("__prior").alias("site_prior"),
                       F.col("__posterior").alias("quality"), (F.col("__posterior") >= 0.5).alias("kept"))
 

@@ -521,6 +521,15 @@ def test_sparse_sites_shrink(spark):
     assert prior["a/"] > 0.9 and prior["b/"] < 0.1 and 0.1 < prior["c/"] < 0.6
 
 
+def test_grams_across_the_cuts_of_a_long_text(monkeypatch):
+    """A text hashed in parts has the grams of the whole: words, pairs and 4-grams over the cuts too."""
+    texts = ["", "a", " .", "é b", "one two, three; four " * 9, "x" * 200, "." * 70 + "ab", "字 ab字cd  e" * 20]
+    whole = [quality.grams(t) for t in texts]
+    for part in (1, 3, 7, 64):
+        monkeypatch.setattr(quality, "GRAM_BYTES", part)
+        assert all((quality.grams(t) == w).all() for t, w in zip(texts, whole))
+
+
 def test_quality_odd_rows(spark, odd):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 0), (None, 1, 0), (8, None, 0)], "doc_id long, quality int, toxic int")
     for some in (labels, labels.limit(0)):
@@ -530,10 +539,11 @@ def test_quality_odd_rows(spark, odd):
 
 
 def test_quality_keeps_clashing_names_and_counts_repeated_labels_once(spark, odd):
-    named = odd.selectExpr("*", "'p' __path", "'q' __prior", "'e' __evidence", "'r' __posterior")
+    named = odd.selectExpr("*", "'p' __path", "'q' __prior", "'e' __evidence", "'r' __posterior", "'h' __host")
     labels = spark.createDataFrame([(4, 1, 0)] * 50 + [(5, 0, 0)], "doc_id long, quality int, toxic int")
     out = quality.judged(named, labels)
-    assert {(r["__path"], r["__prior"], r["__evidence"], r["__posterior"]) for r in out.collect()} == {("p", "q", "e", "r")}
+    assert {(r["__path"], r["__prior"], r["__evidence"], r["__posterior"], r["__host"]) for r in out.collect()} == {("p", "q", "e", "r", "h")}
+    assert quality.judged(odd, labels, columns=["doc_id"]).columns == ["doc_id", "__evidence", "__prior", "__posterior"]
     once = quality.fitted([(quality.features(r.text), int(r.doc_id == 4)) for r in odd.where("doc_id IN (4, 5)").collect()])
     assert np.allclose(quality.fit(odd, labels)[2], once[2])
 
