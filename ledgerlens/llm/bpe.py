@@ -39,9 +39,9 @@ DOUBLE_SPACE = regex.compile(r" (?:\s|$)")
 CUT = regex.compile(r" (?=\S)")
 
 WIDE = 1 << 20              # more than any id: one number for a pair of ids
-CACHED_WORDS = 700_000      # strings a worker remembers, also from task to task; beyond, the older half goes
+CACHED_WORDS = 700_000      # strings a task remembers; beyond, the older half goes
 MERGED_CHARS = 400_000      # characters of new words that lie in one index (a longer word has its own)
-PART_BYTES = 3_000_000      # bytes of text encoded at a time (a longer text is a part of its own)
+PART_BYTES = 1_500_000      # bytes of text encoded at a time (a longer text is a part of its own)
 
 
 def byte_symbols() -> dict[str, int]:
@@ -231,6 +231,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 if with_ids:
                     cols.append(pa.array(packed, pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        c.known.clear()
         give_back()
 
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _SHIPPED = "_ledgerlens_shipped"
+_ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +44,16 @@ def ship(spark: SparkSession) -> None:
     setattr(sc, _SHIPPED, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """The session sends Python about ``ARROW_BYTES`` of rows at a time, unless it was set otherwise.
+
+    Spark's default, 10,000 rows of up to 64 MB, is held several times over for each running task:
+    as Arrow vectors and a send buffer beside the heap, and as the batch in the Python worker.
+    """
+    if spark.conf.get(_ARROW_LIMIT, None) is None:
+        spark.conf.set(_ARROW_LIMIT, ARROW_BYTES)
+
+
 def shared(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder in ``spark.checkpoint.dir`` and read from there.
 

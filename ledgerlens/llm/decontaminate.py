@@ -40,7 +40,8 @@ from .common import give_back, parts, shared, ship
 INDEX_ITEMS = 20_000    # items of an index block, and so the bound of a broadcast
 WINDOW, BLOCK, RUN = 64, 8, 5
 BLOCKS = 128            # blocks of an index, at most: a term's row of block maxima
-BOUNDS = 4_000_000      # block bounds summed at a time
+BOUNDS = 500_000        # block bounds summed at a time
+SCORED = 250_000        # (term, block) pairs whose postings are scored at a time
 THRESHOLD, COVER = 0.4, 0.5
 PIECE = 8               # words of a question or answer that counts by itself, at least
 PIECE_SCORE = 0.99      # one held wholly scores 1
@@ -48,7 +49,8 @@ LABELS = frozenset(("question", "answer", "q", "a"))
 K1, B = 1.2, 0.75
 
 WORD = re.compile(r"\w+")
-BATCH_WORDS = 400_000
+TOKENS = 200_000          # tokens remembered
+BATCH_WORDS = 200_000     # words of a batch of texts, or one longer text
 
 
 def words_of(text: str | None) -> list[str]:
@@ -143,7 +145,7 @@ class Postings:
         size = np.diff(np.r_[first, len(passage)])
         p, block = np.nonzero(bounds >= threshold - 1e-4)
         out = []
-        for some in np.array_split(np.arange(len(p)), max(1, int(size[p].sum()) // 2_000_000 + 1)):
+        for some in np.array_split(np.arange(len(p)), max(1, int(size[p].sum()) // SCORED + 1)):
             out += self._scored(passage, term, first, size, p[some], block[some], threshold)
         return out
 
@@ -218,7 +220,7 @@ class TermIds(dict):
         self.terms = terms
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > TOKENS:
             self.clear()
         words = WORD.findall(token)
         out = self.terms.get(words[0], -1) if len(words) == 1 else -2 if words else -3
