@@ -433,6 +433,21 @@ def test_wide_blocks_and_split_bounds_lose_nothing(monkeypatch, spark, docs):
     assert np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+def test_search_holds_bounded_arrays():
+    """Passages that may hold almost every item: many bounds and postings, scored a part at a time."""
+    import tracemalloc
+    item = lambda k: " ".join(f"w{j}" for j in range(40)) + f" own{k}"
+    index = decontaminate.Index([(k, item(k)) for k in range(400)])
+    texts = [item(k % 400) for k in range(4000)]
+    passage, term, _ = decontaminate._passages(index, [decontaminate._term_ids(index, decontaminate.TermIds(index.terms), t) for t in texts])
+    tracemalloc.start()
+    got = index.search(passage, term, 0.9999)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(p, i) for p, i, _ in got} == {(k, k % 400) for k in range(4000)}
+    assert most < 15e6, most
+
+
 def test_a_whole_question_or_answer_is_contamination():
     words = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
     items = [(1, f"Question: {words('q', 30)}? Answer: {words('r', 60)}"), (2, f"Question: {words('s', 60)}? Answer: {words('t', 20)}"),

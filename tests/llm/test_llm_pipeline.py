@@ -1,8 +1,11 @@
 """The pipeline's stages, one by one, against brute force and on odd rows."""
 
 import corpus_pipeline as P
+import pyarrow as pa
 from ledgerlens.llm import decontaminate, pii, quality
+from ledgerlens.llm.bpe import codec
 from ledgerlens.llm.common import table
+from ledgerlens.llm.queries import vocabulary
 from pyspark.sql import functions as F
 
 from llm_fixtures import SF001, odd  # noqa: F401
@@ -44,6 +47,43 @@ def test_stages_keep_odd_columns(spark, odd):
         assert stage(spark, odd.limit(0), SF001).count() == 0
 
 
+def test_stages_send_python_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(1, "some text of five words and more", "a")], "doc_id long, text string, source string")
+    wide = spark.range(0, 20_000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+
+    def rows(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    try:
+        for name, stage in P.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs, SF001).count()
+            if name != "PII":
+                assert wide.mapInArrow(rows, "n long").agg(F.max("n")).first()[0] <= 3000, name
+        spark.conf.set(key, "1m")
+        P.bpe_encoding(spark, docs, SF001)
+        assert spark.conf.get(key) == "1m"          # the user's own value stays
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_encoder_forgets_at_the_end_of_a_task(spark):
+    """Workers go on to other tasks: what an encoder remembers doesn't stay in them."""
+    path = vocabulary()
+    words = spark.range(0, 400, 1, 8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), F.hex("id"), F.lit("text")).alias("text"))
+    assert P.bpe_encoding(spark, words, SF001).where("n_tokens > 0").count() == 400
+
+    def held(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([len(codec(path).known)])], names=["n"])
+
+    assert spark.range(0, 8, 1, 8).mapInArrow(held, "n long").agg(F.sum("n")).first()[0] == 0
+
+
 def test_near_dedup_keeps_one_row_of_a_component(spark):
     """Exact repeats under one id are removed; an unrelated text that shares an id with a copy is not lost."""
     text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
